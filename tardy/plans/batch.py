@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tardy.functions.clock import add_calendar_columns, add_event_time
+from tardy.functions.clock import add_calendar_columns
 from tardy.functions.codes import airline_dimension, airport_dimension, normalize_flight_codes
 from tardy.functions.flags import add_flags
 from tardy.operators.aggregate import daily_gold
@@ -19,6 +19,7 @@ from tardy.operators.clean import clean_flights
 from tardy.operators.enrich import enrich_flights, enrichment_diagnostics
 from tardy.sinks import parquet as sinks
 from tardy.sources import testdata
+from tardy.streaming.pipeline import stream_features as streaming_rows
 
 
 @dataclass
@@ -56,13 +57,8 @@ def gold(inputs: Inputs, metrics=None) -> DataFrame:
 
 
 def stream_features(inputs: Inputs) -> DataFrame:
-    """The stream job's row pipeline on a bounded frame: no destination rule,
-    no dedup, event time required, airline + origin joins only."""
-    clean = clean_flights(normalize_flight_codes(inputs.flights),
-                          require_destination=False, dedup=False)
-    timed = add_event_time(clean)
-    joined = enrich_flights(timed, inputs.airlines, inputs.airports, with_destination=False)
-    return add_flags(add_calendar_columns(joined))
+    """The stream job's row pipeline on a bounded frame (see ``streaming.pipeline``)."""
+    return streaming_rows(inputs.flights, inputs.airlines, inputs.airports)
 
 
 def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str) -> dict:

@@ -32,6 +32,7 @@ from tardy.session import scratch_path
 from tardy.sinks import parquet as sinks
 from tardy.sources import testdata
 from tardy.sources.csv import conform, read_dimension_csv, read_flights_csv, write_csv
+from tardy.streaming.pipeline import StreamJob, latest_window_values
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +160,41 @@ def q_gold_window_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_gold(feats)
 
 
+def _stream_input(spark: SparkSession, sf_dir: str) -> str:
+    """Write the stream fixture as CSV files (the job's input format) to a fresh folder."""
+    path = scratch_path(spark, "stream-in")
+    write_csv(conform(testdata.flights_stream(spark, sf_dir), FLIGHT_SCHEMA), path)
+    return path
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, **paths: str) -> StreamJob:
+    """Replay the whole stream fixture through the streaming job (availableNow)."""
+    inputs = batch.testdata_inputs(spark, sf_dir, stream=True)
+    job = StreamJob(input_dir=_stream_input(spark, sf_dir),
+                    checkpoint=scratch_path(spark, "stream-ckpt"),
+                    max_files_per_trigger=None, **paths)
+    job.run_available(spark, inputs.airlines, inputs.airports)
+    return job
+
+
+def q_gold_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    job = _run_stream(spark, sf_dir, gold_path=scratch_path(spark, "gold"))
+    return sinks.read_gold(spark, job.gold_path).drop("processed_at", "load_id")
+
+
+def q_window_update_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    job = _run_stream(spark, sf_dir, update_log_path=scratch_path(spark, "updates"))
+    return latest_window_values(spark.read.parquet(job.update_log_path))
+
+
+def q_gold_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch and stream gold rows in one folder, read back as one table."""
+    gold = scratch_path(spark, "gold")
+    batch.run_batch(spark, batch.testdata_inputs(spark, sf_dir), scratch_path(spark, "silver"), gold)
+    _run_stream(spark, sf_dir, gold_path=gold)
+    return sinks.read_gold(spark, gold).drop("processed_at", "load_id")
+
+
 QUERIES: dict[str, Query] = {
     "gold_daily": q_gold_daily,
     **{f"agg_{g}": _agg_group(g) for g in
@@ -180,6 +216,9 @@ QUERIES: dict[str, Query] = {
     "gold_partitioned_roundtrip": q_gold_partitioned_roundtrip,
     "partition_pruned_scan": q_partition_pruned_scan,
     "gold_window_batch": q_gold_window_batch,
+    "gold_window_stream": q_gold_window_stream,
+    "window_update_mode": q_window_update_mode,
+    "gold_unified": q_gold_unified,
 }
 
 
@@ -251,6 +290,12 @@ select * from (
 select FL_DATE, {_ROW_KEY}, ORIGIN_AIRPORT, DEPARTURE_DELAY from enriched
 where FL_DATE between date '{PRUNE_FROM}' and date '{PRUNE_TO}'"""),
     "gold_window_batch": O.with_stream("select * from s_gold", METRIC_GROUPS["all"]),
+    "gold_window_stream": O.with_stream(O.CLOSED_WINDOWS, METRIC_GROUPS["all"]),
+    "window_update_mode": O.with_stream("select * from s_gold", METRIC_GROUPS["all"]),
+    "gold_unified": O.with_batch_and_stream(
+        f"select {O.GOLD_KEYS_SQL}, {', '.join(METRIC_GROUPS['all'])}, 'daily_batch' as aggregation_type\n"
+        f"from (select {O.GOLD_KEYS_SQL}, {O.metric_list(METRIC_GROUPS['all'])} from features group by all)\n"
+        f"union all by name ({O.CLOSED_WINDOWS})", METRIC_GROUPS["all"]),
 }
 
 

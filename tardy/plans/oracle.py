@@ -37,7 +37,7 @@ airports as (select trim(upper(IATA_CODE)) as AIRPORT_CODE, trim(AIRPORT) as AIR
                     trim(CITY) as CITY_NAME, trim(STATE) as STATE_CODE from airports_raw)
 """
 
-BATCH = FIXTURES + f""",
+BATCH_BODY = f""",
 normalized as (
   select * replace (trim(upper(AIRLINE)) as AIRLINE, trim(upper(ORIGIN_AIRPORT)) as ORIGIN_AIRPORT,
                     trim(upper(DESTINATION_AIRPORT)) as DESTINATION_AIRPORT)
@@ -80,7 +80,7 @@ features as (
   from enriched)
 """
 
-STREAM = FIXTURES + """,
+STREAM_BODY = """,
 s_normalized as (
   select * replace (trim(upper(AIRLINE)) as AIRLINE, trim(upper(ORIGIN_AIRPORT)) as ORIGIN_AIRPORT,
                     trim(upper(DESTINATION_AIRPORT)) as DESTINATION_AIRPORT)
@@ -155,11 +155,21 @@ def metric_list(names: list[str]) -> str:
 
 
 def with_batch(select: str) -> str:
-    return f"with {BATCH}\n{select}"
+    return f"with {FIXTURES}{BATCH_BODY}\n{select}"
 
 
 def with_stream(select: str, metrics: list[str]) -> str:
-    return "with " + STREAM.replace("{metrics}", metric_list(metrics)) + "\n" + select
+    return "with " + FIXTURES + STREAM_BODY.replace("{metrics}", metric_list(metrics)) + "\n" + select
+
+
+def with_batch_and_stream(select: str, metrics: list[str]) -> str:
+    body = STREAM_BODY.replace("{metrics}", metric_list(metrics))
+    return f"with {FIXTURES}{BATCH_BODY}{body}\n{select}"
+
+
+# Windows a finite append-mode stream emits: those closed by the final watermark.
+CLOSED_WINDOWS = ("select * from s_gold where window_end <= "
+                  "(select max(event_ts) from s_features) - interval 30 minute")
 
 
 def daily_gold_sql(metrics: list[str], label: bool = True) -> str:

@@ -1,0 +1,11 @@
+from tardy.streaming.pipeline import (
+    StreamJob,
+    gold_batch_writer,
+    latest_window_values,
+    stream_features,
+    update_log_writer,
+    windowed_gold,
+)
+
+__all__ = ["StreamJob", "gold_batch_writer", "latest_window_values", "stream_features",
+           "update_log_writer", "windowed_gold"]
