@@ -19,6 +19,8 @@ from tardy.functions.codes import airline_dimension, airport_dimension, normaliz
 from tardy.functions.flags import add_flags
 from tardy.functions.metrics import METRIC_GROUPS
 from tardy.operators.aggregate import daily_gold, window_gold
+from tardy.operators.chunks import export_chunks
+from tardy.operators.sample import sample_exact_n
 from tardy.operators.clean import apply_quality_filters, dedup_first, rejection_report
 from tardy.operators.enrich import (
     enrichment_diagnostics,
@@ -195,6 +197,45 @@ def q_gold_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_gold(spark, gold).drop("processed_at", "load_id")
 
 
+# ---------------------------------------------------------------- dataset preparation
+
+# Sample size and seed (the sampler's defaults), rows per replay
+# chunk and number of chunks replayed.
+SAMPLE_N, SAMPLE_SEED = 50_000, 42
+CHUNK_ROWS, CHUNK_MAX = 700, 20
+
+
+def stream_order() -> list:
+    """Event order of the stream fixture (flight number breaks ties)."""
+    return ["YEAR", "MONTH", "DAY", "SCHEDULED_DEPARTURE", F.col("FLIGHT_NUMBER").cast("long")]
+
+
+def q_sample_exact_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact-n sample of the flights fact, written as gzip CSV and read back."""
+    flights = testdata.flights(spark, sf_dir)
+    sample = sample_exact_n(flights, SAMPLE_N, testdata.FLIGHTS_ROW_KEY, SAMPLE_SEED)
+    path = scratch_path(spark, "sample-csv")
+    write_csv(sample, path, compression="gzip")
+    return read_flights_csv(spark, path, schema=flights.schema)
+
+
+def q_chunk_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream fixture split into CSV chunks of CHUNK_ROWS rows in event order;
+    per chunk: rows, first / last departure slot, checksum of flight numbers."""
+    path = scratch_path(spark, "chunks")
+    export_chunks(conform(testdata.flights_stream(spark, sf_dir), FLIGHT_SCHEMA), path,
+                  CHUNK_ROWS, stream_order(), CHUNK_MAX)
+    slot = (F.col("YEAR").cast("long") * 100_000_000 + F.col("MONTH") * 1_000_000
+            + F.col("DAY") * 10_000 + F.col("SCHEDULED_DEPARTURE"))
+    return (
+        read_flights_csv(spark, path)
+        .groupBy(F.col("chunk_id").cast("long").alias("chunk_id"))
+        .agg(F.count(F.lit(1)).alias("num_rows"), F.min(slot).alias("first_slot"),
+             F.max(slot).alias("last_slot"),
+             F.sum(F.col("FLIGHT_NUMBER").cast("long")).alias("flight_number_sum"))
+    )
+
+
 QUERIES: dict[str, Query] = {
     "gold_daily": q_gold_daily,
     **{f"agg_{g}": _agg_group(g) for g in
@@ -219,6 +260,8 @@ QUERIES: dict[str, Query] = {
     "gold_window_stream": q_gold_window_stream,
     "window_update_mode": q_window_update_mode,
     "gold_unified": q_gold_unified,
+    "sample_exact_n": q_sample_exact_n,
+    "chunk_export": q_chunk_export,
 }
 
 
@@ -296,6 +339,21 @@ where FL_DATE between date '{PRUNE_FROM}' and date '{PRUNE_TO}'"""),
         f"select {O.GOLD_KEYS_SQL}, {', '.join(METRIC_GROUPS['all'])}, 'daily_batch' as aggregation_type\n"
         f"from (select {O.GOLD_KEYS_SQL}, {O.metric_list(METRIC_GROUPS['all'])} from features group by all)\n"
         f"union all by name ({O.CLOSED_WINDOWS})", METRIC_GROUPS["all"]),
+    "sample_exact_n": O.with_batch(f"""
+select * from flights
+order by md5(concat_ws('|', '{SAMPLE_SEED}', FLIGHT_NUMBER, cast(SRC_LINE as varchar),
+                       cast(SRC_PART as varchar), cast(SRC_SUPP as varchar))), {_ROW_KEY}
+limit {SAMPLE_N}"""),
+    "chunk_export": O.with_batch(f"""
+select chunk_id, count(*) as num_rows, min(slot) as first_slot, max(slot) as last_slot,
+  cast(sum(cast(FLIGHT_NUMBER as bigint)) as bigint) as flight_number_sum
+from (select cast(YEAR as bigint) * 100000000 + MONTH * 1000000 + DAY * 10000 + SCHEDULED_DEPARTURE as slot,
+        FLIGHT_NUMBER,
+        (row_number() over (order by YEAR, MONTH, DAY, SCHEDULED_DEPARTURE, cast(FLIGHT_NUMBER as bigint)) - 1)
+          // {CHUNK_ROWS} as chunk_id
+      from flights_stream)
+where chunk_id < {CHUNK_MAX}
+group by chunk_id"""),
 }
 
 

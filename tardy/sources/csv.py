@@ -67,7 +67,8 @@ def conform(df: DataFrame, schema: T.StructType = FLIGHT_SCHEMA) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "error", compression: str | None = None) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "error", compression: str | None = None,
+              partition_by: list[str] | None = None) -> None:
     """CSV with header that keeps leading / trailing blanks (Spark trims them on write by default)."""
     writer = (
         df.write.mode(mode)
@@ -77,4 +78,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "error", compression: str |
     )
     if compression:
         writer = writer.option("compression", compression)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.csv(path)
