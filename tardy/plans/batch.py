@@ -18,6 +18,7 @@ from tardy.operators.aggregate import daily_gold
 from tardy.operators.clean import clean_flights
 from tardy.operators.enrich import enrich_flights, enrichment_diagnostics
 from tardy.sinks import parquet as sinks
+from tardy.sinks.audit import enrichment_log_lines, guarded_write, write_lines
 from tardy.sources import testdata
 from tardy.streaming.pipeline import stream_features as streaming_rows
 
@@ -61,10 +62,30 @@ def stream_features(inputs: Inputs) -> DataFrame:
     return streaming_rows(inputs.flights, inputs.airlines, inputs.airports)
 
 
-def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str) -> dict:
-    """Whole batch job: silver write, diagnostics and gold from the written silver."""
-    sinks.write_silver(enriched(inputs), silver_path)
+def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str,
+              warehouse_path: str | None = None, log_path: str | None = None,
+              audit_path: str | None = None) -> dict:
+    """Whole batch job: silver write, diagnostics, gold from the written silver.
+
+    Every write is dynamic-partition overwrite (a rerun replaces, never doubles).
+    With ``audit_path`` each write's outcome is recorded there and failures are
+    raised; the optional warehouse target receives the same gold rows."""
+
+    def step(name: str, fn) -> None:
+        if audit_path:
+            guarded_write(spark, name, fn, audit_path)
+        else:
+            fn()
+
+    step("silver", lambda: sinks.write_silver(enriched(inputs), silver_path))
     silver = sinks.read_silver(spark, silver_path)
     diag = enrichment_diagnostics(silver).first().asDict()
-    sinks.write_gold(daily_gold(add_flags(silver), processed_at=True), gold_path)
+    if log_path:
+        step("diagnostics", lambda: write_lines(enrichment_log_lines(silver), log_path))
+    gold_rows = daily_gold(add_flags(silver), processed_at=True)
+    step("gold", lambda: sinks.write_gold(gold_rows, gold_path))
+    if warehouse_path:
+        step("warehouse", lambda: sinks.write_gold(sinks.read_gold(spark, gold_path)
+                                                   .filter("aggregation_type = 'daily_batch'")
+                                                   .drop("load_id"), warehouse_path))
     return diag

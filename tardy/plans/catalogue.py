@@ -34,7 +34,9 @@ from tardy.session import scratch_path
 from tardy.sinks import parquet as sinks
 from tardy.sources import testdata
 from tardy.sources.csv import conform, read_dimension_csv, read_flights_csv, write_csv
-from tardy.streaming.pipeline import StreamJob, latest_window_values
+from tardy.sinks.audit import enrichment_log_lines, write_lines
+from tardy.sources.csv import read_flights_stream
+from tardy.streaming.pipeline import StreamJob, latest_window_values, replay_chunks, stream_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -236,6 +238,47 @@ def q_chunk_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_replay_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export the stream fixture as chunks, replay them one by one (one chunk
+    per micro-batch, in order) into the running stream, read the gold rows."""
+    chunks = scratch_path(spark, "chunks")
+    export_chunks(conform(testdata.flights_stream(spark, sf_dir), FLIGHT_SCHEMA), chunks,
+                  CHUNK_ROWS, stream_order(), CHUNK_MAX)
+    ids = sorted(r[0] for r in spark.read.option("header", True).csv(chunks)
+                 .select("chunk_id").distinct().collect())
+    inputs = batch.testdata_inputs(spark, sf_dir, stream=True)
+    job = StreamJob(input_dir=scratch_path(spark, "replay-in") + "/*",
+                    checkpoint=scratch_path(spark, "replay-ckpt"),
+                    gold_path=scratch_path(spark, "gold"), max_files_per_trigger=1)
+    replay_chunks(spark, chunks, ids, job, inputs.airlines, inputs.airports)
+    return sinks.read_gold(spark, job.gold_path).drop("processed_at", "load_id")
+
+
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream form of the dedup (dropDuplicatesWithinWatermark) over the whole
+    stream fixture; the surviving rows are written by a Parquet file sink."""
+    inputs = batch.testdata_inputs(spark, sf_dir, stream=True)
+    out = scratch_path(spark, "stream-dedup")
+    source = read_flights_stream(spark, _stream_input(spark, sf_dir), max_files_per_trigger=None)
+    rows = stream_features(source, inputs.airlines, inputs.airports, dedup_within="30 minutes")
+    q = (
+        rows.select(*testdata.STREAM_ROW_KEY, "FL_DATE", "AIRLINE", "ORIGIN_AIRPORT",
+                    "DEPARTURE_DELAY", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+        .writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "stream-dedup-ckpt"))
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_enrichment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enrichment diagnostic as text lines (counts + up to 50 codes per side)."""
+    path = scratch_path(spark, "enrichment-log")
+    write_lines(enrichment_log_lines(batch.enriched(batch.testdata_inputs(spark, sf_dir))), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 QUERIES: dict[str, Query] = {
     "gold_daily": q_gold_daily,
     **{f"agg_{g}": _agg_group(g) for g in
@@ -262,6 +305,9 @@ QUERIES: dict[str, Query] = {
     "gold_unified": q_gold_unified,
     "sample_exact_n": q_sample_exact_n,
     "chunk_export": q_chunk_export,
+    "replay_chunks": q_replay_chunks,
+    "stream_dedup": q_stream_dedup,
+    "enrichment_log": q_enrichment_log,
 }
 
 
@@ -354,6 +400,31 @@ from (select cast(YEAR as bigint) * 100000000 + MONTH * 1000000 + DAY * 10000 +
       from flights_stream)
 where chunk_id < {CHUNK_MAX}
 group by chunk_id"""),
+    "replay_chunks": O.with_stream(
+        "select * from s_gold where window_end <= "
+        "(select max(event_ts) from s_features) - interval 30 minute",
+        METRIC_GROUPS["all"], source="replayed", extra=f""",
+replayed as (
+  select * from flights_stream
+  qualify row_number() over (order by YEAR, MONTH, DAY, SCHEDULED_DEPARTURE,
+                                       cast(FLIGHT_NUMBER as bigint)) <= {CHUNK_ROWS * CHUNK_MAX})"""),
+    "stream_dedup": O.with_stream(
+        "select FLIGHT_NUMBER, FL_DATE, AIRLINE, ORIGIN_AIRPORT, DEPARTURE_DELAY, event_ts from ("
+        "select *, row_number() over (partition by YEAR, MONTH, DAY, FLIGHT_NUMBER, TAIL_NUMBER, "
+        "ORIGIN_AIRPORT, SCHEDULED_DEPARTURE order by event_ts) as rn from s_features) where rn = 1",
+        METRIC_GROUPS["all"]),
+    "enrichment_log": O.with_batch("""
+select 'total_rows=' || count(*) as line from enriched
+union all select 'origin_missing=' || count_if(ORIGIN_AIRPORT_NAME is null) from enriched
+union all select 'dest_missing=' || count_if(DEST_AIRPORT_NAME is null) from enriched
+union all select 'origin_missing_examples:'
+union all select 'dest_missing_examples:'
+union all select coalesce(code, 'None') from (
+  select distinct ORIGIN_AIRPORT as code from enriched where ORIGIN_AIRPORT_NAME is null
+  order by code nulls first limit 50)
+union all select coalesce(code, 'None') from (
+  select distinct DESTINATION_AIRPORT as code from enriched where DEST_AIRPORT_NAME is null
+  order by code nulls first limit 50)"""),
 }
 
 

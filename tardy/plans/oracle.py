@@ -84,7 +84,7 @@ STREAM_BODY = """,
 s_normalized as (
   select * replace (trim(upper(AIRLINE)) as AIRLINE, trim(upper(ORIGIN_AIRPORT)) as ORIGIN_AIRPORT,
                     trim(upper(DESTINATION_AIRPORT)) as DESTINATION_AIRPORT)
-  from flights_stream),
+  from {source}),
 s_clean as (
   select *, try_strptime(printf('%04d-%02d-%02d %02d:%02d:00', YEAR, MONTH, DAY,
                                 cast(trunc(SCHEDULED_DEPARTURE / 100) as int),
@@ -158,13 +158,17 @@ def with_batch(select: str) -> str:
     return f"with {FIXTURES}{BATCH_BODY}\n{select}"
 
 
-def with_stream(select: str, metrics: list[str]) -> str:
-    return "with " + FIXTURES + STREAM_BODY.replace("{metrics}", metric_list(metrics)) + "\n" + select
+def _stream_body(metrics: list[str], source: str) -> str:
+    return STREAM_BODY.replace("{metrics}", metric_list(metrics)).replace("{source}", source)
+
+
+def with_stream(select: str, metrics: list[str], source: str = "flights_stream",
+                extra: str = "") -> str:
+    return "with " + FIXTURES + extra + _stream_body(metrics, source) + "\n" + select
 
 
 def with_batch_and_stream(select: str, metrics: list[str]) -> str:
-    body = STREAM_BODY.replace("{metrics}", metric_list(metrics))
-    return f"with {FIXTURES}{BATCH_BODY}{body}\n{select}"
+    return f"with {FIXTURES}{BATCH_BODY}{_stream_body(metrics, 'flights_stream')}\n{select}"
 
 
 # Windows a finite append-mode stream emits: those closed by the final watermark.

@@ -49,20 +49,25 @@ def windowed_gold(features: DataFrame, watermark: str = WATERMARK_DELAY) -> Data
     return window_gold(features.withWatermark("event_ts", watermark))
 
 
-def gold_batch_writer(gold_path: str, warehouse_path: str | None = None):
+def gold_batch_writer(gold_path: str, warehouse_path: str | None = None, console_rows: int = 0):
     """foreachBatch body for append mode: each closed window is written once
-    per micro-batch, under load_id = s<batch_id>."""
+    per micro-batch, under load_id = s<batch_id>. ``console_rows`` > 0 also
+    prints that many rows of the batch (debug view, no second query)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("processed_at", F.current_timestamp())
         targets = [p for p in (gold_path, warehouse_path) if p]
-        if len(targets) > 1:
+        shared = len(targets) > 1 or console_rows > 0
+        if shared:
             rows = rows.persist()
         try:
+            if console_rows > 0:
+                print(f"-- micro-batch {batch_id}")
+                rows.show(console_rows, truncate=True)
             for path in targets:
                 sinks.write_gold(rows, path, load_id=f"s{batch_id:012d}")
         finally:
-            if len(targets) > 1:
+            if shared:
                 rows.unpersist()
 
     return write
@@ -100,15 +105,21 @@ class StreamJob:
     watermark: str = WATERMARK_DELAY
     available_now: bool = True
     processing_time: str | None = None
+    dedup_within: str | None = None
+    console_rows: int = 0
+    input_glob: str | None = None
 
     def start(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> StreamingQuery:
         source = read_flights_stream(spark, self.input_dir,
-                                     max_files_per_trigger=self.max_files_per_trigger)
-        gold = windowed_gold(stream_features(source, airlines, airports), self.watermark)
+                                     max_files_per_trigger=self.max_files_per_trigger,
+                                     glob=self.input_glob)
+        rows = stream_features(source, airlines, airports, self.dedup_within)
+        gold = windowed_gold(rows, self.watermark)
         if self.update_log_path:
             mode, body = "update", update_log_writer(self.update_log_path)
         else:
-            mode, body = "append", gold_batch_writer(self.gold_path, self.warehouse_path)
+            mode, body = "append", gold_batch_writer(self.gold_path, self.warehouse_path,
+                                                     self.console_rows)
         writer = (
             gold.writeStream.outputMode(mode)
             .option("checkpointLocation", self.checkpoint)
@@ -130,3 +141,23 @@ class StreamJob:
                 q.stop()
         if q.exception() is not None:
             raise RuntimeError(f"stream failed: {q.exception()}")
+
+
+def replay_chunks(spark: SparkSession, chunks_path: str, chunk_ids: list[int], job: StreamJob,
+                  airlines: DataFrame, airports: DataFrame) -> None:
+    """Timed replay of exported chunks: copy chunk i into the stream's input
+    folder only after chunk i-1 has been processed, like files uploaded one by
+    one. ``job.input_dir`` should be a glob over per-chunk folders (``in/*``)."""
+    from tardy.sources.csv import read_flights_csv, write_csv
+
+    job.available_now = False
+    base = job.input_dir.rstrip("*").rstrip("/")
+    q = job.start(spark, airlines, airports)
+    try:
+        for i in chunk_ids:
+            write_csv(read_flights_csv(spark, f"{chunks_path}/chunk_id={i}"), f"{base}/chunk_{i:05d}")
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")

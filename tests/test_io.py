@@ -78,3 +78,31 @@ def test_write_and_read_plans_push_filters(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_guarded_write_records_and_raises(spark):
+    from tardy.sinks.audit import guarded_write
+
+    audit = scratch_path(spark, "audit")
+    guarded_write(spark, "ok-step", lambda: None, audit)
+
+    def boom():
+        raise OSError("disk full")
+
+    with pytest.raises(RuntimeError, match="boom-step write failed"):
+        guarded_write(spark, "boom-step", boom, audit)
+    rows = {r["step"]: r for r in spark.read.parquet(audit).collect()}
+    assert rows["ok-step"]["status"] == "ok" and rows["ok-step"]["error"] is None
+    assert rows["boom-step"]["status"] == "failed" and "disk full" in rows["boom-step"]["error"]
+
+
+def test_batch_job_writes_log_and_warehouse(spark):
+    inputs = batch.testdata_inputs(spark, SF_SMALL)
+    paths = {n: scratch_path(spark, n) for n in ("silver", "gold", "wh", "log", "audit")}
+    diag = batch.run_batch(spark, inputs, paths["silver"], paths["gold"], warehouse_path=paths["wh"],
+                           log_path=paths["log"], audit_path=paths["audit"])
+    lines = [r[0] for r in spark.read.text(paths["log"]).collect()]
+    assert lines[0] == f"total_rows={diag['total_rows']}"
+    assert lines[3] == "origin_missing_examples:" and "dest_missing_examples:" in lines
+    assert sinks.read_gold(spark, paths["wh"]).count() == sinks.read_gold(spark, paths["gold"]).count()
+    assert {r[0] for r in spark.read.parquet(paths["audit"]).select("status").collect()} == {"ok"}

@@ -153,3 +153,12 @@ def test_single_query_serves_all_sinks(spark):
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert set(r[0] for r in a.select("aggregation_type").distinct().collect()) == {"streaming_15min"}
     assert a.filter(F.col("load_id").startswith("s")).count() == a.count()
+
+
+def test_console_preview_inside_the_single_sink(spark, capsys):
+    src, gold = scratch_path(spark, "cp-in"), scratch_path(spark, "cp-gold")
+    airlines, airports = _dims(spark)
+    _put(src, "a.csv", [_csv_line(10, 1000, "a"), _csv_line(10, 1400, "z")])
+    StreamJob(input_dir=src, checkpoint=scratch_path(spark, "cp-ckpt"), gold_path=gold,
+              console_rows=5).run_available(spark, airlines, airports)
+    assert "-- micro-batch" in capsys.readouterr().out
