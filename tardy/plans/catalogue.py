@@ -201,10 +201,10 @@ def q_gold_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- dataset preparation
 
-# Sample size and seed (the sampler's defaults), rows per replay
-# chunk and number of chunks replayed.
+# Sample size (the sampler's default) and seed; rows per chunk
+# file (the splitter's default) and number of files replayed (the replay loop's).
 SAMPLE_N, SAMPLE_SEED = 50_000, 42
-CHUNK_ROWS, CHUNK_MAX = 700, 20
+CHUNK_ROWS, CHUNK_MAX = 50_000, 20
 
 
 def stream_order() -> list:
