@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 _PREFIX_HEX = 15                      # 60 bits of the digest, fits a signed long
 _PREFIX_SPACE = 16 ** _PREFIX_HEX
+# Up to this n the exact cut is a top-n (each task keeps n rows, one task merges);
+# above it the cut uses the distributed row position instead.
+TOP_N_MAX = 1_000_000
 
 
 def sample_hash(seed: int | str, key_cols: list[str]) -> Column:
@@ -29,7 +32,8 @@ def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int | str =
 
     ``key_cols`` should identify a row (duplicates of a key are kept or
     dropped together, in key order). Runs one count, one pass that keeps
-    about n + 8*sqrt(n) rows, and a top-n over that small slice."""
+    about n + 8*sqrt(n) rows, and an exact cut of that slice: a top-n for
+    moderate n, a range-partitioned row position for large n."""
     total = df.count()
     if total <= n:
         return df
@@ -42,4 +46,9 @@ def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int | str =
         if frac >= 1.0 or slice_.count() >= n:
             break
         frac = min(1.0, frac * 2)
-    return slice_.orderBy("_sample_h", *key_cols).limit(n).drop("_sample_h")
+    if n <= TOP_N_MAX:
+        return slice_.orderBy("_sample_h", *key_cols).limit(n).drop("_sample_h")
+    from tardy.operators.chunks import with_row_position
+
+    ranked = with_row_position(slice_, ["_sample_h", *key_cols])
+    return ranked.filter(F.col("row_index") < n).drop("_sample_h", "row_index")

@@ -32,6 +32,8 @@ LOCAL_CONF = {
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit only the changed state each micro-batch instead of a full snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

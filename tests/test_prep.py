@@ -53,3 +53,13 @@ def test_chunk_export_caps_files(spark):
     back = spark.read.option("header", True).csv(path)
     counts = {r[0]: r[1] for r in back.groupBy("chunk_id").count().collect()}
     assert counts == {0: 100, 1: 100, 2: 100}
+
+
+def test_large_n_cut_uses_row_positions(spark, monkeypatch):
+    import tardy.operators.sample as S
+
+    flights = testdata.flights(spark, SF_SMALL)
+    small = S.sample_exact_n(flights, 700, testdata.FLIGHTS_ROW_KEY, seed=3)
+    monkeypatch.setattr(S, "TOP_N_MAX", 10)
+    large = S.sample_exact_n(flights, 700, testdata.FLIGHTS_ROW_KEY, seed=3)
+    assert large.count() == 700 and _keys(small) == _keys(large)
