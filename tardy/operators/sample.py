@@ -4,8 +4,8 @@ The sample is "the n rows with the smallest md5(seed | key)": a random
 permutation fixed by the seed, independent of file layout and partitioning,
 and reproducible outside Spark. To avoid a global sort (or a top-n merge that
 receives n rows from every task), rows are first restricted to a prefix of the
-hash space sized to hold slightly more than n rows; that slice is checkpointed,
-checked, and cut exactly. If the slice is short (rare) it is widened.
+hash space sized to hold slightly more than n rows; that slice is materialised
+in the shared scratch folder, checked, and cut exactly. If the slice is short (rare) it is widened.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tardy.session import materialize
+
 _PREFIX_HEX = 15                      # 60 bits of the digest, fits a signed long
 _PREFIX_SPACE = 16 ** _PREFIX_HEX
 # Up to this n the exact cut is a top-n (each task keeps n rows, one task merges);
@@ -42,7 +44,7 @@ def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int | str =
     frac = min(1.0, (n + 8 * math.sqrt(n) + 16) / total)
     while True:
         bound = int(frac * _PREFIX_SPACE)
-        slice_ = hashed.filter(prefix < F.lit(bound)).checkpoint(eager=True)
+        slice_ = materialize(hashed.filter(prefix < F.lit(bound)), "sample-slice")
         if frac >= 1.0 or slice_.count() >= n:
             break
         frac = min(1.0, frac * 2)

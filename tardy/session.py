@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for local[N] runs (tests, bench). On a cluster these come from spark-submit.
 LOCAL_CONF = {
@@ -70,3 +70,14 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the scratch root (not created)."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with one pass: write ``df`` as Parquet under the shared
+    scratch root and read it back. Survives executor loss (the files live on
+    the shared file system) and, unlike a reliable ``checkpoint()``, computes
+    the input only once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

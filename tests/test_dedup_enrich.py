@@ -80,3 +80,27 @@ def test_stream_enrichment_has_no_destination_join(spark, flights_df):
     inputs = batch.testdata_inputs(spark, SF_SMALL)
     out = enrich_flights(flights_df([{}]), inputs.airlines, inputs.airports, with_destination=False)
     assert "DEST_AIRPORT_NAME" not in out.columns and "ORIGIN_AIRPORT_NAME" in out.columns
+
+
+def test_hot_key_holding_a_third_of_the_rows(spark, flights_df):
+    """A third of the rows share one dedup key (and one gold group); results
+    equal a brute-force computation, whatever the partitioning."""
+    from tardy.functions.clock import add_calendar_columns
+    from tardy.functions.flags import add_flags
+    from tardy.operators.aggregate import daily_gold
+
+    hot = [{"FLIGHT_NUMBER": "HOT", "DEPARTURE_DELAY": float(50 - i % 50)} for i in range(600)]
+    cold = [{"FLIGHT_NUMBER": str(i), "DEPARTURE_DELAY": float(i % 70), "ORIGIN_AIRPORT": f"N{i % 5}"}
+            for i in range(1200)]
+    df = flights_df(hot + cold).repartition(6)
+    d = dedup_first(df)
+    survivors = d.filter("FLIGHT_NUMBER = 'HOT'").collect()
+    assert len(survivors) == 1 and survivors[0]["DEPARTURE_DELAY"] == 1.0  # smallest delay wins
+    assert d.count() == 1 + 1200
+    named = add_flags(add_calendar_columns(df)).withColumns({
+        "AIRLINE_NAME": F.lit("a"), "ORIGIN_AIRPORT_NAME": F.lit("o"),
+        "ORIGIN_CITY": F.lit("c"), "ORIGIN_STATE": F.lit("s")})
+    g = {r["ORIGIN_AIRPORT"]: r for r in daily_gold(named).collect()}
+    expect_n1 = 600 + sum(1 for r in cold if r["ORIGIN_AIRPORT"] == "N1")
+    assert g["N1"]["num_flights"] == expect_n1
+    assert sum(r["num_flights"] for r in g.values()) == 1800
