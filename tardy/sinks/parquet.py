@@ -24,9 +24,15 @@ MAX_RECORDS_PER_FILE = 100_000
 
 
 def _partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str],
-                           max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+                           max_records_per_file: int = MAX_RECORDS_PER_FILE,
+                           adaptive: bool = True) -> None:
+    """``adaptive``: REBALANCE hint (AQE sizes tasks and splits hot values).
+    Stateful micro-batches run without AQE, where the hint is ignored; their
+    output (bounded by the micro-batch) is hash-clustered instead."""
+    cols = [F.col(c) for c in partition_cols]
+    clustered = df.hint("rebalance", *cols) if adaptive else df.repartition(*cols)
     (
-        df.hint("rebalance", *partition_cols)
+        clustered
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
@@ -44,9 +50,11 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_gold(gold: DataFrame, path: str, load_id: str = BATCH_LOAD_ID) -> None:
+def write_gold(gold: DataFrame, path: str, load_id: str = BATCH_LOAD_ID,
+               adaptive: bool = True) -> None:
     """Gold rows (batch or one stream micro-batch) under (aggregation_type, FL_DATE, load_id)."""
-    _partitioned_overwrite(gold.withColumn("load_id", F.lit(load_id)), path, GOLD_PARTITIONS)
+    _partitioned_overwrite(gold.withColumn("load_id", F.lit(load_id)), path, GOLD_PARTITIONS,
+                           adaptive=adaptive)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

@@ -65,7 +65,7 @@ def gold_batch_writer(gold_path: str, warehouse_path: str | None = None, console
                 print(f"-- micro-batch {batch_id}")
                 rows.show(console_rows, truncate=True)
             for path in targets:
-                sinks.write_gold(rows, path, load_id=f"s{batch_id:012d}")
+                sinks.write_gold(rows, path, load_id=f"s{batch_id:012d}", adaptive=False)
         finally:
             if shared:
                 rows.unpersist()
