@@ -108,8 +108,22 @@ class StreamJob:
     dedup_within: str | None = None
     console_rows: int = 0
     input_glob: str | None = None
+    # Stateful micro-batches run without AQE: the number of state partitions is
+    # fixed when the checkpoint is created. None = the session's shuffle partitions.
+    state_partitions: int | None = None
 
     def start(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> StreamingQuery:
+        if self.state_partitions is None:
+            return self._start(spark, airlines, airports)
+        key = "spark.sql.shuffle.partitions"
+        previous = spark.conf.get(key)
+        spark.conf.set(key, str(self.state_partitions))
+        try:
+            return self._start(spark, airlines, airports)
+        finally:
+            spark.conf.set(key, previous)
+
+    def _start(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> StreamingQuery:
         source = read_flights_stream(spark, self.input_dir,
                                      max_files_per_trigger=self.max_files_per_trigger,
                                      glob=self.input_glob)

@@ -162,3 +162,16 @@ def test_console_preview_inside_the_single_sink(spark, capsys):
     StreamJob(input_dir=src, checkpoint=scratch_path(spark, "cp-ckpt"), gold_path=gold,
               console_rows=5).run_available(spark, airlines, airports)
     assert "-- micro-batch" in capsys.readouterr().out
+
+
+def test_state_partitions_are_fixed_per_query(spark):
+    src, gold = scratch_path(spark, "sp-in"), scratch_path(spark, "sp-gold")
+    airlines, airports = _dims(spark)
+    _put(src, "a.csv", [_csv_line(10, 1000, "a"), _csv_line(10, 1400, "z")])
+    job = StreamJob(input_dir=src, checkpoint=scratch_path(spark, "sp-ckpt"), gold_path=gold,
+                    state_partitions=3)
+    q = job.start(spark, airlines, airports)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # session untouched
+    agg = [o for o in q.lastProgress["stateOperators"]]
+    assert agg and agg[0]["numShufflePartitions"] == 3
