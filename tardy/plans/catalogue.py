@@ -14,14 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.functions.clock import add_calendar_columns, add_event_time
+from tardy.functions.clock import add_event_time
 from tardy.functions.codes import airline_dimension, airport_dimension, normalize_flight_codes
-from tardy.functions.flags import add_flags
 from tardy.functions.metrics import METRIC_GROUPS
 from tardy.operators.aggregate import daily_gold, window_gold
 from tardy.operators.chunks import export_chunks
 from tardy.operators.sample import sample_exact_n
-from tardy.operators.clean import apply_quality_filters, dedup_first, rejection_report
+from tardy.operators.clean import apply_quality_filters, rejection_report
 from tardy.operators.enrich import (
     enrichment_diagnostics,
     unmatched_code_counts,
@@ -29,7 +28,7 @@ from tardy.operators.enrich import (
 )
 from tardy.plans import batch
 from tardy.plans import oracle as O
-from tardy.schema import DEDUP_KEYS, FLIGHT_SCHEMA
+from tardy.schema import FLIGHT_SCHEMA
 from tardy.session import scratch_path
 from tardy.sinks import parquet as sinks
 from tardy.sources import testdata

@@ -60,8 +60,3 @@ def write_gold(gold: DataFrame, path: str, load_id: str = BATCH_LOAD_ID,
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """All gold rows; stream rows carry window bounds, batch rows null there."""
     return spark.read.option("mergeSchema", True).parquet(path)
-
-
-def write_log_lines(spark: SparkSession, lines: DataFrame, path: str) -> None:
-    """Text log sink: one line per row of a single string column."""
-    lines.coalesce(1).write.mode("overwrite").text(path)
