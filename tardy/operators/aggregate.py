@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tardy.functions.metrics import ALL_METRICS, aggregate_metrics
 from tardy.schema import BATCH_LABEL, GOLD_KEYS, STREAM_LABEL
 
+# The gold grain by codes only; the names are functions of the codes (the
+# dimension guard proves the keys unique), so they can be attached afterwards.
+CODE_KEYS = ["FL_DATE", "AIRLINE", "ORIGIN_AIRPORT"]
+
 # Stream window geometry and lateness bound.
 WINDOW_SIZE = "15 minutes"
 WINDOW_SLIDE = "5 minutes"
@@ -27,7 +31,8 @@ def daily_gold(features: DataFrame, metrics: list[str] = ALL_METRICS,
 
 def window_gold(features: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                 metrics: list[str] = ALL_METRICS, label: str | None = STREAM_LABEL,
-                processed_at: bool = False, time_col: str = "event_ts") -> DataFrame:
+                processed_at: bool = False, time_col: str = "event_ts",
+                keys: list[str] = GOLD_KEYS) -> DataFrame:
     """Statistics per sliding window x FL_DATE x airline x origin.
 
     Works on batch and streaming frames (for a stream, set the watermark on
@@ -37,9 +42,9 @@ def window_gold(features: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDO
     the same clock the event time was parsed from."""
     needed = {time_col, "DEPARTURE_DELAY", "is_delayed", "is_on_time", "delay_category",
               "is_weekend", "is_rush_hour", "DISTANCE", "AIR_TIME", "CANCELLED", "DIVERTED",
-              *GOLD_KEYS}
+              *keys}
     slim = features.select(*[c for c in features.columns if c in needed])
-    grouped = slim.groupBy(F.window(time_col, size, slide).alias("time_window"), *GOLD_KEYS)
+    grouped = slim.groupBy(F.window(time_col, size, slide).alias("time_window"), *keys)
     out = aggregate_metrics(grouped, metrics)
     out = out.withColumns({
         "window_start": F.col("time_window.start").cast("timestamp_ntz"),

@@ -69,6 +69,30 @@ def enrich_flights(df: DataFrame, airlines: DataFrame, airports: DataFrame,
     return out
 
 
+def attach_names(gold: DataFrame, airlines: DataFrame, airports: DataFrame,
+                 guard: bool = True) -> DataFrame:
+    """Add AIRLINE_NAME and the origin's name / city / state to rows keyed by
+    AIRLINE and ORIGIN_AIRPORT codes (e.g. statistics aggregated by code).
+
+    Same result as joining before aggregating — keys are unique — but the
+    join touches one row per group instead of one per fact, and the names
+    stay out of shuffle and state keys."""
+    if guard:
+        airlines = guarded_dimension(airlines, "AIRLINE_CODE")
+        airports = guarded_dimension(airports, "AIRPORT_CODE")
+    origin = airports.select(
+        F.col("AIRPORT_CODE").alias("_origin_code"),
+        F.col("AIRPORT_NAME").alias("ORIGIN_AIRPORT_NAME"),
+        F.col("CITY_NAME").alias("ORIGIN_CITY"),
+        F.col("STATE_CODE").alias("ORIGIN_STATE"),
+    )
+    return (
+        gold.join(airlines, F.col("AIRLINE") == F.col("AIRLINE_CODE"), "left")
+        .join(origin, F.col("ORIGIN_AIRPORT") == F.col("_origin_code"), "left")
+        .drop("AIRLINE_CODE", "_origin_code")
+    )
+
+
 def enrichment_diagnostics(enriched: DataFrame) -> DataFrame:
     """One row: total_rows, origin_missing, dest_missing (rows without a match),
     computed in one aggregate pass."""

@@ -10,17 +10,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tardy.functions.clock import add_calendar_columns
 from tardy.functions.codes import airline_dimension, airport_dimension, normalize_flight_codes
 from tardy.functions.flags import add_flags
-from tardy.operators.aggregate import daily_gold
+from tardy.operators.aggregate import CODE_KEYS, daily_gold, window_gold
 from tardy.operators.clean import clean_flights
-from tardy.operators.enrich import enrich_flights, enrichment_diagnostics
+from tardy.operators.enrich import attach_names, enrich_flights, enrichment_diagnostics
+from tardy.schema import STREAM_LABEL
 from tardy.sinks import parquet as sinks
 from tardy.sinks.audit import enrichment_log_lines, guarded_write, write_lines
 from tardy.sources import testdata
-from tardy.streaming.pipeline import stream_features as streaming_rows
+from tardy.streaming.pipeline import stream_features as streaming_features
+from tardy.streaming.pipeline import stream_rows
 
 
 @dataclass
@@ -59,7 +62,14 @@ def gold(inputs: Inputs, metrics=None) -> DataFrame:
 
 def stream_features(inputs: Inputs) -> DataFrame:
     """The stream job's row pipeline on a bounded frame (see ``streaming.pipeline``)."""
-    return streaming_rows(inputs.flights, inputs.airlines, inputs.airports)
+    return streaming_features(inputs.flights, inputs.airlines, inputs.airports)
+
+
+def stream_window_gold(inputs: Inputs) -> DataFrame:
+    """The stream job's window statistics computed on a bounded frame (no watermark)."""
+    by_code = window_gold(stream_rows(inputs.flights), keys=CODE_KEYS, label=None)
+    return attach_names(by_code, inputs.airlines, inputs.airports).withColumn(
+        "aggregation_type", F.lit(STREAM_LABEL))
 
 
 def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tardy.functions.clock import add_event_time
 from tardy.functions.codes import airline_dimension, airport_dimension, normalize_flight_codes
 from tardy.functions.metrics import METRIC_GROUPS
-from tardy.operators.aggregate import daily_gold, window_gold
+from tardy.operators.aggregate import daily_gold
 from tardy.operators.chunks import export_chunks
 from tardy.operators.sample import sample_exact_n
 from tardy.operators.clean import apply_quality_filters, rejection_report
@@ -159,8 +159,7 @@ def q_partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- windows
 
 def q_gold_window_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feats = batch.stream_features(batch.testdata_inputs(spark, sf_dir, stream=True))
-    return window_gold(feats)
+    return batch.stream_window_gold(batch.testdata_inputs(spark, sf_dir, stream=True))
 
 
 def _stream_input(spark: SparkSession, sf_dir: str) -> str:

@@ -21,19 +21,19 @@ from pyspark.sql.streaming import StreamingQuery
 from tardy.functions.clock import add_calendar_columns, add_event_time
 from tardy.functions.codes import normalize_flight_codes
 from tardy.functions.flags import add_flags
-from tardy.operators.aggregate import WATERMARK_DELAY, window_gold
+from tardy.operators.aggregate import CODE_KEYS, WATERMARK_DELAY, window_gold
 from tardy.operators.clean import clean_flights, dedup_first
-from tardy.operators.enrich import enrich_flights
-from tardy.schema import DEDUP_KEYS, GOLD_KEYS
+from tardy.operators.enrich import attach_names, enrich_flights
+from tardy.schema import DEDUP_KEYS, GOLD_KEYS, STREAM_LABEL
 from tardy.sinks import parquet as sinks
 from tardy.sources.csv import read_flights_stream
 
 WINDOW_KEYS = ["window_start", "window_end", *GOLD_KEYS]
 
 
-def stream_features(flights: DataFrame, airlines: DataFrame, airports: DataFrame,
-                    dedup_within: str | None = None) -> DataFrame:
-    """Row pipeline of the stream job; works on streaming and bounded frames.
+def stream_rows(flights: DataFrame, dedup_within: str | None = None) -> DataFrame:
+    """Row pipeline of the stream job without the dimension joins; works on
+    streaming and bounded frames.
 
     ``dedup_within`` (e.g. "30 minutes") turns on the stream form of the batch
     dedup: ``dropDuplicatesWithinWatermark`` on the dedup key."""
@@ -41,14 +41,31 @@ def stream_features(flights: DataFrame, airlines: DataFrame, airports: DataFrame
     timed = add_event_time(clean)
     if dedup_within is not None:
         timed = timed.withWatermark("event_ts", dedup_within).dropDuplicatesWithinWatermark(DEDUP_KEYS)
-    joined = enrich_flights(timed, airlines, airports, with_destination=False)
-    return add_flags(add_calendar_columns(joined))
+    return add_flags(add_calendar_columns(timed))
+
+
+def stream_features(flights: DataFrame, airlines: DataFrame, airports: DataFrame,
+                    dedup_within: str | None = None) -> DataFrame:
+    """Stream rows joined to the airline and origin dimensions (per row)."""
+    rows = stream_rows(flights, dedup_within)
+    return enrich_flights(rows, airlines, airports, with_destination=False)
 
 
 def windowed_gold(features: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
+    """Window statistics of rows that already carry the names (7-column grain)."""
     return window_gold(features.withWatermark("event_ts", watermark))
 
 
+def windowed_gold_by_code(rows: DataFrame, airlines: DataFrame, airports: DataFrame,
+                          watermark: str = WATERMARK_DELAY) -> DataFrame:
+    """Window statistics keyed by codes, names attached to the aggregated rows.
+
+    Same output as ``windowed_gold(stream_features(...))``; the state keys hold
+    codes only and the joins run once per emitted window row."""
+    by_code = window_gold(rows.withWatermark("event_ts", watermark), keys=CODE_KEYS, label=None)
+    return attach_names(by_code, airlines, airports).withColumn("aggregation_type", F.lit(STREAM_LABEL))
+
+
 def gold_batch_writer(gold_path: str, warehouse_path: str | None = None, console_rows: int = 0):
     """foreachBatch body for append mode: each closed window is written once
     per micro-batch, under load_id = s<batch_id>. ``console_rows`` > 0 also
@@ -127,8 +144,8 @@ class StreamJob:
         source = read_flights_stream(spark, self.input_dir,
                                      max_files_per_trigger=self.max_files_per_trigger,
                                      glob=self.input_glob)
-        rows = stream_features(source, airlines, airports, self.dedup_within)
-        gold = windowed_gold(rows, self.watermark)
+        rows = stream_rows(source, self.dedup_within)
+        gold = windowed_gold_by_code(rows, airlines, airports, self.watermark)
         if self.update_log_path:
             mode, body = "update", update_log_writer(self.update_log_path)
         else:
