@@ -9,6 +9,7 @@ the DuckDB oracle runs the same text against its registered views.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FLIGHTS_SQL = """
 select cast(year(dt) as int) as YEAR, cast(month(dt) as int) as MONTH, cast(day(dt) as int) as DAY,
@@ -73,11 +74,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields fewer
+    """Spread the rows over the cluster's cores when the scan yields fewer
     splits than cores (e.g. one Parquet row group). Large inputs already have
-    more splits than cores and are returned unchanged (no extra shuffle)."""
+    more splits than cores and are returned unchanged (no extra shuffle).
+
+    Hash of all columns: deterministic on task retry without the local sort a
+    round-robin repartition needs, and not skewed by any single column."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *[F.col(c) for c in df.columns])
 
 
 def _run(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
