@@ -42,7 +42,9 @@ def apply_quality_filters(df: DataFrame, require_destination: bool = True) -> Da
 def rejection_report(df: DataFrame, require_destination: bool = True) -> DataFrame:
     """One row: total_rows, rows lost to each rule (first failing rule wins), kept_rows.
 
-    A single aggregate pass (partial + final), whatever the input size."""
+    A single aggregate pass (partial + final), whatever the input size. When
+    the input carries the CSV reader's ``_corrupt_record`` column, the rows
+    with a malformed field (kept, that field null) are counted too."""
     passed = F.lit(True)
     exprs = [F.count(F.lit(1)).alias("total_rows")]
     for name, cond in quality_rules(require_destination):
@@ -50,6 +52,8 @@ def rejection_report(df: DataFrame, require_destination: bool = True) -> DataFra
         exprs.append(F.count_if(passed & ~ok).alias(f"rejected_{name}"))
         passed = passed & ok
     exprs.append(F.count_if(passed).alias("kept_rows"))
+    if "_corrupt_record" in df.columns:
+        exprs.append(F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed_rows"))
     return df.agg(*exprs)
 
 

@@ -10,25 +10,35 @@ from pyspark.sql import types as T
 from tardy.schema import FLIGHT_SCHEMA
 
 
+CORRUPT_COLUMN = "_corrupt_record"
+
+
 def read_flights_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType = FLIGHT_SCHEMA,
     enforce_schema: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Fact CSV folder (or file, gzip by extension) with a header and a declared schema.
 
     ``enforceSchema=false`` makes Spark check header names against the schema,
     so a file whose columns are in another order fails instead of binding by
-    position. Malformed fields (e.g. ``2354.0`` in an int column) become null.
+    position. Malformed fields (e.g. ``2354.0`` in an int column) become null
+    and the row is kept; with ``keep_corrupt`` the raw line of such rows is
+    kept in ``_corrupt_record`` so reports can count them.
     """
-    return (
+    if keep_corrupt:
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    reader = (
         spark.read.option("header", True)
         .option("enforceSchema", enforce_schema)
         .option("mode", "PERMISSIVE")
         .schema(schema)
-        .csv(path)
     )
+    if keep_corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    return reader.csv(path)
 
 
 def read_dimension_csv(spark: SparkSession, path: str) -> DataFrame:

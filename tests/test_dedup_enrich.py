@@ -104,3 +104,15 @@ def test_hot_key_holding_a_third_of_the_rows(spark, flights_df):
     expect_n1 = 600 + sum(1 for r in cold if r["ORIGIN_AIRPORT"] == "N1")
     assert g["N1"]["num_flights"] == expect_n1
     assert sum(r["num_flights"] for r in g.values()) == 1800
+
+
+@pytest.mark.parametrize("name", ["gold_daily", "dedup_first", "enrich_left_joins", "gold_window_batch",
+                                  "rejection_report", "enrichment_diagnostics"])
+def test_no_single_partition_exchange_over_data(spark, name):
+    from tardy.plans import catalogue
+
+    lines = _plan(catalogue.QUERIES[name](spark, SF_SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            # allowed only above a partial aggregate: one row per task, not the data
+            assert "partial_" in lines[i + 1], "\n".join(lines[i:i + 3])

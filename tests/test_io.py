@@ -155,3 +155,20 @@ def test_partitioned_writes_are_clustered(spark):
     gold = catalogue._run_stream(spark, SF_SMALL, gold_path=scratch_path(spark, "gold")).gold_path
     gold_files = _files_per_leaf(gold)
     assert len(gold_files) >= 20 and max(gold_files.values()) == 1
+
+
+def test_malformed_rows_are_counted(spark):
+    from tardy.functions.codes import normalize_flight_codes
+    from tardy.operators.clean import rejection_report
+
+    names = [f.name for f in FLIGHT_SCHEMA.fields]
+    good = ["2015", "1", "5", "1", "AA", "12", "T1", "JFK", "LAX", "700"] + [""] * (len(names) - 10)
+    bad = good[:9] + ["2354.0"] + good[10:]
+    good[names.index("DEPARTURE_DELAY")] = bad[names.index("DEPARTURE_DELAY")] = "5.0"
+    good[names.index("CANCELLED")] = bad[names.index("CANCELLED")] = "0"
+    good[names.index("DIVERTED")] = bad[names.index("DIVERTED")] = "0"
+    path = scratch_path(spark, "csv-corrupt")
+    _write_text(spark, path, [",".join(names), ",".join(good), ",".join(bad)])
+    df = read_flights_csv(spark, path, keep_corrupt=True).cache()
+    r = rejection_report(normalize_flight_codes(df)).first().asDict()
+    assert r["total_rows"] == 2 and r["kept_rows"] == 2 and r["malformed_rows"] == 1
