@@ -19,9 +19,10 @@ WATERMARK_DELAY = "30 minutes"
 
 
 def daily_gold(features: DataFrame, metrics: list[str] = ALL_METRICS,
-               label: str | None = BATCH_LABEL, processed_at: bool = False) -> DataFrame:
+               label: str | None = BATCH_LABEL, processed_at: bool = False,
+               keys: list[str] = GOLD_KEYS) -> DataFrame:
     """Statistics per FL_DATE x airline x origin (partial + final hash aggregate)."""
-    out = aggregate_metrics(features.groupBy(*GOLD_KEYS), metrics)
+    out = aggregate_metrics(features.groupBy(*keys), metrics)
     if label is not None:
         out = out.withColumn("aggregation_type", F.lit(label))
     if processed_at:

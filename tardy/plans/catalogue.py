@@ -64,8 +64,7 @@ def q_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _agg_group(group: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feats = batch.features(batch.testdata_inputs(spark, sf_dir))
-        return daily_gold(feats, METRIC_GROUPS[group], label=None)
+        return batch.gold(batch.testdata_inputs(spark, sf_dir), METRIC_GROUPS[group], label=None)
     run.__name__ = f"q_agg_{group}"
     return run
 
