@@ -430,4 +430,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    return {k: O.bigint_counts(v) for k, v in ORACLE.items() if k in QUERIES}

@@ -194,3 +194,24 @@ def conformed_flights_select(source: str) -> str:
         duck = _DUCK_TYPES[repr(typ)]
         cols.append(f"cast({name if name in fixture_cols else 'null'} as {duck}) as {name}")
     return f"select {', '.join(cols)} from {source}"
+
+
+def bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``cast(... as bigint)``: DuckDB returns
+    HUGEINT there, Spark's count_if is BIGINT."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0 or sql[max(0, j - 5):j] == "cast(":
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(token)])
+            i = j + len(token)
+            continue
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "cast(" + sql[j:k] + " as bigint)")
+        i = k
