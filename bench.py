@@ -38,6 +38,33 @@ def run_once(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - t0
 
 
+def stream_stats(spark, sf_dir: str) -> dict:
+    """Throughput and state size of the stream job on the whole stream fixture."""
+    from tardy.plans import batch
+    from tardy.session import scratch_path
+    from tardy.streaming.pipeline import StreamJob
+
+    inputs = batch.testdata_inputs(spark, sf_dir, stream=True)
+    job = StreamJob(input_dir=catalogue._stream_input(spark, sf_dir),
+                    checkpoint=scratch_path(spark, "bench-ckpt"),
+                    gold_path=scratch_path(spark, "bench-gold"), max_files_per_trigger=None)
+    t0 = time.perf_counter()
+    q = job.start(spark, inputs.airlines, inputs.airports)
+    q.awaitTermination()
+    wall = time.perf_counter() - t0
+    progress = q.recentProgress
+    rows = sum(p["numInputRows"] for p in progress)
+    trigger_ms = sum(p["durationMs"].get("triggerExecution", 0) for p in progress)
+    state = [o["numRowsTotal"] for p in progress for o in p.get("stateOperators", [])]
+    return {
+        "input_rows": rows,
+        "micro_batches": len(progress),
+        "rows_per_sec_trigger": round(rows / (trigger_ms / 1000), 1) if trigger_ms else None,
+        "rows_per_sec_wall": round(rows / wall, 1),
+        "peak_state_rows": max(state) if state else 0,
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -51,6 +78,7 @@ def main() -> None:
         times = [run_once(spark, q, sf_dir) for _ in range(repeat)]
         per_query[q] = round(statistics.median(times), 3)
         runs[q] = [round(t, 2) for t in times]
+    stream = stream_stats(spark, sf_dir) if "gold_window_stream" in wanted else None
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_total_median_sec",
@@ -59,6 +87,7 @@ def main() -> None:
         "queries": per_query,
         "cold_sec": {k: round(v, 3) for k, v in cold.items()},
         "runs": runs,
+        "stream": stream,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
         "repeat": repeat,
