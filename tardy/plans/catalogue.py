@@ -17,24 +17,28 @@ from pyspark.sql import functions as F
 from tardy.functions.clock import add_event_time
 from tardy.functions.codes import airline_dimension, airport_dimension, normalize_flight_codes
 from tardy.functions.metrics import METRIC_GROUPS
-from tardy.operators.aggregate import daily_gold
 from tardy.operators.chunks import export_chunks
-from tardy.operators.sample import sample_exact_n
 from tardy.operators.clean import apply_quality_filters, rejection_report
 from tardy.operators.enrich import (
     enrichment_diagnostics,
     unmatched_code_counts,
     unmatched_code_examples,
 )
+from tardy.operators.sample import sample_exact_n
 from tardy.plans import batch
 from tardy.plans import oracle as O
 from tardy.schema import FLIGHT_SCHEMA
 from tardy.session import scratch_path
 from tardy.sinks import parquet as sinks
-from tardy.sources import testdata
-from tardy.sources.csv import conform, read_dimension_csv, read_flights_csv, write_csv
 from tardy.sinks.audit import enrichment_log_lines, write_lines
-from tardy.sources.csv import read_flights_stream
+from tardy.sources import testdata
+from tardy.sources.csv import (
+    conform,
+    read_dimension_csv,
+    read_flights_csv,
+    read_flights_stream,
+    write_csv,
+)
 from tardy.streaming.pipeline import StreamJob, latest_window_values, replay_chunks, stream_features
 
 Query = Callable[[SparkSession, str], DataFrame]
