@@ -63,3 +63,29 @@ def test_large_n_cut_uses_row_positions(spark, monkeypatch):
     monkeypatch.setattr(S, "TOP_N_MAX", 10)
     large = S.sample_exact_n(flights, 700, testdata.FLIGHTS_ROW_KEY, seed=3)
     assert large.count() == 700 and _keys(small) == _keys(large)
+
+
+def test_row_position_with_a_hot_order_value(spark):
+    """A third of the rows share one order value; the tie-breaker keeps the
+    order total, so positions are exact and no range partition takes them all."""
+    from tardy.operators.chunks import with_row_position
+
+    n = 6000
+    df = spark.range(n).withColumn("t", F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")))
+    out = with_row_position(df, ["t", "id"])
+    rows = out.select("t", "id", "row_index").collect()
+    expected = {i: pos for pos, (_, i) in enumerate(sorted((r["t"], r["id"]) for r in rows))}
+    assert all(r["row_index"] == expected[r["id"]] for r in rows)
+    # the range partitioning it uses splits the hot value by the tie-breaker
+    ranged = df.repartitionByRange(8, F.col("t"), F.col("id"))
+    sizes = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < n / 4
+
+
+def test_sample_is_roughly_uniform(spark):
+    flights = testdata.flights(spark, SF_SMALL)
+    total = flights.count()
+    share = flights.filter(F.col("SRC_LINE") <= 2).count() / total
+    s = sample_exact_n(flights, 2000, testdata.FLIGHTS_ROW_KEY, seed=11)
+    got = s.filter(F.col("SRC_LINE") <= 2).count() / 2000
+    assert abs(got - share) < 0.05
