@@ -54,7 +54,13 @@ def scratch_root(spark: SparkSession) -> str:
     Read from the session (``spark.checkpoint.dir`` or an already set checkpoint
     dir); only if neither is set, create a fresh folder and register it, as tests do.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="tardy-", dir=os.environ.get("TMPDIR", "/tmp"))
     current = sc.getCheckpointDir()
     if current:
         return current

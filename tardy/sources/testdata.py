@@ -80,8 +80,12 @@ def spread(df: DataFrame) -> DataFrame:
 
     Hash of all columns: deterministic on task retry without the local sort a
     round-robin repartition needs, and not skewed by any single column."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *[F.col(c) for c in df.columns])
 
