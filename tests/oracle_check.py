@@ -43,17 +43,31 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> dict:
     t0 = time.time()
     sdf = query(spark, sf_dir)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
     sp = sdf.toPandas()
     t1 = time.time()
     res = {"query": name, "spark_rows": len(sp), "spark_sec": round(t1 - t0, 2)}
     if sql is None:
         res["oracle"] = "none"
         return res
-    dp = con.sql(sql).df()
+    rel = con.sql(sql)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    dp = rel.df()
     res["oracle_rows"] = len(dp)
+    res["types_match"] = spark_types == duck_types
+    if not res["types_match"]:
+        res["type_diff"] = {c: (spark_types.get(c), duck_types.get(c))
+                            for c in set(spark_types) | set(duck_types)
+                            if spark_types.get(c) != duck_types.get(c)}
     res["cols_match"] = sorted(sp.columns) == sorted(dp.columns)
     if not res["cols_match"]:
         res["spark_only"] = sorted(set(sp.columns) - set(dp.columns))
@@ -86,7 +100,8 @@ def main(argv: list[str]) -> int:
             r = compare(spark, con, name, q, sqls.get(name), sf_dir)
         except Exception as e:  # report and continue
             r = {"query": name, "error": repr(e)[:400]}
-        ok = r.get("values_match") and r["spark_rows"] == r.get("oracle_rows")
+        ok = (r.get("values_match") and r.get("types_match")
+              and r["spark_rows"] == r.get("oracle_rows"))
         bad += 0 if (ok or r.get("oracle") == "none") else 1
         print(("OK  " if ok else "FAIL" if r.get("oracle") != "none" else "ROWS"), r, flush=True)
     return 1 if bad else 0

@@ -27,6 +27,6 @@ def test_contract(spark):
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF_SMALL)
-    assert r.get("oracle") == "none" or (r["cols_match"] and r["values_match"]
+    assert r.get("oracle") == "none" or (r["cols_match"] and r["values_match"] and r["types_match"]
                                          and r["spark_rows"] == r["oracle_rows"]), r
     assert r["spark_rows"] > 0
