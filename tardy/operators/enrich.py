@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we broadcast (rows). Airline / airport dimensions are
-# thousands of rows; above the bound the planner's shuffle join is used.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest dimension we broadcast (rows; a few tens of MB for these narrow
+# tables, shipped once per executor). Airline / airport dimensions are tens to
+# thousands of rows; above the bound the planner's shuffle join (with AQE
+# skew-join splitting) is used instead.
+MAX_BROADCAST_ROWS = 200_000
 
 
 class DuplicateDimensionKey(ValueError):
