@@ -57,18 +57,27 @@ def features(inputs: Inputs) -> DataFrame:
     return add_flags(enriched(inputs))
 
 
+def gold_by_code(rows: DataFrame, airlines: DataFrame, airports: DataFrame,
+                 metrics: list[str] | None = None, label: str | None = BATCH_LABEL,
+                 processed_at: bool = False) -> DataFrame:
+    """Daily statistics of flagged rows: aggregate by code (FL_DATE, AIRLINE,
+    ORIGIN_AIRPORT), then attach airline / origin names to the aggregated rows.
+    Same result as aggregating name-carrying rows (dimension keys are proven
+    unique), without joining every fact row or shuffling names; on silver the
+    name columns are not even read."""
+    by_code = daily_gold(rows, metrics or ALL_METRICS, label=None, keys=CODE_KEYS)
+    out = attach_names(by_code, airlines, airports)
+    out = out.select(*GOLD_KEYS, *[c for c in by_code.columns if c not in GOLD_KEYS])
+    if label is not None:
+        out = out.withColumn("aggregation_type", F.lit(label))
+    return out.withColumn("processed_at", F.current_timestamp()) if processed_at else out
+
+
 def gold(inputs: Inputs, metrics: list[str] | None = None,
          label: str | None = BATCH_LABEL) -> DataFrame:
-    """Daily statistics from raw facts: aggregate the cleaned rows by code
-    (FL_DATE, AIRLINE, ORIGIN_AIRPORT), then attach airline / origin names to
-    the aggregated rows. Same result as aggregating enriched rows (dimension
-    keys are proven unique), without joining every fact row — the destination
-    join is not needed for gold at all — or shuffling names."""
+    """Daily statistics from raw facts (the destination join is not needed at all)."""
     rows = add_flags(add_calendar_columns(cleaned(inputs)))
-    by_code = daily_gold(rows, metrics or ALL_METRICS, label=None, keys=CODE_KEYS)
-    out = attach_names(by_code, inputs.airlines, inputs.airports)
-    out = out.select(*GOLD_KEYS, *[c for c in by_code.columns if c not in GOLD_KEYS])
-    return out if label is None else out.withColumn("aggregation_type", F.lit(label))
+    return gold_by_code(rows, inputs.airlines, inputs.airports, metrics, label)
 
 
 def stream_features(inputs: Inputs) -> DataFrame:
@@ -103,7 +112,7 @@ def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path:
     diag = enrichment_diagnostics(silver).first().asDict()
     if log_path:
         step("diagnostics", lambda: write_lines(enrichment_log_lines(silver), log_path))
-    gold_rows = daily_gold(add_flags(silver), processed_at=True)
+    gold_rows = gold_by_code(add_flags(silver), inputs.airlines, inputs.airports, processed_at=True)
     step("gold", lambda: sinks.write_gold(gold_rows, gold_path))
     if warehouse_path:
         step("warehouse", lambda: sinks.write_gold(sinks.read_gold(spark, gold_path)
