@@ -111,27 +111,34 @@ _SIDES = [
 ]
 
 
+def unmatched_codes(enriched: DataFrame) -> DataFrame:
+    """(side, code) for every fact row and side whose code found no airport —
+    both sides from one pass over the rows."""
+    sides = F.explode(F.array(*[
+        F.struct(F.lit(side).alias("side"), F.col(code).alias("code"),
+                 F.col(name).isNull().alias("missing"))
+        for side, code, name in _SIDES
+    ]))
+    return enriched.select(sides.alias("s")).select("s.*").filter("missing").drop("missing")
+
+
 def unmatched_code_counts(enriched: DataFrame) -> DataFrame:
     """(side, code, num_rows) for every code that found no airport, per side."""
-    parts = [
-        enriched.filter(F.col(name).isNull())
-        .groupBy(F.lit(side).alias("side"), F.col(code).alias("code"))
-        .agg(F.count(F.lit(1)).alias("num_rows"))
-        for side, code, name in _SIDES
-    ]
-    return parts[0].unionByName(parts[1])
+    return unmatched_codes(enriched).groupBy("side", "code").agg(F.count(F.lit(1)).alias("num_rows"))
 
 
 def unmatched_code_examples(enriched: DataFrame, limit: int = 50) -> DataFrame:
     """(side, code): up to ``limit`` distinct unmatched codes per side, lowest codes first.
 
-    Each side is distinct -> top-k (partial distinct per task, then a bounded merge)."""
-    parts = [
-        enriched.filter(F.col(name).isNull())
-        .select(F.lit(side).alias("side"), F.col(code).alias("code"))
-        .distinct()
-        .orderBy(F.col("code").asc_nulls_first())
-        .limit(limit)
-        for side, code, name in _SIDES
-    ]
-    return parts[0].unionByName(parts[1])
+    Distinct (partial per task) then ``row_number() <= limit`` per side, which
+    plans as a partial WindowGroupLimit: each task ships at most ``limit`` codes
+    per side, however many distinct codes there are."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("side").orderBy(F.col("code").asc_nulls_first())
+    return (
+        unmatched_codes(enriched).distinct()
+        .withColumn("_rn", F.row_number().over(w))
+        .filter(F.col("_rn") <= limit)
+        .drop("_rn")
+    )
