@@ -5,3 +5,10 @@ decontamination, mixing).
 Nothing outside this subpackage imports it. ``queries.py`` maps the registered
 query names to functions and holds the DuckDB SQL where SQL can express a result.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# The tasks' functions travel with their code: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

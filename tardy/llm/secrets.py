@@ -24,7 +24,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,7 +55,6 @@ SPANS = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-@lru_cache(maxsize=4)
 def tokens_counter(vocabulary: bytes) -> Callable[[str], int]:
     import tiktoken
 
