@@ -358,7 +358,7 @@ def score_documents(docs: DataFrame, model: Model, kept: tuple[str, ...] = ("doc
     rows = docs.select(F.col("text").cast("binary").alias("_scored_text"), *(F.col(n).alias(f"k_{n}") for n in names))
     schema = "".join(f"`{n}` {kind}, " for n, kind in rows.drop("_scored_text").dtypes)
     scored = rows.mapInArrow(score, schema + "score double, hits array<struct<term string, word int, edits int, quoted boolean>>")
-    return scored.select(*(F.col(f"k_{n}").alias(n) for n in names), "score", "hits")
+    return scored.select(*(F.col(f"`k_{n}`").alias(n) for n in names), "score", "hits")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
