@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tardy.llm import decontam, jaccard, mixing, secrets, toxicity
+from tardy.llm import chat, decontam, jaccard, mixing, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digest(spark, table(spark, sf_dir, "conversations")).drop("n_tokens")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,11 +43,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity": op5_toxicity,
+    "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_ngram_jaccard": jaccard.SQL,
+    "op8_chat_format": chat.SQL,
     "op9_decontaminate": decontam.SQL,
 }
