@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tardy.llm import chat, decontam, jaccard, licenses, mixing, secrets, toxicity
+from tardy.llm import chat, decontam, jaccard, licenses, mixing, secrets, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components_of(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
+    "op3_exact_topk": op3_exact_topk,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity": op5_toxicity,
     "op8_chat_format": op8_chat_format,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.sql(),
+    "op3_exact_topk": topk.SQL,
     "op4_ngram_jaccard": jaccard.SQL,
     "op8_chat_format": chat.SQL,
     "op9_decontaminate": decontam.SQL,
