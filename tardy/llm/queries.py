@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tardy.llm import chat, decontam, jaccard, licenses, mixing, secrets, topk, toxicity, warc
+from tardy.llm import chat, decontam, jaccard, licenses, mixing, repeats, secrets, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity": op5_toxicity,
+    "op6_repeated_windows": op6_repeated_windows,
     "op7_warc_captures": op7_warc_captures,
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
@@ -67,6 +72,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.sql(),
     "op3_exact_topk": topk.SQL,
     "op4_ngram_jaccard": jaccard.SQL,
+    "op6_repeated_windows": repeats.SQL,
     "op7_warc_captures": warc.SQL,
     "op8_chat_format": chat.SQL,
     "op9_decontaminate": decontam.SQL,
