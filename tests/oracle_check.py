@@ -44,7 +44,7 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
 
 
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-                 "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
                  "timestamp": "TIMESTAMP WITH TIME ZONE"}
 
 
