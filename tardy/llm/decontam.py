@@ -69,6 +69,8 @@ class Windows:
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each word in the vocabulary, or -1."""
+        if not len(self.sorted_hashes):
+            return np.full(len(hashes), -1)
         at = np.searchsorted(self.sorted_hashes, hashes)
         at[at == len(self.sorted_hashes)] = 0
         return np.where(self.sorted_hashes[at] == hashes, at, -1)
@@ -113,7 +115,8 @@ def join_windows(docs: DataFrame, windows: Windows, kept: list[str]) -> DataFram
             number = windows.number(words.hashes())
             found: list[list[tuple[int, int]]] = [[] for _ in range(rows.num_rows)]
             items: list[set[str]] = [set() for _ in range(rows.num_rows)]
-            matches = np.flatnonzero((number >= 0) & windows.firsts[number])
+            known = np.flatnonzero(number >= 0)
+            matches = known[windows.firsts[number[known]]]
             of = np.searchsorted(words.first, matches, side="right") - 1
             for at, doc in zip(matches.tolist(), of.tolist()):
                 low, high = int(words.first[doc]), int(words.first[doc + 1])
