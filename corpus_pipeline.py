@@ -23,10 +23,19 @@ from tardy.llm import decontam, jaccard, mixing, secrets, toxicity
 from tardy.session import materialize
 
 
+def prefixed(docs: DataFrame) -> DataFrame:
+    """``text`` beside all columns under names of their own: an operator's columns can't clash with them."""
+    return docs.select(F.col("text"), *(F.col(f"`{c}`").alias(f"d_{c}") for c in docs.columns))
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(f"`d_{c}`").alias(c) for c in docs.columns))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_documents(docs, model, kept=tuple(docs.columns))
-    return scored.where(F.col("score") < toxicity.THRESHOLD).drop("score", "hits")
+    scored = toxicity.score_documents(prefixed(docs), model, kept=tuple(f"d_{c}" for c in docs.columns))
+    return restored(scored.where(F.col("score") < toxicity.THRESHOLD), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +43,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), kept=tuple(docs.columns))
-    return found.where("n_hit = 0").select(*docs.columns)
+    found = decontam.contamination(prefixed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), kept=tuple(f"d_{c}" for c in docs.columns))
+    return restored(found.where("n_hit = 0"), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,9 +11,10 @@ Method
        any common order. The order is by rarity, from a count sketch of a fixed number
        of slots over all documents. So sets meet on rare shingles and a passage that
        many documents share makes no candidates. Shingles in one set only meet nobody.
-    3. The sets that meet on a shingle are first verified against the least of them
-       (its hub). That links nearly all copies of a text by as many checks as copies,
-       not by all pairs, and gives components to start from.
+    3. Shingles on which the same sets meet are one group of sets. Each group is first
+       verified against the least of it (its hub). That links nearly all copies of a
+       text by as many checks as copies, not by all pairs, and gives components to
+       start from.
     4. What is left are pairs of different components that meet on a shingle. The
        components are signature trees: a root, nodes of up to ``node_sets`` sets and the
        sets themselves, each with a size range and the OR of its sets' token bitmaps. A
@@ -54,6 +55,8 @@ SKETCH_SLOTS, SKETCH_ROW = 1 << 20, 1 << 10
 #: Bits of a set's signature.
 BITS = 2048
 PART_SETS, NODE_SETS, BLOCK_ROOTS = 2000, 64, 512
+#: Rows of a few numbers that a join may broadcast (about 100 MB); more are shuffled.
+BROADCAST_ROWS = 1_000_000
 
 
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,57 +203,71 @@ def meetings(entries: DataFrame) -> DataFrame:
     return dealt.mapInArrow(walk, "token long, hub long, hub_n int, uid long, n int")
 
 
-def shingle_rows(docs: DataFrame, uids: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
-    """uid, n, shingles (sorted hashes), signature (bitmap), slack (shingles beyond one
-    per bit) of the wanted sets, each from one document that has it."""
-    wanted = keys.where("uid is not null").join(uids, "uid", "left_semi").groupBy("uid").agg(F.min("key").alias("key")).select("key")
+def distinct_groups(meets: DataFrame) -> DataFrame:
+    """The meetings without the shingles on which the same sets meet as on another one:
+    a passage has many shingles, but few different groups of sets that have them."""
+    groups = meets.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.min("uid").alias("first"), *(
+        F.bit_xor(F.xxhash64("uid", F.lit(i))).alias(f"x{i}") for i in range(2)))
+    keep = groups.groupBy("k", "first", "x0", "x1").agg(F.min("token").alias("token")).select("token")
+    return meets.join(keep, "token", "left_semi")
 
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for rows in slices(batches, "text", 1 << 20):
-            hashes, of, sequence = shingle_sets(rows.column(0), shingle)
-            uid = sequence.view(np.int64)
-            out: dict[str, list] = {"uid": [], "n": [], "shingles": [], "signature": [], "slack": []}
-            order = np.argsort(of, kind="stable")
-            cuts = np.searchsorted(of[order], np.arange(rows.num_rows + 1))
-            for i in range(rows.num_rows):
-                if int(uid[i]) in seen:
-                    continue
-                seen.add(int(uid[i]))
-                own = np.unique(hashes[order[cuts[i]:cuts[i + 1]]].view(np.int64))
+
+def small_side(frame: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """For a join with texts: broadcast if it has ``bound`` rows of a few numbers at most, else shuffled."""
+    return F.broadcast(frame) if frame.limit(bound + 1).count() <= bound else frame
+
+
+def candidate_texts(docs: DataFrame, uids: DataFrame, keys: DataFrame) -> DataFrame:
+    """uid, text (binary) of the wanted sets, each from the document with the least doc_id that has it."""
+    wanted = keys.where("slot is null").join(uids, "uid", "left_semi").groupBy("uid").agg(F.min(F.struct("doc_id", "key")).alias("of"))
+    wanted = materialize(wanted.select("uid", F.col("of.doc_id").alias("of_id"), F.col("of.key").alias("key")), "jaccard-wanted")
+    texts = docs.select(F.xxhash64("text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    found = texts.join(small_side(wanted), (texts.key == wanted.key) & texts.doc_id.eqNullSafe(wanted.of_id))
+    return found.select("uid", "text")
+
+
+def own_sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text."""
+    hashes, of, _ = shingle_sets(column, shingle)
+    order = np.lexsort((hashes, of))
+    hashes, of = hashes[order], of[order]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+    return np.split(hashes[fresh], np.searchsorted(of[fresh], np.arange(1, len(column))))
+
+
+def signatures(texts: DataFrame, shingle: int) -> DataFrame:
+    """uid, n, signature (bitmap of the set), slack (shingles beyond one per bit)."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "text"):
+            n, bitmaps, slack = [], [], []
+            for own in own_sets(rows.column(1), shingle):
                 bits = np.zeros(BITS, bool)
-                bits[own & (BITS - 1)] = True
-                for name, value in zip(out, (int(uid[i]), len(own), own, np.packbits(bits).tobytes(), len(own) - int(bits.sum()))):
-                    out[name].append(value)
-            yield pa.record_batch({"uid": pa.array(out["uid"], pa.int64()), "n": pa.array(out["n"], pa.int32()),
-                                   "shingles": pa.array(out["shingles"], pa.list_(pa.int64())),
-                                   "signature": pa.array(out["signature"], pa.binary()), "slack": pa.array(out["slack"], pa.int32())})
+                bits[(own & np.uint64(BITS - 1)).astype(np.int64)] = True
+                n.append(len(own))
+                bitmaps.append(np.packbits(bits).tobytes())
+                slack.append(len(own) - int(bits.sum()))
+            yield pa.record_batch([rows.column(0), pa.array(n, pa.int32()), pa.array(bitmaps, pa.binary()), pa.array(slack, pa.int32())],
+                                  names=["uid", "n", "signature", "slack"])
 
-    texts = docs.select(F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text")).join(wanted, "key", "left_semi")
-    found = texts.select("text").mapInArrow(expand, "uid long, n int, shingles array<long>, signature binary, slack int")
-    return found
+    return texts.select("uid", "text").mapInArrow(sign, "uid long, n int, signature binary, slack int")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, part_sets: int = PART_SETS) -> DataFrame:
-    """Of the pairs (a, b), distinct, those whose sets link. Each a is dealt in parts of
-    about ``part_sets`` pairs; a task holds one set of an a and reads its partners by."""
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, num: int, den: int, part_sets: int = PART_SETS) -> DataFrame:
+    """Of the pairs (a, b), distinct, those whose sets link. The pairs of an a are dealt in
+    parts of about ``part_sets``; a task holds the set of one a and reads its partners by."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(part_sets)).cast("int").alias("parts"))
-    members = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).select("a", "part", "b")
-    members = members.join(sets.select(F.col("uid").alias("b"), "shingles"), "b")
-    heads = parts.join(sets.select(F.col("uid").alias("a"), "shingles"), "a").select(
-        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "shingles")
+    members = pairs.join(parts, "a").select(F.col("b").alias("uid"), "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("second"))
+    heads = parts.select(F.col("a").alias("uid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("second"))
+    roles = materialize(heads.unionByName(members), "jaccard-roles")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, own = None, None
-        for batch in batches:
-            a, part = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            b = batch.column(2).to_pylist()
-            lists = batch.column(3)
-            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        head, own = None, np.empty(0, np.uint64)
+        for rows in slices(batches, "text"):
             left, right = [], []
-            for i in range(batch.num_rows):
-                mine = values[ends[i]:ends[i + 1]]
-                if b[i] is None:
+            uid, a, part, second = (rows.column(i).to_pylist() for i in range(4))
+            for i, mine in enumerate(own_sets(rows.column(4), shingle)):
+                if not second[i]:
                     head, own = (a[i], part[i]), mine
                     continue
                 if head != (a[i], part[i]):
@@ -259,11 +276,11 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, part_sets: i
                 both = int((own[np.minimum(at, len(own) - 1)] == mine).sum()) if len(own) else 0
                 if den * both >= num * (len(own) + len(mine) - both):
                     left.append(a[i])
-                    right.append(b[i])
+                    right.append(uid[i])
             yield pa.record_batch({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    dealt = heads.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return dealt.select("a", "part", "b", "shingles").mapInArrow(compare, "a long, b long")
+    dealt = texts.join(small_side(roles), "uid").repartition("a", "part").sortWithinPartitions("a", "part", "second")
+    return dealt.select("uid", "a", "part", "second", "text").mapInArrow(compare, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -403,15 +420,16 @@ def root_pairs(met: DataFrame, roots: DataFrame, num: int, den: int, block_roots
     return found.distinct()
 
 
-def tree_candidates(meets: DataFrame, sets: DataFrame, comps: DataFrame, num: int, den: int, node_sets: int = NODE_SETS) -> DataFrame:
+def tree_candidates(meets: DataFrame, texts: DataFrame, comps: DataFrame, shingle: int, num: int, den: int, node_sets: int = NODE_SETS) -> DataFrame:
     """a, b: the pairs of sets of different components that the dual traversal can't rule out."""
-    placed = sets.select("uid", "n", "slack", "signature").join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
     met = meets.select("token", "uid").join(comps, "uid", "left").select("token", F.coalesce("comp", "uid").alias("comp"))
     mixed = met.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
     met = materialize(met.join(mixed, "token", "left_semi").distinct(), "jaccard-met")
-    involved = met.select("comp").distinct()
+    involved = meets.select("uid").distinct().join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
+    involved = materialize(involved.join(met.select("comp").distinct(), "comp", "left_semi"), "jaccard-involved")
+    signed = signatures(texts.join(small_side(involved.select("uid")), "uid", "left_semi"), shingle)
     order = Window.partitionBy("comp").orderBy("n", "uid")
-    placed = placed.join(involved, "comp", "left_semi").withColumn("node", F.floor((F.row_number().over(order) - 1) / node_sets))
+    placed = signed.join(involved, "uid").withColumn("node", F.floor((F.row_number().over(order) - 1) / node_sets))
     placed = materialize(placed, "jaccard-placed")
     nodes = materialize(nodes_of(placed, ["comp", "node"]), "jaccard-nodes")
     roots = nodes_of(nodes.select("comp", F.col("low").alias("n"), "slack", "signature").unionByName(
@@ -431,14 +449,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     component_id; one row per document."""
     keys = materialize(document_keys(docs, shingle), "jaccard-keys")
     entries = prefixes(docs, read_sketch(keys), shingle, num, den)
-    meets = materialize(meetings(entries), "jaccard-meets")
-    uids = meets.select("uid").distinct()
-    sets = materialize(shingle_rows(docs, uids, keys, shingle), "jaccard-sets")
+    meets = materialize(distinct_groups(materialize(meetings(entries), "jaccard-all-meets")), "jaccard-meets")
+    texts = materialize(candidate_texts(docs, meets.select("uid").distinct(), keys), "jaccard-texts")
     sizes = (F.col("n") * den >= F.col("hub_n") * num) & (F.col("hub_n") * den >= F.col("n") * num)
     stars = meets.where(sizes & (F.col("uid") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
-    links = materialize(verified(stars, sets, num, den), "jaccard-links")
+    links = materialize(verified(materialize(stars, "jaccard-stars"), texts, shingle, num, den), "jaccard-links")
     comps = materialize(components(links), "jaccard-comps")
-    more = materialize(verified(materialize(tree_candidates(meets, sets, comps, num, den), "jaccard-pairs"), sets, num, den), "jaccard-links")
+    pairs = materialize(tree_candidates(meets, texts, comps, shingle, num, den), "jaccard-pairs")
+    more = materialize(verified(pairs, texts, shingle, num, den), "jaccard-links")
     if not more.isEmpty():
         comps = components(links.unionByName(more))
     rows = keys.where("slot is null").join(comps, "uid", "left").withColumn(
