@@ -21,12 +21,12 @@ from tardy.functions.codes import airline_dimension, airport_dimension
 from tardy.operators.chunks import export_chunks
 from tardy.operators.sample import sample_exact_n
 from tardy.plans.batch import Inputs, run_batch
+from tardy.session import LOCAL_CONF, materialize
 from tardy.sources.csv import read_dimension_csv, read_flights_csv, write_csv
 from tardy.streaming.pipeline import StreamJob
 
 # Event order of a flights file: day, scheduled departure, then identity columns.
-FLIGHT_ORDER = ["YEAR", "MONTH", "DAY", "SCHEDULED_DEPARTURE", "AIRLINE", "FLIGHT_NUMBER",
-                "TAIL_NUMBER", "ORIGIN_AIRPORT"]
+
 
 
 def _dimensions(spark: SparkSession, airlines: str, airports: str):
@@ -56,15 +56,19 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 def cmd_sample(spark: SparkSession, a: argparse.Namespace) -> dict:
     raw = spark.read.option("header", True).csv(a.input)  # every column as text
-    sample = sample_exact_n(raw, a.sample_size, raw.columns, a.seed if a.seed is not None else 0)
+    sample = sample_exact_n(raw, a.sample_size, raw.columns, a.seed)
     write_csv(sample, a.output, compression="gzip" if a.compress else None)
     return {"written": a.output}
 
 
 def cmd_split(spark: SparkSession, a: argparse.Namespace) -> dict:
-    flights = read_flights_csv(spark, a.input)
-    order = [F.col(c) for c in (a.order.split(",") if a.order else FLIGHT_ORDER)]
-    export_chunks(flights, a.output_dir, a.rows_per_file, order, a.max_files)
+    """Any columns; in the order of the files' own rows, or by ``--order`` with that as tie-breaker."""
+    raw = spark.read.option("header", True).csv(a.input)
+    place = ["_file", "_block", "_line"]
+    placed = materialize(raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                                    F.monotonically_increasing_id().alias("_line")), "split-rows")
+    order = [F.col(c) for c in (a.order.split(",") if a.order else [])] + place
+    export_chunks(placed, a.output_dir, a.rows_per_file, order, a.max_files, drop=tuple(place))
     return {"written": a.output_dir}
 
 
@@ -114,9 +118,15 @@ def parser() -> argparse.ArgumentParser:
 COMMANDS = {"batch": cmd_batch, "stream": cmd_stream, "sample": cmd_sample, "split": cmd_split}
 
 
+JOB_SETTINGS = {k for k in LOCAL_CONF if k.startswith(("spark.sql.codegen.", "spark.sql.objectHashAggregate.", "spark.sql.streaming.stateStore."))}
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = parser().parse_args(argv)
     session = spark or SparkSession.builder.appName(f"tardy-{args.cmd}").getOrCreate()
+    for key, value in LOCAL_CONF.items():  # SQL settings that the plans were made for, where the cluster sets none
+        if key in JOB_SETTINGS and key not in dict(session.sparkContext.getConf().getAll()):
+            session.conf.set(key, value)
     result = COMMANDS[args.cmd](session, args)
     print(json.dumps(result, default=str))
     return result

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 # thousands of rows; above the bound the planner's shuffle join (with AQE
 # skew-join splitting) is used instead.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 class DuplicateDimensionKey(ValueError):
@@ -23,14 +24,16 @@ class DuplicateDimensionKey(ValueError):
 
 def guarded_dimension(dim: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS,
                       check_unique: bool = True) -> DataFrame:
-    """Return ``dim`` broadcast-hinted if it has at most ``max_rows`` rows.
+    """Return ``dim`` broadcast-hinted if it has at most ``max_rows`` rows and
+    ``MAX_BROADCAST_BYTES`` of values.
 
     The probe reads at most ``max_rows + 1`` rows. Null keys never match, so
     they are not counted as duplicates."""
     probe = (
         dim.limit(max_rows + 1)
         .agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("k"),
-             F.count_distinct(key).alias("d"))
+             F.count_distinct(key).alias("d"),
+             F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in dim.columns), F.lit(0))).alias("bytes"))
         .first()
     )
     small = probe["n"] <= max_rows
@@ -41,7 +44,7 @@ def guarded_dimension(dim: DataFrame, key: str, max_rows: int = MAX_BROADCAST_RO
             dup = dim.groupBy(key).count().filter("count > 1").limit(1).count() > 0
         if dup:
             raise DuplicateDimensionKey(f"dimension key {key!r} is not unique")
-    return F.broadcast(dim) if small else dim
+    return F.broadcast(dim) if small and (probe["bytes"] or 0) <= MAX_BROADCAST_BYTES else dim
 
 
 def enrich_flights(df: DataFrame, airlines: DataFrame, airports: DataFrame,
@@ -119,7 +122,8 @@ def unmatched_codes(enriched: DataFrame) -> DataFrame:
                  F.col(name).isNull().alias("missing"))
         for side, code, name in _SIDES
     ]))
-    return enriched.select(sides.alias("s")).select("s.*").filter("missing").drop("missing")
+    missing = F.col("ORIGIN_AIRPORT_NAME").isNull() | F.col("DEST_AIRPORT_NAME").isNull()
+    return enriched.filter(missing).select(sides.alias("s")).select("s.*").filter("missing").drop("missing")
 
 
 def unmatched_code_counts(enriched: DataFrame) -> DataFrame:

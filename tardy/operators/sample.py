@@ -1,45 +1,53 @@
 """Uniform random sample of exactly n rows (reproducible by seed).
 
-The sample is "the n rows with the smallest md5(seed | key)": a random
-permutation fixed by the seed, independent of file layout and partitioning,
-and reproducible outside Spark. To avoid a global sort (or a top-n merge that
-receives n rows from every task), rows are first restricted to a prefix of the
-hash space sized to hold slightly more than n rows; that slice is materialised
-in the shared scratch folder, checked, and cut exactly. If the slice is short (rare) it is widened.
+The sample is "the n rows with the smallest md5(seed | key | copy)": a random
+permutation fixed by the seed, independent of file layout and partitioning, and
+reproducible outside Spark. Rows with equal keys are told apart by a copy number, so
+each row is equally likely however often its key occurs. To avoid a global sort, rows
+are first restricted to a prefix of the hash space sized to hold slightly more than n
+rows; that slice is materialised in the shared scratch folder, checked, and cut
+exactly by the distributed row position. If the slice is short (rare) it is widened.
 """
 
 from __future__ import annotations
 
 import math
+import random
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tardy.operators.chunks import with_row_position
 from tardy.session import materialize
 
 _PREFIX_HEX = 15                      # 60 bits of the digest, fits a signed long
 _PREFIX_SPACE = 16 ** _PREFIX_HEX
-# Up to this n the exact cut is a top-n (each task keeps n rows, one task merges);
-# above it the cut uses the distributed row position instead.
-TOP_N_MAX = 1_000_000
 
 
-def sample_hash(seed: int | str, key_cols: list[str]) -> Column:
-    parts = [F.lit(str(seed))] + [F.col(c).cast("string") for c in key_cols]
-    return F.md5(F.concat_ws("|", *parts))
+def encoded(value: Column) -> Column:
+    """Length and text of a value, '-' for null: no two lists of values read alike."""
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
-def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int | str = 0) -> DataFrame:
-    """Exactly ``min(n, count(df))`` rows, each row equally likely.
+def sample_hash(seed: int | str, key_cols: list[str], copy: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *(encoded(F.col(c)) for c in key_cols), copy.cast("string")))
 
-    ``key_cols`` should identify a row (duplicates of a key are kept or
-    dropped together, in key order). Runs one count, one pass that keeps
-    about n + 8*sqrt(n) rows, and an exact cut of that slice: a top-n for
-    moderate n, a range-partitioned row position for large n."""
+
+def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int | str | None = None) -> DataFrame:
+    """Exactly ``min(n, count(df))`` rows, each row equally likely; another sample each
+    time if ``seed`` is None.
+
+    Keys are counted (with map-side combine, so a key of any number of rows is one
+    row), each key's copies are hashed, and the n smallest hashes say how many rows of
+    which key are taken. Of a key's rows the first in order of all columns are taken."""
+    seed = random.SystemRandom().randrange(1 << 62) if seed is None else seed
+    keys = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_copies"))
     total = df.count()
     if total <= n:
         return df
-    hashed = df.withColumn("_sample_h", sample_hash(seed, key_cols))
+    copies = keys.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    hashed = copies.withColumn("_sample_h", sample_hash(seed, key_cols, F.col("_copy")))
     prefix = F.conv(F.substring("_sample_h", 1, _PREFIX_HEX), 16, 10).cast("long")
     frac = min(1.0, (n + 8 * math.sqrt(n) + 16) / total)
     while True:
@@ -48,9 +56,13 @@ def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int | str =
         if frac >= 1.0 or slice_.count() >= n:
             break
         frac = min(1.0, frac * 2)
-    if n <= TOP_N_MAX:
-        return slice_.orderBy("_sample_h", *key_cols).limit(n).drop("_sample_h")
-    from tardy.operators.chunks import with_row_position
-
-    ranked = with_row_position(slice_, ["_sample_h", *key_cols])
-    return ranked.filter(F.col("row_index") < n).drop("_sample_h", "row_index")
+    ranked = with_row_position(slice_, ["_sample_h", *key_cols, "_copy"]).filter(F.col("row_index") < n)
+    picked = ranked.groupBy(*(F.col(c).alias(f"_k_{c}") for c in key_cols)).agg(
+        F.count(F.lit(1)).alias("_take"), F.first("_copies").alias("_of"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key_cols]
+    rows = df.join(picked, same).drop(*(f"_k_{c}" for c in key_cols))
+    # Keys that are taken whole (all of them, if keys are unique) need no order.
+    whole = rows.filter("_take = _of")
+    order = Window.partitionBy(*key_cols).orderBy(*df.columns)
+    part = rows.filter("_take < _of").withColumn("_nth", F.row_number().over(order)).filter("_nth <= _take")
+    return whole.select(*df.columns).unionByName(part.select(*df.columns))

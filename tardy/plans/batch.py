@@ -80,6 +80,11 @@ def gold(inputs: Inputs, metrics: list[str] | None = None,
     return gold_by_code(rows, inputs.airlines, inputs.airports, metrics, label)
 
 
+def cleaned_dates(inputs: Inputs) -> DataFrame:
+    """FL_DATE of the rows that cleaning keeps, each once."""
+    return add_calendar_columns(cleaned(inputs)).select("FL_DATE").distinct()
+
+
 def stream_features(inputs: Inputs) -> DataFrame:
     """The stream job's row pipeline on a bounded frame (see ``streaming.pipeline``)."""
     return streaming_features(inputs.flights, inputs.airlines, inputs.airports)
@@ -94,11 +99,13 @@ def stream_window_gold(inputs: Inputs) -> DataFrame:
 
 def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str,
               warehouse_path: str | None = None, log_path: str | None = None,
-              audit_path: str | None = None) -> dict:
+              audit_path: str | None = None, only_its_dates: bool = False) -> dict | None:
     """Whole batch job: silver write, diagnostics, gold from the written silver.
 
-    Every write is dynamic-partition overwrite (a rerun replaces, never doubles).
-    With ``audit_path`` each write's outcome is recorded there and failures are
+    A run replaces silver and the batch part of gold, so nothing of an earlier run
+    reaches this run's outputs. With ``only_its_dates`` (a run over some dates) it
+    replaces those dates and reads back those dates only. Diagnostics don't stop the
+    job: if they fail, that is recorded and None is returned. With ``audit_path`` each write's outcome is recorded there and failures are
     raised; the optional warehouse target receives the same gold rows."""
 
     def step(name: str, fn) -> None:
@@ -107,15 +114,36 @@ def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path:
         else:
             fn()
 
-    step("silver", lambda: sinks.write_silver(enriched(inputs), silver_path))
+    rows = enriched(inputs)
+    step("silver", lambda: sinks.write_silver(rows, silver_path, only_its_dates))
     silver = sinks.read_silver(spark, silver_path)
-    diag = enrichment_diagnostics(silver).first().asDict()
-    if log_path:
-        step("diagnostics", lambda: write_lines(enrichment_log_lines(silver), log_path))
+    if only_its_dates:  # a row per date; prunes partitions
+        dates = [r[0] for r in cleaned_dates(inputs).collect()]
+        silver = silver.where(F.col("FL_DATE").isin(dates))
+    diag: dict | None = None
+
+    def report() -> None:
+        nonlocal diag
+        diag = enrichment_diagnostics(silver).first().asDict()
+        if log_path:
+            write_lines(enrichment_log_lines(silver), log_path)
+
+    try:
+        step("diagnostics", report)
+    except Exception as e:
+        print(f"diagnostics failed, gold goes on: {e}")
     gold_rows = gold_by_code(add_flags(silver), inputs.airlines, inputs.airports, processed_at=True)
-    step("gold", lambda: sinks.write_gold(gold_rows, gold_path))
+
+    def target(rows: DataFrame, path: str) -> None:
+        if only_its_dates:
+            sinks.write_gold(rows, path)
+        else:
+            sinks.replace_gold(rows, path, BATCH_LABEL)
+
+    step("gold", lambda: target(gold_rows, gold_path))
     if warehouse_path:
-        step("warehouse", lambda: sinks.write_gold(sinks.read_gold(spark, gold_path)
-                                                   .filter("aggregation_type = 'daily_batch'")
-                                                   .drop("load_id"), warehouse_path))
+        written = sinks.read_gold(spark, gold_path).where(F.col("aggregation_type") == BATCH_LABEL).drop("load_id")
+        if only_its_dates:
+            written = written.where(F.col("FL_DATE").isin(dates))
+        step("warehouse", lambda: target(written, warehouse_path))
     return diag

@@ -8,6 +8,7 @@ table, checkpoint and stream state lives under the folder the cluster names in
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,8 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or an already set checkpoint
-    dir); only if neither is set, create a fresh folder and register it, as tests do.
+    dir). Only if neither is set and the master is local, as in tests, a fresh folder
+    is created; on a cluster a machine-local folder would lose rows, so this raises.
     """
     try:
         sc = spark.sparkContext
@@ -60,7 +62,9 @@ def scratch_root(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="tardy-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -68,6 +72,9 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    master = sc.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tardy-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -50,13 +50,16 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 def guarded_write(spark: SparkSession, step: str, write: Callable[[], None], audit_path: str) -> None:
     """Run ``write``; append (step, status, error, at) to the audit table; re-raise on failure."""
-    error = None
+    def note(error: str | None) -> None:
+        spark.createDataFrame(
+            [(step, "failed" if error else "ok", error)], "step string, status string, error string"
+        ).withColumn("at", F.current_timestamp()).write.mode("append").parquet(audit_path)
+
     try:
         write()
-    except Exception:  # record, then raise
-        error = traceback.format_exc()
-    spark.createDataFrame(
-        [(step, "failed" if error else "ok", error)], "step string, status string, error string"
-    ).withColumn("at", F.current_timestamp()).write.mode("append").parquet(audit_path)
-    if error:
-        raise RuntimeError(f"{step} write failed; see audit table {audit_path}\n{error}")
+    except Exception as failure:  # record, then raise; the cause stays even if recording fails
+        try:
+            note(traceback.format_exc())
+        finally:
+            raise RuntimeError(f"{step} write failed; see audit table {audit_path}\n{failure}") from failure
+    note(None)

@@ -1,15 +1,17 @@
 """Partitioned Parquet sinks for the silver and gold layers.
 
-* Writes use dynamic partition overwrite, so a rerun replaces exactly the
-  partitions it produces (no doubled rows, other partitions untouched).
+* A batch run replaces its layer: silver as a whole, and the batch part of gold
+  (its own ``aggregation_type`` folder). A run that is meant for some dates only
+  says so (``only_its_dates``) and replaces exactly the partitions it produces.
 * Instead of a fixed ``repartition(4, FL_DATE)`` the rows are clustered by the
   partition columns with a REBALANCE hint: AQE sizes the write tasks, and a
   date holding a large share of the rows is split over several tasks instead of
   landing in one.
-* Gold rows of the batch job and of the stream share one folder. Stream rows
-  carry their micro-batch id in ``load_id``, so a replayed micro-batch
+* Gold rows of the batch job and of the stream share one folder and one schema
+  (batch rows have null window bounds). Stream rows carry the id of their
+  streaming query and micro-batch in ``load_id``, so a replayed micro-batch
   overwrites its own partitions (exactly-once output from an at-least-once
-  ``foreachBatch``).
+  ``foreachBatch``) and never those of another stream.
 """
 
 from __future__ import annotations
@@ -20,43 +22,67 @@ from pyspark.sql import functions as F
 SILVER_PARTITIONS = ["FL_DATE"]
 GOLD_PARTITIONS = ["aggregation_type", "FL_DATE", "load_id"]
 BATCH_LOAD_ID = "batch"
+WINDOW_BOUNDS = ["window_start", "window_end"]
 MAX_RECORDS_PER_FILE = 100_000
 
 
+# Tasks that write one date of a micro-batch.
+STREAM_WRITERS = 4
+
+
 def _partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str],
                            max_records_per_file: int = MAX_RECORDS_PER_FILE,
-                           adaptive: bool = True) -> None:
+                           adaptive: bool = True, dynamic: bool = True) -> None:
     """``adaptive``: REBALANCE hint (AQE sizes tasks and splits hot values).
     Stateful micro-batches run without AQE, where the hint is ignored; their
-    output (bounded by the micro-batch) is hash-clustered instead."""
+    output is hash-clustered instead, a date over ``STREAM_WRITERS`` tasks.
+    ``dynamic``: replace only the partitions that have rows, else all of ``path``."""
     cols = [F.col(c) for c in partition_cols]
-    clustered = df.hint("rebalance", *cols) if adaptive else df.repartition(*cols)
+    writer = F.pmod(F.xxhash64("AIRLINE", "ORIGIN_AIRPORT"), F.lit(STREAM_WRITERS))
+    clustered = df.hint("rebalance", *cols) if adaptive else df.repartition(*cols, writer)
     (
         clustered
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_cols)
         .parquet(path)
     )
 
 
-def write_silver(enriched: DataFrame, path: str) -> None:
-    """Silver: enriched flights, one folder per FL_DATE."""
-    _partitioned_overwrite(enriched, path, SILVER_PARTITIONS)
+def write_silver(enriched: DataFrame, path: str, only_its_dates: bool = False) -> None:
+    """Silver: enriched flights, one folder per FL_DATE. Replaces the layer, or with
+    ``only_its_dates`` the dates that the rows have."""
+    _partitioned_overwrite(enriched, path, SILVER_PARTITIONS, dynamic=only_its_dates)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def gold_layout(gold: DataFrame) -> DataFrame:
+    """Gold rows in the layer's one schema: window bounds first (null in batch rows), the
+    other columns by name, so a read needs the footer of one file only."""
+    bounds = [F.col(c) if c in gold.columns else F.lit(None).cast("timestamp_ntz").alias(c) for c in WINDOW_BOUNDS]
+    stamp = [] if "processed_at" in gold.columns else [F.current_timestamp().alias("processed_at")]
+    rest = sorted(c for c in gold.columns if c not in (*WINDOW_BOUNDS, *GOLD_PARTITIONS))
+    return gold.select(*bounds, *rest, *stamp, *(c for c in GOLD_PARTITIONS if c in gold.columns))
+
+
 def write_gold(gold: DataFrame, path: str, load_id: str = BATCH_LOAD_ID,
                adaptive: bool = True) -> None:
-    """Gold rows (batch or one stream micro-batch) under (aggregation_type, FL_DATE, load_id)."""
-    _partitioned_overwrite(gold.withColumn("load_id", F.lit(load_id)), path, GOLD_PARTITIONS,
+    """Gold rows (batch or one stream micro-batch) under (aggregation_type, FL_DATE, load_id);
+    replaces the partitions that the rows have."""
+    _partitioned_overwrite(gold_layout(gold).withColumn("load_id", F.lit(load_id)), path, GOLD_PARTITIONS,
                            adaptive=adaptive)
 
 
+def replace_gold(gold: DataFrame, path: str, label: str, load_id: str = BATCH_LOAD_ID) -> None:
+    """Replaces all gold rows of one ``aggregation_type``; those of others stay."""
+    rows = gold_layout(gold.drop("aggregation_type")).withColumn("load_id", F.lit(load_id))
+    _partitioned_overwrite(rows, f"{path}/aggregation_type={label}", GOLD_PARTITIONS[1:], dynamic=False)
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """All gold rows; stream rows carry window bounds, batch rows null there."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.parquet(path)

@@ -35,8 +35,8 @@ from (select *, (l_orderkey % 24) * 15 as k, date '2015-01-15' + cast((l_orderke
 
 AIRLINES_SQL = """
 select concat('C', cast(s_suppkey as string)) as IATA_CODE, s_name as AIRLINE
-from {supplier} where s_suppkey < 12
-"""
+from {supplier}
+"""  # facts use C0 to C13; no supplier has key 0, so C0 finds no airline
 
 AIRPORTS_SQL = """
 select concat('N', cast(n_nationkey as string)) as IATA_CODE, n_name as AIRPORT,
@@ -114,6 +114,12 @@ def flights_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, FLIGHTS_STREAM_SQL, "events")
 
 
+def flights_stream_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream fixture with every seventh event delivered twice."""
+    rows = flights_stream(spark, sf_dir)
+    return rows.unionByName(rows.where("cast(FLIGHT_NUMBER as bigint) % 7 = 0"))
+
+
 def duckdb_sql(sql: str) -> str:
     """The same fixture text for the DuckDB oracle, where tables are plain views."""
     return sql.format(lineitem="lineitem", supplier="supplier", nation="nation",

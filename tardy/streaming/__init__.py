@@ -3,9 +3,9 @@ from tardy.streaming.pipeline import (
     gold_batch_writer,
     latest_window_values,
     stream_features,
-    update_log_writer,
+    update_writer,
     windowed_gold,
 )
 
 __all__ = ["StreamJob", "gold_batch_writer", "latest_window_values", "stream_features",
-           "update_log_writer", "windowed_gold"]
+           "update_writer", "windowed_gold"]

@@ -2,12 +2,13 @@
 rule and dedup) -> event time -> airline / origin enrichment -> flags ->
 watermark + sliding window -> the 24 statistics -> gold.
 
-One streaming query with one ``foreachBatch`` sink serves every target
-(gold Parquet, an optional warehouse-table path, an optional update log),
-so the source is read and the window state kept once — not once per sink.
-``foreachBatch`` is at-least-once; every write is keyed by the micro-batch
-id through dynamic partition overwrite, so a replayed batch replaces its
-own rows instead of adding them again.
+One streaming query with one ``foreachBatch`` sink serves every target of closed
+windows (gold Parquet, an optional warehouse path), so the source is read and the
+window state kept once, not once per sink. The view of changing windows (update log,
+console) has another output mode and is a second query with a checkpoint of its own.
+``foreachBatch`` is at-least-once; every write is keyed by the streaming query's id and
+the micro-batch id through dynamic partition overwrite, so a replayed batch replaces
+its own rows instead of adding them again, and never those of another stream.
 """
 
 from __future__ import annotations
@@ -31,16 +32,19 @@ from tardy.sources.csv import read_flights_stream
 WINDOW_KEYS = ["window_start", "window_end", *GOLD_KEYS]
 
 
-def stream_rows(flights: DataFrame, dedup_within: str | None = None) -> DataFrame:
+def stream_rows(flights: DataFrame, dedup_within: str | None = None, watermark: str | None = None) -> DataFrame:
     """Row pipeline of the stream job without the dimension joins; works on
     streaming and bounded frames.
 
     ``dedup_within`` (e.g. "30 minutes") turns on the stream form of the batch
-    dedup: ``dropDuplicatesWithinWatermark`` on the dedup key."""
+    dedup: ``dropDuplicatesWithinWatermark`` on the dedup key. A stream has one
+    watermark; it is set here, ``dedup_within`` if given, else ``watermark``."""
     clean = clean_flights(normalize_flight_codes(flights), require_destination=False, dedup=False)
     timed = add_event_time(clean)
-    if dedup_within is not None:
-        timed = timed.withWatermark("event_ts", dedup_within).dropDuplicatesWithinWatermark(DEDUP_KEYS)
+    if dedup_within or watermark:
+        timed = timed.withWatermark("event_ts", dedup_within or watermark)
+    if dedup_within:
+        timed = timed.dropDuplicatesWithinWatermark(DEDUP_KEYS)
     return add_flags(add_calendar_columns(timed))
 
 
@@ -57,32 +61,36 @@ def windowed_gold(features: DataFrame, watermark: str = WATERMARK_DELAY) -> Data
 
 
 def windowed_gold_by_code(rows: DataFrame, airlines: DataFrame, airports: DataFrame,
-                          watermark: str = WATERMARK_DELAY) -> DataFrame:
+                          watermark: str | None = WATERMARK_DELAY) -> DataFrame:
     """Window statistics keyed by codes, names attached to the aggregated rows.
+    ``watermark``: None if the rows have theirs already.
 
     Same output as ``windowed_gold(stream_features(...))``; the state keys hold
     codes only and the joins run once per emitted window row."""
-    by_code = window_gold(rows.withWatermark("event_ts", watermark), keys=CODE_KEYS, label=None)
+    marked = rows.withWatermark("event_ts", watermark) if watermark else rows
+    by_code = window_gold(marked, keys=CODE_KEYS, label=None)
     return attach_names(by_code, airlines, airports).withColumn("aggregation_type", F.lit(STREAM_LABEL))
 
 
-def gold_batch_writer(gold_path: str, warehouse_path: str | None = None, console_rows: int = 0):
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that runs this micro-batch. It is kept in the
+    checkpoint: the same after a restart, another one for another checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def gold_batch_writer(gold_path: str | None, warehouse_path: str | None = None):
     """foreachBatch body for append mode: each closed window is written once
-    per micro-batch, under load_id = s<batch_id>. ``console_rows`` > 0 also
-    prints that many rows of the batch (debug view, no second query)."""
+    per micro-batch, under load_id = <query id>-<batch id>."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("processed_at", F.current_timestamp())
         targets = [p for p in (gold_path, warehouse_path) if p]
-        shared = len(targets) > 1 or console_rows > 0
+        shared = len(targets) > 1
         if shared:
             rows = rows.persist()
         try:
-            if console_rows > 0:
-                print(f"-- micro-batch {batch_id}")
-                rows.show(console_rows, truncate=True)
             for path in targets:
-                sinks.write_gold(rows, path, load_id=f"s{batch_id:012d}", adaptive=False)
+                sinks.write_gold(rows, path, load_id=f"{query_id(batch)}-{batch_id:012d}", adaptive=False)
         finally:
             if shared:
                 rows.unpersist()
@@ -90,25 +98,64 @@ def gold_batch_writer(gold_path: str, warehouse_path: str | None = None, console
     return write
 
 
-def update_log_writer(path: str):
-    """foreachBatch body for update mode: changed windows per micro-batch,
-    partitioned by batch_id (a replay overwrites its own partition)."""
+def update_writer(path: str | None, console_rows: int = 0):
+    """foreachBatch body for update mode: changed windows per micro-batch, written
+    partitioned by stream and batch_id (a replay overwrites its own partition);
+    ``console_rows`` > 0 prints that many of them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        if console_rows > 0:
+            print(f"-- micro-batch {batch_id}")
+            batch.show(console_rows, truncate=True)
+        if path:
+            (
+                batch.withColumn("stream", F.lit(query_id(batch))).withColumn("batch_id", F.lit(batch_id).cast("long"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("stream", "batch_id")
+                .parquet(path)
+            )
 
     return write
 
 
 def latest_window_values(updates: DataFrame) -> DataFrame:
-    """Last emitted value of every window x key from an update log."""
-    return dedup_first(updates, WINDOW_KEYS, [F.col("batch_id").desc()]).drop("batch_id")
+    """Last emitted value of every window x key from the update log of one stream."""
+    return dedup_first(updates.drop("stream"), WINDOW_KEYS, [F.col("batch_id").desc()]).drop("batch_id")
+
+
+class StreamRun:
+    """The queries of a started job, handled as one."""
+
+    def __init__(self, queries: list[StreamingQuery]) -> None:
+        self.queries = queries
+
+    @property
+    def isActive(self) -> bool:
+        return any(q.isActive for q in self.queries)
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+    def processAllAvailable(self) -> None:
+        for q in self.queries:
+            q.processAllAvailable()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+    def exception(self):
+        return next((e for q in self.queries if (e := q.exception()) is not None), None)
+
+    @property
+    def recentProgress(self) -> list:
+        return [p for q in self.queries for p in q.recentProgress]
+
+    @property
+    def lastProgress(self):
+        return self.queries[0].lastProgress
 
 
 @dataclass
@@ -129,7 +176,7 @@ class StreamJob:
     # fixed when the checkpoint is created. None = the session's shuffle partitions.
     state_partitions: int | None = None
 
-    def start(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> StreamingQuery:
+    def start(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> StreamRun:
         if self.state_partitions is None:
             return self._start(spark, airlines, airports)
         key = "spark.sql.shuffle.partitions"
@@ -140,27 +187,31 @@ class StreamJob:
         finally:
             spark.conf.set(key, previous)
 
-    def _start(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> StreamingQuery:
+    def _start(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> StreamRun:
         source = read_flights_stream(spark, self.input_dir,
                                      max_files_per_trigger=self.max_files_per_trigger,
                                      glob=self.input_glob)
-        rows = stream_rows(source, self.dedup_within)
-        gold = windowed_gold_by_code(rows, airlines, airports, self.watermark)
-        if self.update_log_path:
-            mode, body = "update", update_log_writer(self.update_log_path)
-        else:
-            mode, body = "append", gold_batch_writer(self.gold_path, self.warehouse_path,
-                                                     self.console_rows)
-        writer = (
-            gold.writeStream.outputMode(mode)
-            .option("checkpointLocation", self.checkpoint)
-            .foreachBatch(body)
-        )
-        if self.available_now:
-            writer = writer.trigger(availableNow=True)
-        elif self.processing_time:
-            writer = writer.trigger(processingTime=self.processing_time)
-        return writer.start()
+        rows = stream_rows(source, self.dedup_within, self.watermark)
+        gold = windowed_gold_by_code(rows, airlines, airports, watermark=None)
+        outputs = []
+        if self.gold_path or self.warehouse_path:
+            outputs.append(("append", self.checkpoint, gold_batch_writer(self.gold_path, self.warehouse_path)))
+        if self.update_log_path or self.console_rows > 0:
+            if self.dedup_within:
+                raise ValueError("changing windows can't be shown behind a dedup: Spark runs it in append mode only")
+            place = f"{self.checkpoint.rstrip('/')}-updates" if outputs else self.checkpoint
+            outputs.append(("update", place, update_writer(self.update_log_path, self.console_rows)))
+        if not outputs:
+            raise ValueError("the job has no output: set gold_path, warehouse_path, update_log_path or console_rows")
+        run = StreamRun([])
+        for mode, checkpoint, body in outputs:
+            writer = gold.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(body)
+            if self.available_now:
+                writer = writer.trigger(availableNow=True)
+            elif self.processing_time:
+                writer = writer.trigger(processingTime=self.processing_time)
+            run.queries.append(writer.start())
+        return run
 
     def run_available(self, spark: SparkSession, airlines: DataFrame, airports: DataFrame) -> None:
         """Process everything in the input folder, then stop (bounded replay)."""

@@ -55,14 +55,33 @@ def test_chunk_export_caps_files(spark):
     assert counts == {0: 100, 1: 100, 2: 100}
 
 
-def test_large_n_cut_uses_row_positions(spark, monkeypatch):
-    import tardy.operators.sample as S
+def test_sample_of_repeated_rows(spark):
+    """Three values, two of them null somewhere, 1,000 rows: every row counts, none is taken as a block."""
+    df = spark.range(1000).selectExpr("case when id % 3 = 0 then 'x' when id % 3 = 1 then null else 'y' end as a",
+                                      "case when id % 3 = 1 then 'x' end as b")
+    got = {(r["a"], r["b"]): r["n"] for r in sample_exact_n(df, 300, ["a", "b"], seed=5).groupBy("a", "b").agg(F.count("*").alias("n")).collect()}
+    assert sum(got.values()) == 300 and len(got) == 3 and all(70 <= n <= 130 for n in got.values())
+    assert _ids(sample_exact_n(spark.range(1000), 50, ["id"])) != _ids(sample_exact_n(spark.range(1000), 50, ["id"]))
 
-    flights = testdata.flights(spark, SF_SMALL)
-    small = S.sample_exact_n(flights, 700, testdata.FLIGHTS_ROW_KEY, seed=3)
-    monkeypatch.setattr(S, "TOP_N_MAX", 10)
-    large = S.sample_exact_n(flights, 700, testdata.FLIGHTS_ROW_KEY, seed=3)
-    assert large.count() == 700 and _keys(small) == _keys(large)
+
+def _ids(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def test_sample_of_a_key_that_rows_share(spark):
+    df = spark.range(600).selectExpr("id % 4 as k", "id")
+    got = sample_exact_n(df, 100, ["k"], seed=2)
+    assert got.count() == 100 == got.select("id").distinct().count()
+
+
+def test_capped_split_sorts_little(spark):
+    from tardy.operators.chunks import bounded_prefix
+
+    df = spark.range(200_000).selectExpr("(id * 7919) % 200000 as t", "id")
+    rows = bounded_prefix(df, 5000, ["t", "id"])
+    assert 5000 <= rows.count() < 20_000 and rows.where("t < 5000").count() == 5000
+    assert bounded_prefix(df, 190_000, ["t"]).count() == 200_000
+    assert bounded_prefix(df.limit(0), 10, ["t"]).count() == 0
 
 
 def test_row_position_with_a_hot_order_value(spark):
