@@ -51,12 +51,14 @@ from tardy.session import materialize
 SHINGLE = 5
 NUM, DEN = 75, 100
 #: Slots of the count sketch, and how many of them make a row.
-SKETCH_SLOTS, SKETCH_ROW = 1 << 20, 1 << 10
+SKETCH_SLOTS, SKETCH_ROW = 1 << 21, 1 << 10
+#: Rarity levels: so many to a doubling of the count.
+LEVELS = 64
 #: Bits of a set's signature.
 BITS = 2048
-PART_SETS, NODE_SETS, BLOCK_ROOTS = 2000, 64, 512
-#: Rows of a few numbers that a join may broadcast (about 100 MB); more are shuffled.
-BROADCAST_ROWS = 1_000_000
+PART_SETS, NODE_SETS, BLOCK_ROOTS = 2000, 32, 512
+#: Rows of a few numbers that a join may broadcast (about 50 MB); more are shuffled.
+BROADCAST_ROWS = 250_000
 
 
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,9 +129,9 @@ def read_sketch(keys: DataFrame) -> np.ndarray:
 
 def ranked(hashes: np.ndarray, of: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct shingles in the common order: (number, text). The number is
-    the rarity level in the top 6 bits and 57 bits of the hash, so it is the same everywhere."""
+    the rarity level in the top 12 bits and 51 bits of the hash, so it is the same everywhere."""
     slot = (hashes & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64)
-    number = (level[slot].astype(np.uint64) << np.uint64(57)) | (hashes >> np.uint64(7))
+    number = (level[slot].astype(np.uint64) << np.uint64(51)) | (hashes >> np.uint64(13))
     order = np.lexsort((number, of))
     number, of = number[order], of[order]
     fresh = np.ones(len(number), bool)
@@ -139,7 +141,8 @@ def ranked(hashes: np.ndarray, of: np.ndarray, level: np.ndarray) -> tuple[np.nd
 
 def prefixes(docs: DataFrame, sketch: np.ndarray, shingle: int, num: int, den: int) -> DataFrame:
     """token, uid, n: the necessary prefix of each set, once per task and set."""
-    level = np.minimum(np.log2(sketch + 1).astype(np.int64), 63).astype(np.uint8)
+    # Other shingles of a slot add about the same to all; levels are fine enough to see what is above that.
+    level = np.minimum(LEVELS * np.log2(sketch + 1), 4095).astype(np.uint16)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -378,6 +381,36 @@ def pruned(pairs: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
     return pairs.select(*keys, *columns).mapInArrow(keep, ", ".join(f"{c} long" for c in keys))
 
 
+def packed_nodes(placed: DataFrame) -> DataFrame:
+    """comp, node and the node's sets in equally long lists: uids, sizes, slacks, signatures (one after the other)."""
+    rows = placed.groupBy("comp", "node").agg(F.collect_list(F.struct("uid", "n", "slack", "signature")).alias("sets"))  # node_sets at most
+    return rows.select("comp", "node", F.col("sets.uid").alias("uids"), F.col("sets.n").alias("sizes"),
+                       F.col("sets.slack").alias("slacks"), F.col("sets.signature").alias("signatures"))
+
+
+def leaf_pairs(nodes: DataFrame, packed: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b: the pairs of sets of the pairs of nodes (a_comp, a_node, b_comp, b_node) that may link."""
+    lists = ("uids", "sizes", "slacks", "signatures")
+    for s in "ab":
+        own = packed.select(F.col("comp").alias(f"{s}_comp"), F.col("node").alias(f"{s}_node"), *(F.col(c).alias(f"{s}_{c}") for c in lists))
+        nodes = nodes.join(own, [f"{s}_comp", f"{s}_node"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for row in range(batch.num_rows):
+                (a, low_a, slack_a, bits_a), (b, low_b, slack_b, bits_b) = (
+                    [*(np.array(batch.column(i + j)[row].as_py(), np.int64) for j in range(3)),
+                     np.frombuffer(b"".join(batch.column(i + 3)[row].as_py()), np.uint8).reshape(-1, BITS // 8)] for i in (0, 4))
+                for i in range(len(a)):
+                    good = may_link(low_a[i], low_a[i], bits_a[i], slack_a[i], low_b, low_b, bits_b, slack_b, num, den)
+                    left += [int(a[i])] * int(good.sum())
+                    right += b[good].tolist()
+            yield pa.record_batch({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return nodes.select(*(f"{s}_{c}" for s in "ab" for c in lists)).mapInArrow(compare, "a long, b long")
+
+
 def root_pairs(met: DataFrame, roots: DataFrame, num: int, den: int, block_roots: int = BLOCK_ROOTS) -> DataFrame:
     """a_comp, b_comp: different components that meet on a shingle and whose roots may
     link. The roots on a shingle are cut into blocks in order of size; every pair of
@@ -438,10 +471,7 @@ def tree_candidates(meets: DataFrame, texts: DataFrame, comps: DataFrame, shingl
     keys = ["comp", "node"]
     down = pairs.join(side(nodes, "a", keys), "a_comp").join(side(nodes, "b", keys), "b_comp")
     down = pruned(down, ["a_comp", "a_node", "b_comp", "b_node"], num, den)
-    leaves = placed.select("comp", "node", "uid", F.col("n").alias("low"), F.col("n").alias("high"), "slack", "signature")
-    keys = ["comp", "node", "uid"]
-    down = down.join(side(leaves, "a", keys), ["a_comp", "a_node"]).join(side(leaves, "b", keys), ["b_comp", "b_node"])
-    return pruned(down, ["a_uid", "b_uid"], num, den).select(F.col("a_uid").alias("a"), F.col("b_uid").alias("b")).distinct()
+    return leaf_pairs(down, packed_nodes(placed), num, den).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
