@@ -11,9 +11,10 @@ Method
        window's bytes only, so equal windows have the same digit and have it at the
        same offset. Windows next to each other mostly share the gram; such a run is a
        segment: one row of a few numbers for about 90 windows, with a digest of its bytes.
-    2. Segments with the same gram and the same bytes repeat whole. They're found by an
-       aggregation with map-side combine. Grams of only one segment are done: nothing
-       else starts with that digit.
+    2. Segments with the same gram and the same bytes repeat whole. A task emits each
+       different segment once (the others of the task are known to repeat), and these
+       rows are shuffled once, by gram. Grams of only one segment are done: nothing else
+       starts with that digit.
     3. Of the other grams each distinct segment's bytes are fetched once, and the windows
        of each gram are sorted by further passes of eight bytes, on the bytes themselves.
        What is left after the last pass repeats.
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tardy.llm.words import binary_buffers, mix64
@@ -49,7 +50,7 @@ HOT_SEGMENTS = 4096
 #: Distinct segments that are sorted at once, at least, if there are as many.
 SORT_SEGMENTS = 1500
 #: Documents whose texts may be picked by a broadcast of their ids; more are shuffled.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 250_000
 _BASE = np.uint64(0xD1342543DE82EF95)
 
 
@@ -131,41 +132,75 @@ def pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[np.
             row = to
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
+def with_ref(docs: DataFrame) -> DataFrame:
+    """doc_id, ref (a number of the document), text (binary). The doc_id serves if it is unique and
+    never null; else a hash of doc_id and text, which rows that are equal in both share."""
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    plain = ids.where("n > 1 or doc_id is null").isEmpty()
+    ref = F.col("doc_id").cast("long") if plain else F.xxhash64("doc_id", "text")
+    return docs.select("doc_id", ref.alias("ref"), F.col("text").cast("binary").alias("text"))
 
 
-def segment_rows(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, key, start, n (windows), at (offset of the gram), gram, digest: a row per segment."""
+PLACE = "place"  # of a segment in its document: first window, windows and offset of the gram in one number
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return place >> 16, place >> 8 & 255, place & 255
+
+
+def segment_rows(texts: DataFrame, window: int) -> DataFrame:
+    """gram, digest, ref, place, copies: each different segment of a task once; and, without
+    a gram, ref, start, stop of the segments that the same task has twice. So a segment of
+    any number of copies is a row per task at most before anything is shuffled."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, ...]] = []
         for data, ends, row, offset, batch in pieces(batches, window):
             text, begin, n, at, gram, digest = segments_of(data, ends, window)
-            of = pa.array(row[text])
-            yield pa.record_batch([batch.column(0).take(of), batch.column(1).take(of), pa.array(begin - ends[:-1][text] + offset[text]),
-                                   pa.array(n.astype(np.int16)), pa.array(at.astype(np.int16)), pa.array(gram.view(np.int64)), pa.array(digest.view(np.int64))],
-                                  names=["doc_id", "key", "start", "n", "at", "gram", "digest"])
-
-    return with_key(docs).mapInArrow(cut, "doc_id long, key long, start long, n short, at short, gram long, digest long")
+            ref = batch.column(0).to_numpy()[row[text]]
+            found.append((gram.view(np.int64), digest.view(np.int64), ref, begin - ends[:-1][text] + offset[text] << 16 | n << 8 | at))
+        if not found:
+            return
+        gram, digest, ref, place = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((digest, gram))
+        gram, digest, ref, place = (x[order] for x in (gram, digest, ref, place))
+        head = np.ones(len(gram), bool)
+        head[1:] = (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1])
+        copies = np.bincount(np.cumsum(head) - 1) if len(gram) else np.empty(0, np.int64)
+        for part in np.array_split(np.flatnonzero(head), 1 + len(copies) // 100_000):
+            own = copies[np.cumsum(head)[part] - 1]
+            yield as_batch([gram[part], digest[part], ref[part], place[part], own, None, None])
+        again = np.flatnonzero(np.repeat(copies > 1, copies))
+        for part in np.array_split(again, 1 + len(again) // 100_000):
+            start, n, _ = unpacked(place[part])
+            yield as_batch([None, None, ref[part], None, None, start, start + n - 1 + window])
+
+    def as_batch(columns: list) -> pa.RecordBatch:
+        rows = len(columns[2])
+        return pa.record_batch([pa.nulls(rows, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns], names=names)
+
+    names = ["gram", "digest", "ref", PLACE, "copies", "start", "stop"]
+    return texts.select("ref", "text").mapInArrow(cut, ", ".join(f"{n} long" for n in names))
 
 
 def fetched(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """The wanted segments with their ``bytes``."""
-    names = ["doc_id", "key", "start", "n", "at", "gram", "digest", "copies"]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    of = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct(*names[2:])).alias("of"))
+    """The wanted segments (ref, place, gram, times) with their ``bytes``."""
+    of = wanted.groupBy("ref").agg(F.collect_list(F.struct(PLACE, "gram", "times")).alias("of"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                rows = [(d, k, *(r[c] for c in names[2:]), text.as_buffer().slice(r["start"], r["n"] + window - 1).to_pybytes())
-                        for d, k, text, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3)) for r in own.as_py()]
-                yield pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=[*names, "bytes"])
+                rows = []
+                for ref, text, own in zip(part.column(0).to_pylist(), part.column(1), part.column(2)):
+                    text = text.as_buffer()
+                    for r in own.as_py():
+                        start, n, _ = unpacked(r[PLACE])
+                        rows.append((ref, r[PLACE], r["gram"], r["times"], text.slice(start, n + window - 1).to_pybytes()))
+                yield pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((*[pa.int64()] * 4, pa.binary()))],
+                                      names=["ref", PLACE, "gram", "times", "bytes"])
 
-    found = texts.join(of.select(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"), "of"),
-                       (F.col("key") == F.col("w_key")) & F.col("doc_id").eqNullSafe(F.col("w_id")))
-    return found.select("doc_id", "key", "text", "of").mapInArrow(
-        cut, "doc_id long, key long, start long, n short, at short, gram long, digest long, copies long, bytes binary")
+    found = texts.join(of, "ref").select("ref", "text", "of")
+    return found.mapInArrow(cut, f"ref long, {PLACE} long, gram long, times long, bytes binary")
 
 
 def repeated_windows(gram: np.ndarray, n: np.ndarray, at: np.ndarray, contents: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +230,7 @@ def repeated_windows(gram: np.ndarray, n: np.ndarray, at: np.ndarray, contents:
     return segment[order], number[order]
 
 
-COVER = "doc_id long, key long, start long, stop long"
+COVER = "ref long, start long, stop long"
 
 
 def ranges_of(segment: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,7 +245,7 @@ def ranges_of(segment: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def sorted_covers(contents: DataFrame, window: int) -> DataFrame:
-    """doc_id, key, start, stop: the bytes under repeated windows of segments that occur once."""
+    """ref, start, stop: the bytes under repeated windows of segments that occur once."""
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -220,7 +255,7 @@ def sorted_covers(contents: DataFrame, window: int) -> DataFrame:
                 rows += held[-1].num_rows
                 if rows >= 2 * SORT_SEGMENTS:
                     whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    gram = whole.column(5).to_numpy()
+                    gram = whole.column(2).to_numpy()
                     cut = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on
                     if cut:
                         yield covers(whole.slice(0, cut))
@@ -230,13 +265,12 @@ def sorted_covers(contents: DataFrame, window: int) -> DataFrame:
             yield covers(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     def covers(rows: pa.RecordBatch) -> pa.RecordBatch:
-        start, n, at, gram, copies = (rows.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4, 5, 7))
-        segment, first, last = ranges_of(*repeated_windows(gram, n, at, rows.column(8).to_pylist(), window))
-        once = copies[segment] == 1
+        ref, place, gram, times = (rows.column(i).to_numpy() for i in range(4))
+        start, n, at = unpacked(place)
+        segment, first, last = ranges_of(*repeated_windows(gram, n, at, rows.column(4).to_pylist(), window))
+        once = times[segment] == 1
         segment, first, last = segment[once], first[once], last[once]
-        of = pa.array(segment)
-        return pa.record_batch([rows.column(0).take(of), rows.column(1).take(of), pa.array(start[segment] + first), pa.array(start[segment] + last + window)],
-                               names=["doc_id", "key", "start", "stop"])
+        return pa.record_batch({"ref": ref[segment], "start": start[segment] + first, "stop": start[segment] + last + window})
 
     return contents.repartition("gram").sortWithinPartitions("gram").mapInArrow(sort, COVER)
 
@@ -245,65 +279,61 @@ def counted_covers(contents: DataFrame, window: int) -> DataFrame:
     """The same for grams of very many distinct segments: windows are counted by digest."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for chunk in range(0, batch.num_rows, 1000):
                 out: list[tuple] = []
-                for doc_id, key, start, n, gram_at, gram, _, copies, content in zip(*(c.to_pylist() for c in part.columns)):
-                    for w in range(n):
-                        d = hashlib.md5(content[w:w + window]).digest()
-                        out.append((doc_id, key, start + w, gram, w - gram_at, d, copies))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.binary(), pa.int64())
-                yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["doc_id", "key", "start", "gram", "offset", "window", "copies"])
-
-    windows = materialize(contents.mapInArrow(explode, "doc_id long, key long, start long, gram long, offset short, window binary, copies long"), "repeats-windows")
-    many = windows.groupBy("gram", "offset", "window").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    found = windows.where("copies = 1").join(many, ["gram", "offset", "window"], "left_semi")
-    return found.select("doc_id", "key", "start", (F.col("start") + window).alias("stop"))
-
-
-def repeated_spans(docs: DataFrame, window: int = WINDOW, hot_segments: int = HOT_SEGMENTS) -> tuple[DataFrame, DataFrame]:
-    """(covers, texts): doc_id, key (hash of the text), start, stop of bytes under repeated
-    windows, ranges that may overlap; and the texts of the documents that have any gram twice."""
-    segments = materialize(segment_rows(docs, window), "repeats-segments")
-    # The three firsts are of one row: they're taken together. Plain columns keep the aggregation hashed.
-    one = [F.first(c).alias(c) for c in ("doc_id", "key", "start")]
-    distinct = segments.groupBy("gram", "digest", "n", "at").agg(F.count(F.lit(1)).alias("copies"), *one)
-    distinct = materialize(distinct, "repeats-distinct")
-    grams = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("times")).where("times > 1")
-    shared = materialize(distinct.join(grams, "gram"), "repeats-shared")
-    copied = shared.where("copies > 1").select("gram", "digest", "n", "at")
-    whole = segments.join(copied, ["gram", "digest", "n", "at"], "left_semi").select(
-        "doc_id", "key", "start", (F.col("start") + F.col("n") - 1 + window).alias("stop"))
-    whole = materialize(whole, "repeats-whole")
-    wanted = shared.where("kinds > 1").select("doc_id", "key", "start", "n", "at", "gram", "digest", "copies", "kinds")
-    touched = whole.select("doc_id", "key").unionByName(wanted.select("doc_id", "key")).distinct()
-    touched = materialize(touched.select(F.col("doc_id").alias("t_id"), F.col("key").alias("t_key")), "repeats-touched")
-    small = touched.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = with_key(docs)
-    texts = texts.join(F.broadcast(touched) if small else touched, (texts.key == touched.t_key) & texts.doc_id.eqNullSafe(touched.t_id), "left_semi")
-    texts = materialize(texts, "repeats-texts")
-    hot = wanted.where(F.col("kinds") > hot_segments).drop("kinds")
-    cold = wanted.where(F.col("kinds") <= hot_segments).drop("kinds")
-    covers = whole.unionByName(sorted_covers(fetched(texts, cold, window), window))
+                for ref, place, gram, times, content in zip(*(c.to_pylist() for c in batch.slice(chunk, 1000).columns)):
+                    start, n, at = unpacked(place)
+                    out += [(ref, start + w, gram, w - at, hashlib.md5(content[w:w + window]).digest(), times) for w in range(n)]
+                kinds = (*[pa.int64()] * 4, pa.binary(), pa.int64())
+                yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["ref", "start", "gram", "offset", "window", "times"])
+
+    windows = materialize(contents.mapInArrow(explode, "ref long, start long, gram long, offset long, window binary, times long"), "repeats-windows")
+    many = windows.groupBy("gram", "offset", "window").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
+    found = windows.where("times = 1").join(many, ["gram", "offset", "window"], "left_semi")
+    return found.select("ref", "start", (F.col("start") + window).alias("stop"))
+
+
+def picked(texts: DataFrame, refs: DataFrame) -> DataFrame:
+    """The texts of the documents in ``refs``: by a broadcast of up to ``BROADCAST_ROWS`` numbers, else shuffled."""
+    small = refs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return texts.select("ref", "text").join(F.broadcast(refs) if small else refs, "ref", "left_semi")
+
+
+def repeated_spans(texts: DataFrame, window: int = WINDOW, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
+    """ref, start, stop of bytes under repeated windows; ranges may overlap. ``texts``: of ``with_ref``."""
+    rows = materialize(segment_rows(texts, window), "repeats-segments")
+    same, gram = Window.partitionBy("gram", "digest"), Window.partitionBy("gram")
+    # One shuffle of the different segments, by gram; the windows share its order.
+    kinds = rows.where("gram is not null").select("gram", "digest", "ref", PLACE, "copies").repartition("gram")
+    kinds = kinds.withColumn("times", F.sum("copies").over(same)).withColumn("nth", F.row_number().over(same.orderBy("digest")))
+    kinds = kinds.withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(gram))
+    shared = materialize(kinds.where("times > 1 or kinds > 1"), "repeats-shared")
+    start = F.shiftright(PLACE, 16)
+    stop = start + F.shiftright(PLACE, 8).bitwiseAND(F.lit(255)) - 1 + window
+    covers = rows.where("gram is null").select("ref", "start", "stop").unionByName(
+        shared.where("times > 1 and copies = 1").select("ref", start.alias("start"), stop.alias("stop")))
+    wanted = shared.where("kinds > 1 and nth = 1").select("ref", PLACE, "gram", "times", "kinds")
+    of = materialize(wanted.select("ref").distinct(), "repeats-wanted")
+    own = picked(texts, of)
+    covers = covers.unionByName(sorted_covers(fetched(own, wanted.where(F.col("kinds") <= hot_segments), window), window))
+    hot = wanted.where(F.col("kinds") > hot_segments)
     if not hot.isEmpty():
-        covers = covers.unionByName(counted_covers(fetched(texts, hot, window), window))
-    return covers, texts
+        covers = covers.unionByName(counted_covers(fetched(own, hot, window), window))
+    return covers
 
 
-def without_repeats(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, key, spans (maximal removed runs), kept (the bytes that remain) of each
-    document that loses bytes; rows with equal doc_id and text are one."""
-    covers, texts = repeated_spans(docs, **options)
-    per = covers.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")).select(
-        F.col("doc_id").alias("c_id"), F.col("key").alias("c_key"), "ranges")
-    rows = texts.dropDuplicates(["doc_id", "key"]).join(per, (F.col("key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_id")))
+def without_repeats(texts: DataFrame, **options) -> DataFrame:
+    """ref, spans (maximal removed runs), kept (the bytes that remain) of each document that
+    loses bytes. ``texts``: of ``with_ref``."""
+    covers = repeated_spans(texts, **options)
+    per = materialize(covers.groupBy("ref").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "repeats-ranges")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 spans, kept = [], []
-                for text, ranges in zip(part.column(2), part.column(3)):
+                for text, ranges in zip(part.column(1), part.column(2)):
                     data = np.frombuffer(text.as_buffer(), np.uint8)
                     pairs = np.array([(r["start"], r["stop"]) for r in ranges.as_py()], np.int64)
                     depth = np.zeros(len(data) + 1, np.int32)
@@ -313,25 +343,25 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
                     edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
                     spans.append([{"start": a, "stop": b} for a, b in edge.reshape(-1, 2).tolist()])
                     kept.append(data[~gone].tobytes())
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                                       pa.array(kept, pa.binary())], names=["doc_id", "key", "spans", "kept"])
+                yield pa.record_batch([part.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                                       pa.array(kept, pa.binary())], names=["ref", "spans", "kept"])
 
-    return rows.select("doc_id", "key", "text", "ranges").mapInArrow(
-        remove, "doc_id long, key long, spans array<struct<start: long, stop: long>>, kept binary")
+    return picked(texts, per.select("ref")).join(per, "ref").select("ref", "text", "ranges").mapInArrow(
+        remove, "ref long, spans array<struct<start: long, stop: long>>, kept binary")
 
 
 def repeats_digest(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    cut = without_repeats(docs, **options).select(
-        F.col("doc_id").alias("c_id"), F.col("key").alias("c_key"), F.octet_length("kept").cast("long").alias("n_kept"),
-        F.size("spans").cast("long").alias("spans_cut"), F.sha2("kept", 256).alias("cut_sha256"))
-    cut = materialize(cut, "repeats-cut")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"),
-                       F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole_sha256"))
-    rows = rows.join(cut, (F.col("key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_id")), "left")
+    texts = with_ref(docs)
+    cut = without_repeats(texts, **options).select(
+        F.col("ref").alias("c_ref"), F.octet_length("kept").cast("long").alias("n_kept"),
+        F.size("spans").cast("long").alias("n_cut"), F.sha2("kept", 256).alias("cut_sha256"))
+    cut = materialize(cut, "repeats-cut").dropDuplicates(["c_ref"])
+    text = F.coalesce(F.col("text"), F.lit("").cast("binary"))
+    rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "ref", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole_sha256"))
+    rows = rows.join(cut, F.col("ref") == F.col("c_ref"), "left")
     return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.coalesce("n_kept", "n_bytes")).alias("n_removed"),
-                       F.coalesce("spans_cut", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
+                       F.coalesce("n_cut", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
 
 
 #: DuckDB: the digest of every window of every text, as hex strings.
