@@ -87,7 +87,8 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int = DIMS,
         probes = open_codes.select("q_code", F.posexplode("q_code").alias("segment", "q_value"))
         probes = probes.withColumn("flip", F.explode(flips(segment_bits, radius)))
         probes = probes.select("q_code", "segment", F.col("q_value").bitwiseXOR(F.col("flip")).alias("value"))
-        found = probes.join(entries, ["segment", "value"]).select("q_code", "code", "ids", "n", distance(F.col("q_code"), F.col("code")).alias("distance"))
+        # The flips multiply the probes beyond what the planner expects of the few queries: no broadcast.
+        found = probes.hint("merge").join(entries, ["segment", "value"]).select("q_code", "code", "ids", "n", distance(F.col("q_code"), F.col("code")).alias("distance"))
         found = found.dropDuplicates(["q_code", "code"]) if best is None else found.unionByName(
             best.join(open_codes, "q_code", "left_semi")).dropDuplicates(["q_code", "code"])
         # Codes in order of distance until k + 1 ids lie before: no later one can be in a result.
