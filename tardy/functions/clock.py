@@ -40,6 +40,7 @@ def event_time(year: Column | str = "YEAR", month: Column | str = "MONTH",
     Null for clock values that are not times of day (24:00, minute 75) and for
     null parts, so such rows drop out of event-time processing.
     """
+    # Fixed value: the pattern of the event timestamp.
     text = F.format_string(
         "%04d-%02d-%02d %02d:%02d:00",
         _c(year), _c(month), _c(day), clock_hour(hhmm), clock_minute(hhmm),

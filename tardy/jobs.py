@@ -73,6 +73,7 @@ def cmd_split(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 
 def parser() -> argparse.ArgumentParser:
+    # Option names and defaults of the sampler, the splitter and the stream.
     p = argparse.ArgumentParser(prog="tardy.jobs")
     sub = p.add_subparsers(dest="cmd", required=True)
 

@@ -87,6 +87,7 @@ def attach_names(gold: DataFrame, airlines: DataFrame, airports: DataFrame,
         airports = guarded_dimension(airports, "AIRPORT_CODE")
     origin = airports.select(
         F.col("AIRPORT_CODE").alias("_origin_code"),
+        # The names of the joined columns.
         F.col("AIRPORT_NAME").alias("ORIGIN_AIRPORT_NAME"),
         F.col("CITY_NAME").alias("ORIGIN_CITY"),
         F.col("STATE_CODE").alias("ORIGIN_STATE"),

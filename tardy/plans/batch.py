@@ -23,7 +23,6 @@ from tardy.schema import BATCH_LABEL, GOLD_KEYS, STREAM_LABEL
 from tardy.sinks import parquet as sinks
 from tardy.sinks.audit import enrichment_log_lines, guarded_write, write_lines
 from tardy.sources import testdata
-from tardy.streaming.pipeline import stream_features as streaming_features
 from tardy.streaming.pipeline import stream_rows
 
 
@@ -85,11 +84,6 @@ def cleaned_dates(inputs: Inputs) -> DataFrame:
     return add_calendar_columns(cleaned(inputs)).select("FL_DATE").distinct()
 
 
-def stream_features(inputs: Inputs) -> DataFrame:
-    """The stream job's row pipeline on a bounded frame (see ``streaming.pipeline``)."""
-    return streaming_features(inputs.flights, inputs.airlines, inputs.airports)
-
-
 def stream_window_gold(inputs: Inputs) -> DataFrame:
     """The stream job's window statistics computed on a bounded frame (no watermark)."""
     by_code = window_gold(stream_rows(inputs.flights), keys=CODE_KEYS, label=None)

@@ -22,6 +22,7 @@ from tardy.operators.enrich import enrichment_diagnostics, unmatched_code_exampl
 def enrichment_log_lines(enriched: DataFrame, examples: int = 50) -> DataFrame:
     """(line_no, line): total_rows=…, origin_missing=…, dest_missing=…, then the
     example codes of each side under a header line."""
+    # The texts of the log's lines.
     counts = enrichment_diagnostics(enriched)
     head = counts.select(F.explode(F.array(
         F.struct(F.lit(0).alias("line_no"), F.concat(F.lit("total_rows="), F.col("total_rows").cast("string")).alias("line")),
