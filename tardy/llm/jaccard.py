@@ -51,7 +51,7 @@ from tardy.session import materialize
 SHINGLE = 5
 NUM, DEN = 75, 100
 #: Slots of the count sketch, and how many of them make a row.
-SKETCH_SLOTS, SKETCH_ROW = 1 << 21, 1 << 10
+SKETCH_SLOTS, SKETCH_ROW = 1 << 22, 1 << 10
 #: Rarity levels: so many to a doubling of the count.
 LEVELS = 64
 #: Bits of a set's signature.
@@ -103,7 +103,7 @@ def document_keys(docs: DataFrame, shingle: int) -> DataFrame:
         used = np.flatnonzero(total.reshape(-1, SKETCH_ROW).any(axis=1))
         nothing = [pa.nulls(len(used), t) for t in types]
         yield pa.record_batch([*nothing, pa.array(used, pa.int32()), pa.array(
-            [total[r * SKETCH_ROW:(r + 1) * SKETCH_ROW].astype("<u4").tobytes() for r in used], pa.binary())], names=names)
+            [np.minimum(total[r * SKETCH_ROW:(r + 1) * SKETCH_ROW], 65_535).astype("<u2").tobytes() for r in used], pa.binary())], names=names)
 
     names = ["doc_id", "key", "uid", "n", "slot", "counts"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
@@ -111,20 +111,23 @@ def document_keys(docs: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(scan, "doc_id long, key long, uid long, n long, slot int, counts binary")
 
 
-def read_sketch(keys: DataFrame) -> np.ndarray:
-    """The sketch: ``SKETCH_SLOTS`` numbers, summed up in the tasks by slot."""
+def rarity_levels(keys: DataFrame) -> np.ndarray:
+    """The level of each of the ``SKETCH_SLOTS`` slots, two bytes each; counts are summed up
+    in the tasks. Other shingles of a slot add about the same to all; levels are fine enough
+    to see what is above that."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for slot, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[slot] = sums.get(slot, 0) + np.frombuffer(counts, "<u4").astype(np.int64)
-        yield pa.record_batch({"slot": pa.array(list(sums), pa.int32()), "counts": pa.array([c.tobytes() for c in sums.values()], pa.binary())})
+                sums[slot] = sums.get(slot, 0) + np.frombuffer(counts, "<u2").astype(np.int64)
+        levels = [np.minimum(LEVELS * np.log2(c + 1), 4095).astype("<u2").tobytes() for c in sums.values()]
+        yield pa.record_batch({"slot": pa.array(list(sums), pa.int32()), "counts": pa.array(levels, pa.binary())})
 
     rows = keys.where("slot is not null").select("slot", "counts").repartition("slot").mapInArrow(add, "slot int, counts binary")
-    total = np.zeros(SKETCH_SLOTS, np.int64)
-    for r in rows.collect():  # SKETCH_SLOTS numbers
-        total[r["slot"] * SKETCH_ROW:(r["slot"] + 1) * SKETCH_ROW] = np.frombuffer(r["counts"], np.int64)
-    return total
+    level = np.zeros(SKETCH_SLOTS, np.uint16)
+    for r in rows.collect():  # SKETCH_SLOTS numbers of two bytes
+        level[r["slot"] * SKETCH_ROW:(r["slot"] + 1) * SKETCH_ROW] = np.frombuffer(r["counts"], "<u2")
+    return level
 
 
 def ranked(hashes: np.ndarray, of: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,11 +142,8 @@ def ranked(hashes: np.ndarray, of: np.ndarray, level: np.ndarray) -> tuple[np.nd
     return number[fresh].view(np.int64), of[fresh]
 
 
-def prefixes(docs: DataFrame, sketch: np.ndarray, shingle: int, num: int, den: int) -> DataFrame:
+def prefixes(docs: DataFrame, level: np.ndarray, shingle: int, num: int, den: int) -> DataFrame:
     """token, uid, n: the necessary prefix of each set, once per task and set."""
-    # Other shingles of a slot add about the same to all; levels are fine enough to see what is above that.
-    level = np.minimum(LEVELS * np.log2(sketch + 1), 4095).astype(np.uint16)
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for rows in slices(batches, "text"):
@@ -453,14 +453,21 @@ def root_pairs(met: DataFrame, roots: DataFrame, num: int, den: int, block_roots
     return found.distinct()
 
 
-def tree_candidates(meets: DataFrame, texts: DataFrame, comps: DataFrame, shingle: int, num: int, den: int, node_sets: int = NODE_SETS) -> DataFrame:
+def star_candidates(stars: DataFrame, signed: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (hub, set) that their signatures don't rule out."""
+    leaf = signed.select("uid", F.col("n").alias("low"), F.col("n").alias("high"), "slack", "signature")
+    pairs = stars.select(F.col("a").alias("a_uid"), F.col("b").alias("b_uid"))
+    pairs = pairs.join(side(leaf, "a", ["uid"]), "a_uid").join(side(leaf, "b", ["uid"]), "b_uid")
+    return pruned(pairs, ["a_uid", "b_uid"], num, den).select(F.col("a_uid").alias("a"), F.col("b_uid").alias("b")).distinct()
+
+
+def tree_candidates(meets: DataFrame, signed: DataFrame, comps: DataFrame, num: int, den: int, node_sets: int = NODE_SETS) -> DataFrame:
     """a, b: the pairs of sets of different components that the dual traversal can't rule out."""
     met = meets.select("token", "uid").join(comps, "uid", "left").select("token", F.coalesce("comp", "uid").alias("comp"))
     mixed = met.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("token")
     met = materialize(met.join(mixed, "token", "left_semi").distinct(), "jaccard-met")
     involved = meets.select("uid").distinct().join(comps, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
     involved = materialize(involved.join(met.select("comp").distinct(), "comp", "left_semi"), "jaccard-involved")
-    signed = signatures(texts.join(small_side(involved.select("uid")), "uid", "left_semi"), shingle)
     order = Window.partitionBy("comp").orderBy("n", "uid")
     placed = signed.join(involved, "uid").withColumn("node", F.floor((F.row_number().over(order) - 1) / node_sets))
     placed = materialize(placed, "jaccard-placed")
@@ -478,14 +485,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     """doc_id, key (hash of the text), component (null without words), n_shingles,
     component_id; one row per document."""
     keys = materialize(document_keys(docs, shingle), "jaccard-keys")
-    entries = prefixes(docs, read_sketch(keys), shingle, num, den)
+    entries = prefixes(docs, rarity_levels(keys), shingle, num, den)
     meets = materialize(distinct_groups(materialize(meetings(entries), "jaccard-all-meets")), "jaccard-meets")
     texts = materialize(candidate_texts(docs, meets.select("uid").distinct(), keys), "jaccard-texts")
     sizes = (F.col("n") * den >= F.col("hub_n") * num) & (F.col("hub_n") * den >= F.col("n") * num)
     stars = meets.where(sizes & (F.col("uid") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
-    links = materialize(verified(materialize(stars, "jaccard-stars"), texts, shingle, num, den), "jaccard-links")
+    signed = materialize(signatures(texts, shingle), "jaccard-signed")
+    stars = materialize(star_candidates(stars, signed, num, den), "jaccard-stars")
+    links = materialize(verified(stars, texts, shingle, num, den), "jaccard-links")
     comps = materialize(components(links), "jaccard-comps")
-    pairs = materialize(tree_candidates(meets, texts, comps, shingle, num, den), "jaccard-pairs")
+    pairs = materialize(tree_candidates(meets, signed, comps, num, den), "jaccard-pairs")
     more = materialize(verified(pairs, texts, shingle, num, den), "jaccard-links")
     if not more.isEmpty():
         comps = components(links.unionByName(more))
