@@ -1,16 +1,24 @@
 """Licence scans by sentence rules (DataFrame functions only).
 
 Method
-    A text is cut into sentences (at line ends and at sentence marks before a blank).
-    A sentence is normalised: lower case, every run of other characters than letters
-    and digits one blank. Normalised sentences that are known licence sentences become
-    identifiers; what stands between two of them is kept as a gap. A text is then a
-    sequence of identifiers, and ordered rules, longer ones first, are matched against
-    the sequence: a rule takes its run of identifiers out, so a later rule can't claim
-    the same sentences again.
+    A text is cut into pieces (at line ends and at sentence marks before a blank). A piece
+    is normalised: lower case, every run of other characters than letters and digits one
+    blank. A known licence sentence is found where its words run from the start of a piece
+    to the end of the same or a later one, so wrapped lines and marks inside a sentence
+    don't matter; a list number or letter before it is passed over. The longest known
+    sentence at a place counts. Known sentences become identifiers; a piece of no known
+    sentence is kept as a gap. A text is then a sequence of identifiers, and ordered rules,
+    longer ones first, are matched against the sequence: a rule takes its run of identifiers
+    out, so a later rule can't claim the same sentences again.
+
+    MIT, BSD, ISC, 0BSD and the notices are known by all their sentences. The long licences
+    (Apache, GPL, LGPL, AGPL, MPL, CC0) are known by their opening sentences (form
+    "opening"), not by each of their sections.
 
     All of it happens within a row: no shuffle, no join, no Python. The table of known
-    sentences is a literal map with a fixed number of entries.
+    sentences is a literal map with a fixed number of entries. ``sql`` states the sentences
+    that are one piece and their rules (``SENTENCES``, ``RULES``); it agrees where the other
+    sentences don't occur.
 
 Defined cases
     Null and empty texts have no sentences and no licences. Rows with equal doc_ids are
@@ -69,51 +77,195 @@ RULES = (
     ("CC-BY-4.0", "reference", "P"),
     ("CC-BY-4.0", "reference", "R"),
 )
-#: A sentence ends at a line end, or at marks before a blank or the end.
+#: A piece ends at a line end, or at marks before a blank or the end.
 ENDS = r"[\r\n]+|[.!?;:]+(?:[\x20\t\r\n]+|$)"
 GAP, TAKEN = " ", "#"
 
+GNU = "* is free software you can redistribute it and or modify it under the terms of the gnu "
+FSF = "as published by the free software foundation"
+OPENING = " ** everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"
+# Known sentences of official texts (normalised; * is up to 12 words that differ, ** up to 40) by name.
+# One-character names are the identifiers of SENTENCES.
+TEXTS = (
+    ("A", "* licenses this file to you under the apache license version 2 0 the license"),
+    ("D", "https www apache org licenses license 2 0"),
+    ("apache-opening", "apache license version 2 0 january 2004 http www apache org licenses terms and conditions for use reproduction and distribution"),
+    ("apache-opening", "apache license version 2 0 january 2004 https www apache org licenses terms and conditions for use reproduction and distribution"),
+    ("H", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("I", "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"),
+    ("J", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit-liable", "in no event shall * be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("T", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-advert", "all advertising materials mentioning features or use of this software must display the following acknowledgement this product includes software developed by **"),
+    ("W", "neither the name of * nor the names of * may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("W", "the name of * may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("W", "the names of * may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("V", "this software is provided by * as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd-liable", "in no event shall * be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("isc-grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc-grant", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd-grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc-warranty", "the software is provided as is and * disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("isc-liable", "in no event shall * be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
+    ("L", f"{GNU}general public license {FSF} either version 3 of the license or at your option any later version"),
+    ("gpl3-only", f"{GNU}general public license {FSF} version 3 of the license"),
+    ("gpl3-only", f"{GNU}general public license version 3 {FSF}"),
+    ("gpl2-later", f"{GNU}general public license {FSF} either version 2 of the license or at your option any later version"),
+    ("gpl2-only", f"{GNU}general public license {FSF} version 2 of the license"),
+    ("gpl2-only", f"{GNU}general public license version 2 {FSF}"),
+    ("lgpl3-later", f"{GNU}lesser general public license {FSF} either version 3 of the license or at your option any later version"),
+    ("lgpl21-later", f"{GNU}lesser general public license {FSF} either version 2 1 of the license or at your option any later version"),
+    ("lgpl2-later", f"{GNU}library general public license {FSF} either version 2 of the license or at your option any later version"),
+    ("agpl3-later", f"{GNU}affero general public license {FSF} either version 3 of the license or at your option any later version"),
+    ("M", "* is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("N", "see the gnu lesser general public license for more details"),
+    ("N", "see the gnu library general public license for more details"),
+    ("N", "see the gnu affero general public license for more details"),
+    ("gnu-copy", "you should have received a copy of the gnu general public license along with *"),
+    ("gnu-copy", "you should have received a copy of the gnu lesser general public license along with *"),
+    ("gnu-copy", "you should have received a copy of the gnu library general public license along with *"),
+    ("gnu-copy", "you should have received a copy of the gnu affero general public license along with *"),
+    ("gpl2-opening", f"gnu general public license version 2 june 1991{OPENING}"),
+    ("gpl3-opening", f"gnu general public license version 3 29 june 2007{OPENING}"),
+    ("lgpl21-opening", f"gnu lesser general public license version 2 1 february 1999{OPENING}"),
+    ("lgpl3-opening", f"gnu lesser general public license version 3 29 june 2007{OPENING}"),
+    ("lgpl2-opening", f"gnu library general public license version 2 june 1991{OPENING}"),
+    ("agpl3-opening", f"gnu affero general public license version 3 19 november 2007{OPENING}"),
+    ("mpl2-subject", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl2-copy", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("mpl2-copy", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"),
+    ("mpl2-opening", "mozilla public license version 2 0 1 definitions 1 1 contributor means each individual or legal entity that creates contributes to the creation of or owns covered software"),
+    ("cc0-opening", "creative commons legal code cc0 1 0 universal creative commons corporation is not a law firm and does not provide legal services"),
+    ("cc0", "licensed under cc0 1 0"),
+    ("cc0", "to the extent possible under law * has waived all copyright and related or neighboring rights to **"),
+    ("cc-by-nd", "licensed under cc by nd 4 0"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
+    ("Q", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("O", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nd", "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nc-sa", "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nc-nd", "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"),
+    ("R", "this work is licensed under the creative commons attribution 4 0 international license"),
+    ("Q", "this work is licensed under the creative commons attribution sharealike 4 0 international license"),
+    ("O", "this work is licensed under the creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nd", "this work is licensed under the creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nc-sa", "this work is licensed under the creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nc-nd", "this work is licensed under the creative commons attribution noncommercial noderivatives 4 0 international license"),
+)
+GRANTS = (("GPL-3.0-only", "gpl3-only"), ("GPL-2.0-or-later", "gpl2-later"), ("GPL-2.0-only", "gpl2-only"), ("LGPL-3.0-or-later", "lgpl3-later"),
+          ("LGPL-2.1-or-later", "lgpl21-later"), ("LGPL-2.0-or-later", "lgpl2-later"), ("AGPL-3.0-or-later", "agpl3-later"))
+# The rules of official texts by names, before those of RULES, and the references after them.
+TEXT_RULES = (
+    ("BSD-4-Clause", "text", ("S", "T", "U", "bsd-advert", "W", "V", "bsd-liable")),
+    ("BSD-3-Clause", "text", ("S", "T", "U", "W", "V", "bsd-liable")),
+    ("BSD-2-Clause", "text", ("S", "T", "U", "V", "bsd-liable")),
+    ("MIT", "text", ("H", "I", "J", "mit-liable")),
+    ("ISC", "text", ("isc-grant", "isc-warranty", "isc-liable")),
+    ("0BSD", "text", ("0bsd-grant", "isc-warranty", "isc-liable")),
+    ("GPL-3.0-or-later", "notice", ("L", "M", "N", "gnu-copy")),
+    *((a, "notice", (b, *rest)) for a, b in GRANTS for rest in (("M", "N", "gnu-copy"), ("M", "N"), ())),
+    ("MPL-2.0", "notice", ("mpl2-subject", "mpl2-copy")),
+    ("MPL-2.0", "notice", ("mpl2-subject",)),
+    ("Apache-2.0", "opening", ("apache-opening",)),
+    ("GPL-2.0", "opening", ("gpl2-opening",)),
+    ("GPL-3.0", "opening", ("gpl3-opening",)),
+    ("LGPL-2.0", "opening", ("lgpl2-opening",)),
+    ("LGPL-2.1", "opening", ("lgpl21-opening",)),
+    ("LGPL-3.0", "opening", ("lgpl3-opening",)),
+    ("AGPL-3.0", "opening", ("agpl3-opening",)),
+    ("MPL-2.0", "opening", ("mpl2-opening",)),
+    ("CC0-1.0", "opening", ("cc0-opening",)),
+)
+TEXT_REFERENCES = (
+    ("CC0-1.0", "reference", ("cc0",)),
+    ("CC-BY-ND-4.0", "reference", ("cc-by-nd",)),
+    ("CC-BY-NC-SA-4.0", "reference", ("cc-by-nc-sa",)),
+    ("CC-BY-NC-ND-4.0", "reference", ("cc-by-nc-nd",)),
+)
+NAMES = tuple(dict.fromkeys(name for name, _ in TEXTS if len(name) > 1))
+
+
+def identifier(name: str) -> str:
+    return name if len(name) == 1 else chr(0xE000 + NAMES.index(name))
+
+
+KNOWN = SENTENCES | {text: identifier(name) for name, text in TEXTS}
+ALL_RULES = (*((a, b, "".join(map(identifier, run))) for a, b, run in TEXT_RULES), *RULES,
+             *((a, b, "".join(map(identifier, run))) for a, b, run in TEXT_REFERENCES))
+#: A list number or letter before a sentence.
+LABEL = r"(?:(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})[ \n])?"
+WORDS = {"*": r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,11}?", "**": r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,39}?"}
+
+
+def pattern(sentence: str) -> str:
+    """The sentence's words over any cuts."""
+    return r"[ \n]".join(WORDS.get(w, w) for w in sentence.split())
+
+
+def alternatives(known: dict[str, str]) -> str:
+    """All sentences, longer ones first, as the first alternative that fits is taken; those that start with open words share them."""
+    ordered = sorted(known, key=lambda s: -len(s.split()))
+    fixed = [pattern(s) for s in ordered if not s.startswith("* ")]
+    opened = [pattern(s[2:]) for s in ordered if s.startswith("* ")]
+    return "|".join(fixed + ([rf"{WORDS['*']}[ \n](?:{'|'.join(opened)})"] if opened else []))
+
 
 def sentences(text: Column) -> Column:
-    """The normalised sentences, in order, without empty ones. Only A-Z is lower-cased and only a-z and 0-9 are kept."""
+    """The normalised pieces, in order, without empty ones. Only A-Z is lower-cased and only a-z and 0-9 are kept."""
     lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     cut = F.transform(F.split(lower, ENDS), lambda s: F.btrim(F.regexp_replace(s, r"[^a-z0-9]+", " ")))
     return F.filter(cut, lambda s: s != "")
 
 
-def identifiers(found: Column, known: dict[str, str] = SENTENCES) -> Column:
-    """A string with a character per sentence: its identifier, or a gap."""
-    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    return F.array_join(F.transform(found, lambda s: F.coalesce(F.try_element_at(table, s), F.lit(GAP))), "")
+def identifiers(found: Column, known: dict[str, str] = KNOWN) -> Column:
+    """A string with a character per known sentence and per piece of none: its identifier, or a gap. Empty without known sentences."""
+    pieces = F.concat(F.lit("\n"), F.array_join(found, "\n"), F.lit("\n"))
+    any_ = alternatives(known)
+    marked = F.regexp_replace(pieces, rf"\n{LABEL}({any_})(?=\n)", "\n#$1#")
+    units = F.regexp_extract_all(marked, F.lit(r"\n(#[^#]*#|[^\n#]+)"), F.lit(1))
+    exact = F.create_map(*[F.lit(x) for pair in known.items() if "*" not in pair[0] for x in pair])
+    open_ = [(f"^{pattern(s)}$", i) for s, i in known.items() if "*" in s]
 
+    def identified(unit: Column) -> Column:
+        s = F.btrim(F.translate(unit, "\n", " "), F.lit("#"))
+        return F.coalesce(F.try_element_at(exact, s), *[F.when(s.rlike(p), F.lit(i)) for p, i in open_], F.lit(GAP))
 
-def rule_counts(sequence: Column, rules: tuple = RULES) -> tuple[list[Column], Column]:
-    """How often each rule in order matches what the rules before it left, and what is left."""
-    counts, left = [], sequence
-    for _, _, run in rules:
-        after = F.replace(left, F.lit(run), F.lit(TAKEN * len(run)))
+    sequence = F.array_join(F.transform(units, lambda u: F.when(u.startswith("#"), identified(u)).otherwise(F.lit(GAP))), "")
+    # Most texts have none.
+    return F.when(pieces.rlike(rf"\n{LABEL}(?:{any_})\n"), sequence).otherwise(F.lit(""))
+
+
+def rule_matches(sequence: Column, rules: tuple = ALL_RULES) -> Column:
+    """struct<left, counts>: how often each rule in order matches what the rules before it left, and what is left."""
+    start = F.struct(sequence.alias("left"), F.array().cast("array<bigint>").alias("counts"))
+
+    def step(state: Column, run: Column) -> Column:
+        after = F.replace(state["left"], run, F.repeat(F.lit(TAKEN), F.length(run)))
         # A match changes each of its characters.
-        counts.append((F.length(F.replace(left, F.lit(TAKEN), F.lit(""))) - F.length(F.replace(after, F.lit(TAKEN), F.lit("")))) / len(run))
-        left = after
-    return counts, left
+        n = (F.length(F.replace(state["left"], F.lit(TAKEN), F.lit(""))) - F.length(F.replace(after, F.lit(TAKEN), F.lit("")))) / F.length(run)
+        return F.struct(after.alias("left"), F.concat(state["counts"], F.array(n.cast("long"))).alias("counts"))
+
+    return F.aggregate(F.array(*[F.lit(run) for _, _, run in rules]), start, step)
 
 
-def scan_licenses(docs: DataFrame, known: dict[str, str] = SENTENCES, rules: tuple = RULES) -> DataFrame:
-    """doc_id, n_sentences, n_known, licenses (array of license, form, matches in the rules' order), unmatched (known sentences no rule took)."""
+def scan_licenses(docs: DataFrame, known: dict[str, str] = KNOWN, rules: tuple = ALL_RULES) -> DataFrame:
+    """doc_id, n_sentences (pieces), n_known, licenses (array of license, form, matches in the rules' order), unmatched (known sentences no rule took)."""
     cut = docs.select("doc_id", sentences(F.col("text")).alias("found"))
     coded = cut.select("doc_id", F.size("found").cast("long").alias("n_sentences"), identifiers(F.col("found"), known).alias("sequence"))
     known_of = F.length(F.translate("sequence", GAP, "")).cast("long")
     # The rules run on what is known only; most texts have nothing.
-    counts, left = rule_counts(F.col("sequence"), rules)
+    state = F.when(known_of > 0, rule_matches(F.col("sequence"), rules))
+    ran = coded.select("doc_id", "n_sentences", known_of.alias("n_known"), state.alias("state"))
     matched: dict[tuple[str, str], list[Column]] = {}
-    for (license_, form, _), n in zip(rules, counts):
-        matched.setdefault((license_, form), []).append(n)
-    entries = [F.struct(F.lit(a).alias("license"), F.lit(b).alias("form"), reduce(Column.__add__, n).cast("long").alias("matches"))
+    for i, (license_, form, _) in enumerate(rules):
+        matched.setdefault((license_, form), []).append(F.col("state")["counts"][i])
+    entries = [F.struct(F.lit(a).alias("license"), F.lit(b).alias("form"), reduce(Column.__add__, n).alias("matches"))
                for (a, b), n in matched.items()]
     none = F.array().cast("array<struct<license:string,form:string,matches:bigint>>")
-    found = F.when(known_of > 0, F.filter(F.array(*entries), lambda e: e["matches"] > 0)).otherwise(none)
-    return coded.select("doc_id", "n_sentences", known_of.alias("n_known"), found.alias("licenses"),
-                        F.length(F.regexp_replace(left, f"[{GAP}{TAKEN}]", "")).cast("long").alias("unmatched"))
+    found = F.when(F.col("n_known") > 0, F.filter(F.array(*entries), lambda e: e["matches"] > 0)).otherwise(none)
+    unmatched = F.length(F.regexp_replace(F.col("state")["left"], f"[{GAP}{TAKEN}]", "")).cast("long")
+    return ran.select("doc_id", "n_sentences", "n_known", found.alias("licenses"), F.coalesce(unmatched, F.lit(0).cast("long")).alias("unmatched"))
 
 
 def license_digest(docs: DataFrame) -> DataFrame:
