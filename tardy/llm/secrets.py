@@ -7,8 +7,13 @@ Method
     separators, numbers, UUIDs, words with a number at the end) are excluded; of the
     rest, those with fewer than ``max_chars_per_token`` characters per token under a
     tiktoken vocabulary are spans of kind ``random``, unless they overlap a span of a
-    pattern kind. The pattern kinds (``assign``, ``access``, ``hex``) are the leftmost
-    non-overlapping matches of fixed patterns and are always kept.
+    pattern kind. A run of 16 or more letters is a word only if it has that many
+    characters per token itself. Readable words beside a secret make a whole run
+    efficient, so the parts of a run that is no span itself are tested the same way:
+    neighbouring pieces (between separators) that are no identifiers, and where they mix
+    words with something else the single pieces and the windows of 16 characters. The pattern
+    kinds (``assign``, ``access``, ``hex``) are the leftmost non-overlapping matches of
+    fixed patterns and are always kept.
 
 The vocabulary file is read on the driver and shipped to the tasks with the function
 (under 1 MB), so executors need no file. Texts are scanned whole, row by row; a task
@@ -23,7 +28,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -51,6 +56,14 @@ DIGEST_LENGTHS = frozenset((32, 40, 48, 56, 64, 96, 128))
 IDENTIFIER = re.compile(
     r"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})\Z|(?:[+/_=-]*(?:[A-Z]*[a-z]+|[A-Z]+|[a-z]+[0-9]{1,4}|[A-Z]+[0-9]{1,4}|[0-9]+)(?=[+/_=-]|[A-Z][a-z]|\Z))++[+/_=-]*\Z")
 
+#: Parts of a run: UUIDs, and pieces between separators.
+UUID = r"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})(?![A-Za-z0-9])"
+PIECE = re.compile(rf"(?<![A-Za-z0-9]){UUID}|[A-Za-z0-9]+")
+LEAST = 16
+LETTERS = re.compile(rf"[A-Za-z]{{{LEAST},}}")
+#: A word of up to so many characters doesn't end a string with separators in it (base64).
+SHORT_WORD = 4
+
 SPANS = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
@@ -70,22 +83,74 @@ def pattern_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def random_spans(text: str, tokens: Callable[[str], int], most: float) -> list[tuple[str, int, int]]:
+def known_string(run: str, tokens: Callable[[str], int], most: float) -> bool:
+    """A digest, or an identifier whose long letter runs are words."""
+    if HEX_DIGEST.match(run) and len(run) in DIGEST_LENGTHS:
+        return True
+    return bool(IDENTIFIER.match(run)) and all(len(m[0]) >= most * tokens(m[0]) for m in LETTERS.finditer(run))
+
+
+def windows(piece: str, tokens: Callable[[str], int], most: float) -> list[tuple[int, int]]:
+    """The windows of ``LEAST`` characters that look random, overlapping ones as one."""
+    found: list[tuple[int, int]] = []
+    for a in range(len(piece) - LEAST + 1):
+        w = piece[a:a + LEAST]
+        if LEAST < most * tokens(w) and not known_string(w, tokens, most):
+            if found and a <= found[-1][1]:
+                found[-1] = (found[-1][0], a + LEAST)
+            else:
+                found.append((a, a + LEAST))
+    return found
+
+
+def random_parts(run: str, tokens: Callable[[str], int], most: float) -> list[tuple[int, int]]:
+    """The parts of a run that look random: neighbouring pieces that are no identifiers, or of those the single pieces and windows."""
+    groups: list[list[tuple[int, int]]] = [[]]
+    between: list[tuple[int, int]] = []
+    for m in PIECE.finditer(run):
+        if not known_string(m[0], tokens, most):
+            groups[-1] += [*(between if groups[-1] else []), m.span()]
+            between = []
+        elif len(m[0]) <= SHORT_WORD:
+            between.append(m.span())
+        else:
+            groups.append([])
+            between = []
+    found = []
+    for group in filter(None, groups):
+        start, end = group[0][0], group[-1][1]
+        if LEAST <= end - start < most * tokens(run[start:end]):
+            found.append((start, end))
+            continue
+        whole = [(a, b) for a, b in group if LEAST <= b - a < most * tokens(run[a:b])]
+        mixed = [(start + a, start + b) for a, b in windows(run[start:end], tokens, most)]
+        found += sorted(whole + [w for w in mixed if all(w[1] <= a or b <= w[0] for a, b in whole)])
+    return found
+
+
+def random_spans(text: str, tokens: Callable[[str], int], most: float, taken: Sequence[tuple[str, int, int]] = ()) -> list[tuple[str, int, int]]:
+    """Spans that don't overlap those of ``taken``: beside these, the rest of a run is tested in parts."""
     found = []
     for m in RUN.finditer(text):
-        run = m[0]
-        if HEX_DIGEST.match(run) and len(run) in DIGEST_LENGTHS or IDENTIFIER.match(run):
+        run, (start, end) = m[0], m.span()
+        if known_string(run, tokens, most):
+            continue
+        inside = sorted((max(a, start), min(b, end)) for _, a, b in taken if a < end and start < b)
+        if not inside and len(run) < most * tokens(run) and not IDENTIFIER.match(run):
+            found.append(("random", start, end))
             continue
-        if len(run) < most * tokens(run):
-            found.append(("random", *m.span()))
+        at = start
+        for a, b in [*inside, (end, end)]:
+            if a - at >= LEAST:
+                found += [("random", at + x, at + y) for x, y in random_parts(text[at:a], tokens, most)]
+            at = max(at, b)
     return found
 
 
 def spans_of(text: str, tokens: Callable[[str], int], most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
     """All spans by start, then kind as in ``KINDS``."""
     base = pattern_spans(text)
-    base += [x for x in random_spans(text, tokens, most) if all(x[2] <= b[1] or b[2] <= x[1] for b in base)]
-    return sorted(base, key=lambda x: (x[1], KINDS.index(x[0])))
+    return sorted(base + random_spans(text, tokens, most, base), key=lambda x: (x[1], KINDS.index(x[0])))
 
 
 def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
