@@ -20,7 +20,8 @@ other vectors by (distance, id), exact.
 
 Defined cases
     Null vectors and null ids are not in the index and not queries. A null element or a
-    missing one counts as bit 0; elements beyond ``dims`` are ignored. Equal ids are one
+    missing one counts as bit 0. All elements count: ``dims`` is the longest vector's length
+    (a given ``dims`` ignores elements beyond it; the SQL states ``DIMS``). Equal ids are one
     vector of each of its codes. With fewer than k other vectors all are returned. An
     empty table gives an empty result. Extra columns are ignored.
 """
@@ -72,8 +73,10 @@ def by_segment(codes: DataFrame) -> DataFrame:
     return codes.select("*", F.posexplode("code").alias("segment", "value"))
 
 
-def search(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int = DIMS, segment_bits: int = SEGMENT_BITS) -> DataFrame:
-    """query_id, rank (1 to k), vec_id, distance."""
+def search(vectors: DataFrame, k: int = K, every: int = EVERY, dims: int | None = None, segment_bits: int = SEGMENT_BITS) -> DataFrame:
+    """query_id, rank (1 to k), vec_id, distance. Without ``dims`` the longest vector has them, ``DIMS`` at least."""
+    if dims is None:
+        dims = max(DIMS, vectors.agg(F.max(F.size("embedding"))).first()[0] or 0)
     count = -(-dims // segment_bits)
     index = materialize(code_index(vectors, k, dims, segment_bits), "topk-index")
     wanted = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.col("vec_id") % every == 0))
