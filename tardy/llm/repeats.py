@@ -144,20 +144,31 @@ def with_ref(docs: DataFrame) -> DataFrame:
 PLACE = "place"  # of a segment in its document: first window, windows and offset of the gram in one number
 
 
-def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return place >> 16, place >> 8 & 255, place & 255
+def place_bits(window: int) -> int:
+    """Bits of the number of windows and of the offset, each at most window - gram + 1."""
+    bits = max(8, (window - GRAM + 1).bit_length())
+    if bits > 16:  # the first window is below 2^31
+        raise ValueError(f"a window of {window} bytes is too long")
+    return bits
+
+
+def unpacked(place: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low = (1 << bits) - 1
+    return place >> 2 * bits, place >> bits & low, place & low
 
 
 def segment_rows(texts: DataFrame, window: int) -> DataFrame:
     """gram, digest, ref, place, copies: each different segment of a task once; and, without
     a gram, ref, start, stop of the segments that the same task has twice. So a segment of
     any number of copies is a row per task at most before anything is shuffled."""
+    bits = place_bits(window)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, ...]] = []
         for data, ends, row, offset, batch in pieces(batches, window):
             text, begin, n, at, gram, digest = segments_of(data, ends, window)
             ref = batch.column(0).to_numpy()[row[text]]
-            found.append((gram.view(np.int64), digest.view(np.int64), ref, begin - ends[:-1][text] + offset[text] << 16 | n << 8 | at))
+            found.append((gram.view(np.int64), digest.view(np.int64), ref, begin - ends[:-1][text] + offset[text] << 2 * bits | n << bits | at))
         if not found:
             return
         gram, digest, ref, place = (np.concatenate(x) for x in zip(*found))
@@ -171,7 +182,7 @@ def segment_rows(texts: DataFrame, window: int) -> DataFrame:
             yield as_batch([gram[part], digest[part], ref[part], place[part], own, None, None])
         again = np.flatnonzero(np.repeat(copies > 1, copies))
         for part in np.array_split(again, 1 + len(again) // 100_000):
-            start, n, _ = unpacked(place[part])
+            start, n, _ = unpacked(place[part], bits)
             yield as_batch([None, None, ref[part], None, None, start, start + n - 1 + window])
 
     def as_batch(columns: list) -> pa.RecordBatch:
@@ -184,6 +195,7 @@ def segment_rows(texts: DataFrame, window: int) -> DataFrame:
 
 def fetched(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """The wanted segments (ref, place, gram, times) with their ``bytes``."""
+    bits = place_bits(window)
     of = wanted.groupBy("ref").agg(F.collect_list(F.struct(PLACE, "gram", "times")).alias("of"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +206,7 @@ def fetched(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 for ref, text, own in zip(part.column(0).to_pylist(), part.column(1), part.column(2)):
                     text = text.as_buffer()
                     for r in own.as_py():
-                        start, n, _ = unpacked(r[PLACE])
+                        start, n, _ = unpacked(r[PLACE], bits)
                         rows.append((ref, r[PLACE], r["gram"], r["times"], text.slice(start, n + window - 1).to_pybytes()))
                 yield pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((*[pa.int64()] * 4, pa.binary()))],
                                       names=["ref", PLACE, "gram", "times", "bytes"])
@@ -266,7 +278,7 @@ def sorted_covers(contents: DataFrame, window: int) -> DataFrame:
 
     def covers(rows: pa.RecordBatch) -> pa.RecordBatch:
         ref, place, gram, times = (rows.column(i).to_numpy() for i in range(4))
-        start, n, at = unpacked(place)
+        start, n, at = unpacked(place, place_bits(window))
         segment, first, last = ranges_of(*repeated_windows(gram, n, at, rows.column(4).to_pylist(), window))
         once = times[segment] == 1
         segment, first, last = segment[once], first[once], last[once]
@@ -282,7 +294,7 @@ def counted_covers(contents: DataFrame, window: int) -> DataFrame:
             for chunk in range(0, batch.num_rows, 1000):
                 out: list[tuple] = []
                 for ref, place, gram, times, content in zip(*(c.to_pylist() for c in batch.slice(chunk, 1000).columns)):
-                    start, n, at = unpacked(place)
+                    start, n, at = unpacked(place, place_bits(window))
                     out += [(ref, start + w, gram, w - at, hashlib.md5(content[w:w + window]).digest(), times) for w in range(n)]
                 kinds = (*[pa.int64()] * 4, pa.binary(), pa.int64())
                 yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["ref", "start", "gram", "offset", "window", "times"])
@@ -308,8 +320,9 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, hot_segments: int = H
     kinds = kinds.withColumn("times", F.sum("copies").over(same)).withColumn("nth", F.row_number().over(same.orderBy("digest")))
     kinds = kinds.withColumn("kinds", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(gram))
     shared = materialize(kinds.where("times > 1 or kinds > 1"), "repeats-shared")
-    start = F.shiftright(PLACE, 16)
-    stop = start + F.shiftright(PLACE, 8).bitwiseAND(F.lit(255)) - 1 + window
+    bits = place_bits(window)
+    start = F.shiftright(PLACE, 2 * bits)
+    stop = start + F.shiftright(PLACE, bits).bitwiseAND(F.lit((1 << bits) - 1)) - 1 + window
     covers = rows.where("gram is null").select("ref", "start", "stop").unionByName(
         shared.where("times > 1 and copies = 1").select("ref", start.alias("start"), stop.alias("stop")))
     wanted = shared.where("kinds > 1 and nth = 1").select("ref", PLACE, "gram", "times", "kinds")
