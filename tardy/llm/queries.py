@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tardy.llm import chat, decontam, jaccard, licenses, mixing, repeats, secrets, topk, toxicity, warc
+from tardy.llm import chat, decontam, jaccard, licenses, mixing, packing, repeats, secrets, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.words_taken(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_mix_sources": op10_mix_sources,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -13,7 +13,7 @@ from tardy.llm.queries import ORACLE_SQL, QUERIES
 def test_registered():
     assert QUERIES.keys() <= E.queries().keys() and "pipeline" in E.queries()
     assert ORACLE_SQL.keys() <= QUERIES.keys() and ORACLE_SQL.keys() <= E.oracle_sql().keys()
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, len(QUERIES) + 1))
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
