@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tardy.llm import chat, decontam, jaccard, licenses, mixing, packing, repeats, secrets, topk, toxicity, warc
+from tardy.llm import chat, decontam, jaccard, licenses, mixing, packing, quantize, repeats, secrets, topk, toxicity, trie, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,14 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantize.codes_digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
@@ -71,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_mix_sources": op10_mix_sources,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -81,4 +91,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_warc_captures": warc.SQL,
     "op8_chat_format": chat.SQL,
     "op9_decontaminate": decontam.SQL,
+    "op12_conversation_trie": trie.SQL,
+    "op13_vector_codes": quantize.SQL,
 }
