@@ -25,9 +25,6 @@ from tardy.session import LOCAL_CONF, materialize
 from tardy.sources.csv import read_dimension_csv, read_flights_csv, write_csv
 from tardy.streaming.pipeline import StreamJob
 
-# Event order of a flights file: day, scheduled departure, then identity columns.
-
-
 
 def _dimensions(spark: SparkSession, airlines: str, airports: str):
     return (airline_dimension(read_dimension_csv(spark, airlines)),
@@ -56,7 +53,7 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 def cmd_sample(spark: SparkSession, a: argparse.Namespace) -> dict:
     raw = spark.read.option("header", True).csv(a.input)  # every column as text
-    sample = sample_exact_n(raw, a.sample_size, raw.columns, a.seed)
+    sample = sample_exact_n(raw, a.sample_size, seed=a.seed)
     write_csv(sample, a.output, compression="gzip" if a.compress else None)
     return {"written": a.output}
 
@@ -112,14 +109,14 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--output-dir", required=True)
     c.add_argument("--rows-per-file", type=int, default=50000)
     c.add_argument("--max-files", type=int)
-    c.add_argument("--order", help="comma-separated order columns (default: event order)")
+    c.add_argument("--order", help="comma-separated order columns (default: the files' own order)")
     return p
 
 
 COMMANDS = {"batch": cmd_batch, "stream": cmd_stream, "sample": cmd_sample, "split": cmd_split}
 
 
-JOB_SETTINGS = {k for k in LOCAL_CONF if k.startswith(("spark.sql.codegen.", "spark.sql.objectHashAggregate.", "spark.sql.streaming.stateStore."))}
+JOB_SETTINGS = {k for k in LOCAL_CONF if k.startswith(("spark.sql.codegen.", "spark.sql.objectHashAggregate.", "spark.sql.streaming.stateStore.", "spark.sql.streaming.sessionWindow."))}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:

@@ -1,12 +1,16 @@
-"""Uniform random sample of exactly n rows (reproducible by seed).
-
-The sample is "the n rows with the smallest md5(seed | key | copy)": a random
-permutation fixed by the seed, independent of file layout and partitioning, and
-reproducible outside Spark. Rows with equal keys are told apart by a copy number, so
-each row is equally likely however often its key occurs. To avoid a global sort, rows
-are first restricted to a prefix of the hash space sized to hold slightly more than n
-rows; that slice is materialised in the shared scratch folder, checked, and cut
-exactly by the distributed row position. If the slice is short (rare) it is widened.
+"""Uniform random sample of exactly n rows, a bounded reservoir cut by random keys.
+
+Every row gets a random key, a hash of the seed and of the row's identity; the sample is the
+n rows with the least keys. Keys of different tasks can be compared, so reservoirs of
+tasks merge by a bound alone: with N rows in all, the n least keys lie below about n / N of
+the key space. The scan itself drops the rows above that bound (plus eight standard
+deviations), so all tasks together keep about ``n + 8 * sqrt(n)`` rows, whatever the input's size
+and however often equal rows occur; nothing else of it is shuffled, sorted or held. The
+kept slice is written once to the shared scratch folder and counted; its few surplus rows
+are cut exactly. A slice that came out short (about once in 10^15 samples) is drawn anew with a wider bound.
+
+Identity: columns that tell all rows apart, if there are any (the sample is then the same for any
+layout of the files, and SQL can state it), else a row's place in the scan.
 """
 
 from __future__ import annotations
@@ -14,14 +18,13 @@ from __future__ import annotations
 import math
 import random
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tardy.operators.chunks import with_row_position
 from tardy.session import materialize
 
 _PREFIX_HEX = 15                      # 60 bits of the digest, fits a signed long
-_PREFIX_SPACE = 16 ** _PREFIX_HEX
+_KEY_SPACE = 16 ** _PREFIX_HEX
 
 
 def encoded(value: Column) -> Column:
@@ -30,39 +33,45 @@ def encoded(value: Column) -> Column:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
-def sample_hash(seed: int | str, key_cols: list[str], copy: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *(encoded(F.col(c)) for c in key_cols), copy.cast("string")))
+def sample_hash(seed: int | str, identity: list[str]) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *(encoded(F.col(c)) for c in identity)))
 
 
-def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int | str | None = None) -> DataFrame:
-    """Exactly ``min(n, count(df))`` rows, each row equally likely; another sample each
-    time if ``seed`` is None.
+KEY = ["_sample_key", "_sample_tie", "_sample_place"]
+
+
+def keyed(df: DataFrame, seed: int | str, identity: list[str] | None) -> DataFrame:
+    """Adds ``KEY``: the random key (0 to 2^60) and what breaks its ties."""
+    rows = df.withColumn("_sample_place", F.monotonically_increasing_id())
+    if identity:
+        rows = rows.withColumn("_sample_tie", sample_hash(seed, identity))
+        return rows.withColumn("_sample_key", F.conv(F.substring("_sample_tie", 1, _PREFIX_HEX), 16, 10).cast("long"))
+    random_key = F.shiftrightunsigned(F.xxhash64(F.lit(str(seed)), "_sample_place"), 4)
+    return rows.withColumn("_sample_key", random_key).withColumn("_sample_tie", F.col("_sample_place"))
 
-    Keys are counted (with map-side combine, so a key of any number of rows is one
-    row), each key's copies are hashed, and the n smallest hashes say how many rows of
-    which key are taken. Of a key's rows the first in order of all columns are taken."""
+
+def below(df: DataFrame, share: float, seed: int | str, identity: list[str] | None) -> DataFrame:
+    """The rows whose key lies in the first ``share`` of the key space: a narrow filter of the scan."""
+    return keyed(df, seed, identity).filter(F.col("_sample_key") < F.lit(int(share * _KEY_SPACE)))
+
+
+def sample_exact_n(df: DataFrame, n: int, identity: list[str] | None = None, seed: int | str | None = None) -> DataFrame:
+    """Exactly ``min(n, count(df))`` rows, each row equally likely; another sample each
+    time if ``seed`` is None. Rows that ``identity`` doesn't tell apart are taken or left together."""
     seed = random.SystemRandom().randrange(1 << 62) if seed is None else seed
-    keys = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_copies"))
     total = df.count()
     if total <= n:
         return df
-    copies = keys.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    hashed = copies.withColumn("_sample_h", sample_hash(seed, key_cols, F.col("_copy")))
-    prefix = F.conv(F.substring("_sample_h", 1, _PREFIX_HEX), 16, 10).cast("long")
-    frac = min(1.0, (n + 8 * math.sqrt(n) + 16) / total)
+    share = min(1.0, (n + 8 * math.sqrt(n) + 16) / total)
     while True:
-        bound = int(frac * _PREFIX_SPACE)
-        slice_ = materialize(hashed.filter(prefix < F.lit(bound)), "sample-slice")
-        if frac >= 1.0 or slice_.count() >= n:
+        kept = materialize(below(df, share, seed, identity), "sample-slice")
+        surplus = kept.count() - n
+        if surplus >= 0:
             break
-        frac = min(1.0, frac * 2)
-    ranked = with_row_position(slice_, ["_sample_h", *key_cols, "_copy"]).filter(F.col("row_index") < n)
-    picked = ranked.groupBy(*(F.col(c).alias(f"_k_{c}") for c in key_cols)).agg(
-        F.count(F.lit(1)).alias("_take"), F.first("_copies").alias("_of"))
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key_cols]
-    rows = df.join(picked, same).drop(*(f"_k_{c}" for c in key_cols))
-    # Keys that are taken whole (all of them, if keys are unique) need no order.
-    whole = rows.filter("_take = _of")
-    order = Window.partitionBy(*key_cols).orderBy(*df.columns)
-    part = rows.filter("_take < _of").withColumn("_nth", F.row_number().over(order)).filter("_nth <= _take")
-    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+        share = min(1.0, share * 2)
+    if surplus:
+        # About 8 * sqrt(n) keys: the least of the greatest ones is the bound.
+        key = F.struct(*KEY)
+        greatest = kept.select(key.alias("k")).orderBy(F.col("k").desc()).limit(surplus)
+        kept = kept.filter(key < greatest.agg(F.min("k")).scalar())
+    return kept.select(*df.columns)

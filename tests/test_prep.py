@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tardy.operators.chunks import assign_chunks, export_chunks
-from tardy.operators.sample import sample_exact_n
+from tardy.operators.sample import below, sample_exact_n
 from tardy.session import scratch_path
 from tardy.sources import testdata
 from tardy.sources.csv import read_flights_csv
@@ -59,7 +59,7 @@ def test_sample_of_repeated_rows(spark):
     """Three values, two of them null somewhere, 1,000 rows: every row counts, none is taken as a block."""
     df = spark.range(1000).selectExpr("case when id % 3 = 0 then 'x' when id % 3 = 1 then null else 'y' end as a",
                                       "case when id % 3 = 1 then 'x' end as b")
-    got = {(r["a"], r["b"]): r["n"] for r in sample_exact_n(df, 300, ["a", "b"], seed=5).groupBy("a", "b").agg(F.count("*").alias("n")).collect()}
+    got = {(r["a"], r["b"]): r["n"] for r in sample_exact_n(df, 300, seed=5).groupBy("a", "b").agg(F.count("*").alias("n")).collect()}
     assert sum(got.values()) == 300 and len(got) == 3 and all(70 <= n <= 130 for n in got.values())
     assert _ids(sample_exact_n(spark.range(1000), 50, ["id"])) != _ids(sample_exact_n(spark.range(1000), 50, ["id"]))
 
@@ -68,10 +68,49 @@ def _ids(df):
     return sorted(r[0] for r in df.collect())
 
 
-def test_sample_of_a_key_that_rows_share(spark):
+def test_sample_of_an_identity_that_rows_share(spark):
+    """Still exactly n rows, each once."""
     df = spark.range(600).selectExpr("id % 4 as k", "id")
-    got = sample_exact_n(df, 100, ["k"], seed=2)
-    assert got.count() == 100 == got.select("id").distinct().count()
+    for n in (100, 299):
+        got = sample_exact_n(df, n, ["k"], seed=2)
+        assert got.count() == n == got.select("id").distinct().count()
+
+
+def test_sample_of_billions_of_equal_rows(spark):
+    """More equal rows than an array holds, in two passes that keep next to nothing."""
+    rows = spark.range(0, 2_200_000_000, 1, 8).select(F.lit("x").alias("v"))
+    got = sample_exact_n(rows, 10, seed=1)
+    assert [r["v"] for r in got.collect()] == ["x"] * 10
+
+
+def test_sample_shuffles_none_of_the_input(spark):
+    """The rows are cut in the scan: a narrow plan with the key's bound, and few rows behind it."""
+    path = scratch_path(spark, "sample-input")
+    spark.range(400_000).selectExpr("id", "id % 7 as k").write.parquet(path)
+    rows = spark.read.parquet(path)
+    for identity in (None, ["id"]):
+        slice_ = below(rows, 0.01, 3, identity)
+        plan = slice_._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan and "Python" not in plan
+        assert 3_500 < slice_.count() < 4_500
+
+
+def test_sample_is_unbiased_by_place(spark):
+    """Of 12 samples of 500 from 2,000 rows each row is in about a quarter."""
+    df = spark.range(0, 2000, 1, 4)
+    hits = [0] * 2000
+    for seed in range(12):
+        for r in sample_exact_n(df, 500, seed=seed).collect():
+            hits[r["id"]] += 1
+    assert sum(hits) == 6000 and max(hits) <= 12
+    quarters = [sum(hits[i:i + 500]) for i in range(0, 2000, 500)]
+    assert all(1300 <= q <= 1700 for q in quarters) and hits.count(0) < 150 and hits.count(3) > 400
+
+
+def test_sample_keeps_columns_named_like_its_own(spark):
+    df = spark.range(100).selectExpr("id as _key", "id as _tie")
+    got = sample_exact_n(df, 20, ["_key"], seed=4)
+    assert got.columns == ["_key", "_tie"] and got.where("_key = _tie").count() == 20
 
 
 def test_capped_split_sorts_little(spark):
