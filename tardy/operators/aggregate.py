@@ -30,6 +30,32 @@ def daily_gold(features: DataFrame, metrics: list[str] = ALL_METRICS,
     return out
 
 
+def statistics_columns(features: DataFrame, *others: str) -> DataFrame:
+    """What the statistics need of the rows, and ``others``."""
+    needed = {"DEPARTURE_DELAY", "is_delayed", "is_on_time", "delay_category", "is_weekend", "is_rush_hour",
+              "DISTANCE", "AIR_TIME", "CANCELLED", "DIVERTED", *others}
+    return features.select(*[c for c in features.columns if c in needed])
+
+
+SESSION_GAP = "30 minutes"
+
+
+def session_gold(features: DataFrame, gap: str = SESSION_GAP, keys: list[str] = ["AIRLINE"],
+                 metrics: list[str] = ALL_METRICS, time_col: str = "event_ts") -> DataFrame:
+    """Statistics per session x ``keys``: a session takes up every row that comes less than
+    ``gap`` after another one of it, so rows that arrive late can join two sessions into one.
+
+    Works on batch and streaming frames (for a stream, set the watermark on ``time_col`` first; a
+    session leaves when the watermark passes its end). Sessions are merged per task before
+    the shuffle, so a hot key ships its sessions, not its rows. Bounds are wall-clock TIMESTAMP_NTZ; the
+    end is ``gap`` after the last row."""
+    grouped = statistics_columns(features, time_col, *keys).groupBy(F.session_window(time_col, gap).alias("session"), *keys)
+    return aggregate_metrics(grouped, metrics).withColumns({
+        "session_start": F.col("session.start").cast("timestamp_ntz"),
+        "session_end": F.col("session.end").cast("timestamp_ntz"),
+    }).drop("session")
+
+
 def window_gold(features: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDOW_SLIDE,
                 metrics: list[str] = ALL_METRICS, label: str | None = STREAM_LABEL,
                 processed_at: bool = False, time_col: str = "event_ts",
@@ -41,11 +67,7 @@ def window_gold(features: DataFrame, size: str = WINDOW_SIZE, slide: str = WINDO
     columns the statistics need are kept before the window expansion.
     Window bounds are returned as wall-clock TIMESTAMP_NTZ in the session zone,
     the same clock the event time was parsed from."""
-    needed = {time_col, "DEPARTURE_DELAY", "is_delayed", "is_on_time", "delay_category",
-              "is_weekend", "is_rush_hour", "DISTANCE", "AIR_TIME", "CANCELLED", "DIVERTED",
-              *keys}
-    slim = features.select(*[c for c in features.columns if c in needed])
-    grouped = slim.groupBy(F.window(time_col, size, slide).alias("time_window"), *keys)
+    grouped = statistics_columns(features, time_col, *keys).groupBy(F.window(time_col, size, slide).alias("time_window"), *keys)
     out = aggregate_metrics(grouped, metrics)
     out = out.withColumns({
         "window_start": F.col("time_window.start").cast("timestamp_ntz"),

@@ -26,7 +26,7 @@ from tardy.operators.enrich import (
     unmatched_code_examples,
 )
 from tardy.operators.sample import sample_exact_n
-from tardy.plans import batch
+from tardy.plans import batch, streams
 from tardy.plans import oracle as O
 from tardy.schema import FLIGHT_SCHEMA
 from tardy.session import materialize, scratch_path
@@ -312,9 +312,8 @@ def q_sample_exact_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sample_repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact-n sample of rows that repeat (a few hundred different ones), counted by value."""
-    rows = testdata.flights(spark, sf_dir).select(*REPEATED)
-    sample = sample_exact_n(rows, REPEATED_N, REPEATED, SAMPLE_SEED)
+    """Exact-n sample of rows that repeat in all columns kept (a few hundred different ones), counted by value."""
+    sample = sample_exact_n(testdata.flights(spark, sf_dir), REPEATED_N, testdata.FLIGHTS_ROW_KEY, SAMPLE_SEED)
     return sample.groupBy(*REPEATED).agg(F.count(F.lit(1)).alias("num_rows"))
 
 
@@ -415,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "replay_chunks": q_replay_chunks,
     "stream_dedup": q_stream_dedup,
     "enrichment_log": q_enrichment_log,
+    **streams.QUERIES,
 }
 
 
@@ -424,10 +424,10 @@ _FIX = ", ".join(FIXTURE_COLUMNS)
 _ROW_KEY = ", ".join(testdata.FLIGHTS_ROW_KEY)
 
 
-def _sample_order(keys: list[str], copy: str) -> str:
-    """The hash that orders the sample's rows: length and text of each key, '-' for null, and the copy."""
+def _sample_order(keys: list[str]) -> str:
+    """The hash that orders the sample's rows: length and text of each key, '-' for null."""
     parts = [f"coalesce(length(cast({k} as varchar)) || ':' || cast({k} as varchar), '-')" for k in keys]
-    return f"md5(concat_ws('|', '{SAMPLE_SEED}', {', '.join(parts)}, cast({copy} as varchar)))"
+    return f"md5(concat_ws('|', '{SAMPLE_SEED}', {', '.join(parts)}))"
 
 
 ORACLE: dict[str, str] = {
@@ -501,12 +501,11 @@ where FL_DATE between date '{PRUNE_FROM}' and date '{PRUNE_TO}'"""),
         f"union all by name ({O.CLOSED_WINDOWS})", METRIC_GROUPS["all"]),
     "sample_exact_n": O.with_batch(f"""
 select * from flights
-order by {_sample_order(testdata.FLIGHTS_ROW_KEY, "0")}
+order by {_sample_order(testdata.FLIGHTS_ROW_KEY)}
 limit {SAMPLE_N}"""),
     "sample_repeated_rows": O.with_batch(f"""
 select {', '.join(REPEATED)}, count(*) as num_rows from (
-  select * from (select {', '.join(REPEATED)}, row_number() over (partition by {', '.join(REPEATED)}) - 1 as nth from flights)
-  order by {_sample_order(REPEATED, "nth")} limit {REPEATED_N})
+  select * from flights order by {_sample_order(testdata.FLIGHTS_ROW_KEY)} limit {REPEATED_N})
 group by all"""),
     "warehouse_roundtrip": O.daily_gold_sql(METRIC_GROUPS["all"]),
     "silver_rerun": O.with_batch(f"""
@@ -546,6 +545,7 @@ union all select coalesce(code, 'None') from (
 union all select coalesce(code, 'None') from (
   select distinct DESTINATION_AIRPORT as code from enriched where DEST_AIRPORT_NAME is null
   order by code nulls first limit 50)"""),
+    **streams.ORACLE,
 }
 
 

@@ -35,6 +35,8 @@ LOCAL_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Commit only the changed state each micro-batch instead of a full snapshot.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Tasks merge a key's sessions before the shuffle: a hot key ships sessions, not rows.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

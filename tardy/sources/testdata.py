@@ -59,6 +59,32 @@ select cast(year(ts) as int) as YEAR, cast(month(ts) as int) as MONTH, cast(day(
 from {events}
 """
 
+# The stream fixture dealt into files that arrive one after the other, a part of about eight days each.
+# Some flights come a part too late (behind any watermark), some of the last minutes of a part
+# come with the next one, within the watermark's delay.
+STREAM_PARTS = 4
+DEALT_SQL = f"""
+select *, least({STREAM_PARTS - 1}, part + case when too_late or straddles then 1 else 0 end) as delivered
+from (select *, least({STREAM_PARTS - 1}, cast(floor((DAY - 1) / 8) as int)) as part,
+    cast(FLIGHT_NUMBER as bigint) % 13 = 0 and (DAY - 1) % 8 < 6 and DAY <= {8 * (STREAM_PARTS - 1)} as too_late,
+    cast(FLIGHT_NUMBER as bigint) % 2 = 1 and (DAY - 1) % 8 = 7 and SCHEDULED_DEPARTURE >= 2335 as straddles
+  from ({FLIGHTS_STREAM_SQL}) f) d
+"""
+
+# Planned departures of the stream fixture, and those that happened (some flights never leave), each with
+# the part in which its file arrives.
+_EVENT_TS = "make_timestamp(YEAR, MONTH, DAY, cast(floor(SCHEDULED_DEPARTURE / 100) as int), SCHEDULED_DEPARTURE % 100, 0)"
+PLANNED_SQL = f"""
+select TAIL_NUMBER, FLIGHT_NUMBER, {_EVENT_TS} as planned_ts, least({STREAM_PARTS - 1}, cast(floor((DAY - 1) / 8) as int)) as delivered
+from ({FLIGHTS_STREAM_SQL}) f
+"""
+ACTUAL_SQL = f"""
+select TAIL_NUMBER, FLIGHT_NUMBER as ACTUAL_FLIGHT, actual_ts,
+  case when actual_ts < timestamp '2024-01-01 00:00:00' then 0 when month(actual_ts) > 1 then {STREAM_PARTS - 1} else least({STREAM_PARTS - 1}, cast(floor((day(actual_ts) - 1) / 8) as int)) end as delivered
+from (select *, {_EVENT_TS} + cast(DEPARTURE_DELAY as int) * interval '1' minute as actual_ts
+  from ({FLIGHTS_STREAM_SQL}) f where CANCELLED = 0 and DEPARTURE_DELAY is not null) a
+"""
+
 # Row identity of the flights fixture (unique per lineitem row) and of the stream fixture.
 FLIGHTS_ROW_KEY = ["FLIGHT_NUMBER", "SRC_LINE", "SRC_PART", "SRC_SUPP"]
 STREAM_ROW_KEY = ["FLIGHT_NUMBER"]
@@ -120,6 +146,16 @@ def flights_stream_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(rows.where("cast(FLIGHT_NUMBER as bigint) % 7 = 0"))
 
 
+def flights_stream_dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream fixture with part, too_late, straddles and delivered (the part it arrives in)."""
+    return _run(spark, sf_dir, DEALT_SQL, "events")
+
+
+def departures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(planned, actual) departures of the stream fixture with ``delivered``."""
+    return _run(spark, sf_dir, PLANNED_SQL, "events"), _run(spark, sf_dir, ACTUAL_SQL, "events")
+
+
 def duckdb_sql(sql: str) -> str:
     """The same fixture text for the DuckDB oracle, where tables are plain views."""
     return sql.format(lineitem="lineitem", supplier="supplier", nation="nation",

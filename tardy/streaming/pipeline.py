@@ -125,18 +125,32 @@ def latest_window_values(updates: DataFrame) -> DataFrame:
 
 
 class StreamRun:
-    """The queries of a started job, handled as one."""
+    """The queries of a started job, handled as one: if one fails, all stop."""
 
-    def __init__(self, queries: list[StreamingQuery]) -> None:
+    POLL_SECONDS = 0.5
+
+    def __init__(self, queries: list[StreamingQuery], bounded: bool = True) -> None:
         self.queries = queries
+        self.bounded = bounded
 
     @property
     def isActive(self) -> bool:
         return any(q.isActive for q in self.queries)
 
     def awaitTermination(self) -> None:
-        for q in self.queries:
-            q.awaitTermination()
+        """Returns when all queries have read what was there (``bounded``), else when the first
+        one ends, whichever it is; the others are stopped then. A failure of any stops all and is raised."""
+        running = list(self.queries)
+        try:
+            while running:
+                for q in list(running):
+                    if q.awaitTermination(self.POLL_SECONDS):
+                        running.remove(q)
+                        if not self.bounded:
+                            return
+        finally:
+            if running:
+                self.stop()
 
     def processAllAvailable(self) -> None:
         for q in self.queries:
@@ -154,8 +168,9 @@ class StreamRun:
         return [p for q in self.queries for p in q.recentProgress]
 
     @property
-    def lastProgress(self):
-        return self.queries[0].lastProgress
+    def lastProgress(self) -> list:
+        """The last progress of each query."""
+        return [q.lastProgress for q in self.queries]
 
 
 @dataclass
@@ -203,7 +218,7 @@ class StreamJob:
             outputs.append(("update", place, update_writer(self.update_log_path, self.console_rows)))
         if not outputs:
             raise ValueError("the job has no output: set gold_path, warehouse_path, update_log_path or console_rows")
-        run = StreamRun([])
+        run = StreamRun([], bounded=self.available_now)
         for mode, checkpoint, body in outputs:
             writer = gold.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(body)
             if self.available_now:
