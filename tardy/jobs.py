@@ -35,13 +35,15 @@ def cmd_batch(spark: SparkSession, a: argparse.Namespace) -> dict:
     airlines, airports = _dimensions(spark, a.airlines, a.airports)
     inputs = Inputs(read_flights_csv(spark, a.flights), airlines, airports)
     return run_batch(spark, inputs, a.silver, a.gold, warehouse_path=a.warehouse,
-                     log_path=a.log, audit_path=a.audit)
+                     log_path=a.log, audit_path=a.audit, only_its_dates=a.only_its_dates,
+                     warehouse_table=a.warehouse_table)
 
 
 def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> dict:
     airlines, airports = _dimensions(spark, a.airlines, a.airports)
     job = StreamJob(input_dir=a.input, checkpoint=a.checkpoint, gold_path=a.gold,
-                    warehouse_path=a.warehouse, max_files_per_trigger=a.max_files_per_trigger,
+                    warehouse_path=a.warehouse, warehouse_table=a.warehouse_table,
+                    update_log_path=a.update_log, max_files_per_trigger=a.max_files_per_trigger,
                     available_now=a.available_now, processing_time=a.processing_time,
                     console_rows=a.console_rows, state_partitions=a.state_partitions)
     q = job.start(spark, airlines, airports)
@@ -83,6 +85,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--warehouse")
     b.add_argument("--log")
     b.add_argument("--audit")
+    b.add_argument("--warehouse-table", help="table of the session's catalogue")
+    b.add_argument("--only-its-dates", action="store_true", help="replace the dates of the input, not the whole layer")
 
     s = sub.add_parser("stream", help="CSV file stream -> sliding-window gold")
     s.add_argument("--input", required=True)
@@ -91,6 +95,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--gold", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--warehouse")
+    s.add_argument("--warehouse-table", help="table of the session's catalogue")
+    s.add_argument("--update-log", help="folder of the changing windows")
     s.add_argument("--max-files-per-trigger", type=int, default=10)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--processing-time")

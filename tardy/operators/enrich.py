@@ -99,14 +99,18 @@ def attach_names(gold: DataFrame, airlines: DataFrame, airports: DataFrame,
     )
 
 
-def enrichment_diagnostics(enriched: DataFrame) -> DataFrame:
-    """One row: total_rows, origin_missing, dest_missing (rows without a match),
-    computed in one aggregate pass."""
-    return enriched.agg(
+def diagnostic_counts() -> list[Column]:
+    """total_rows, origin_missing, dest_missing (rows without a match) as aggregates."""
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("ORIGIN_AIRPORT_NAME").isNull()).alias("origin_missing"),
         F.count_if(F.col("DEST_AIRPORT_NAME").isNull()).alias("dest_missing"),
-    )
+    ]
+
+
+def enrichment_diagnostics(enriched: DataFrame) -> DataFrame:
+    """The counts as one row, computed in one aggregate pass."""
+    return enriched.agg(*diagnostic_counts())
 
 
 _SIDES = [

@@ -12,15 +12,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tardy.functions.clock import add_calendar_columns
+from tardy.functions.clock import add_calendar_columns, flight_date
 from tardy.functions.codes import airline_dimension, airport_dimension, normalize_flight_codes
 from tardy.functions.flags import add_flags
 from tardy.functions.metrics import ALL_METRICS
 from tardy.operators.aggregate import CODE_KEYS, daily_gold, window_gold
 from tardy.operators.clean import clean_flights
-from tardy.operators.enrich import attach_names, enrich_flights, enrichment_diagnostics
+from tardy.operators.enrich import attach_names, enrich_flights
 from tardy.schema import BATCH_LABEL, GOLD_KEYS, STREAM_LABEL
 from tardy.sinks import parquet as sinks
+from tardy.sinks import table
 from tardy.sinks.audit import enrichment_log_lines, guarded_write, write_lines
 from tardy.sources import testdata
 from tardy.streaming.pipeline import stream_rows
@@ -79,9 +80,9 @@ def gold(inputs: Inputs, metrics: list[str] | None = None,
     return gold_by_code(rows, inputs.airlines, inputs.airports, metrics, label)
 
 
-def cleaned_dates(inputs: Inputs) -> DataFrame:
-    """FL_DATE of the rows that cleaning keeps, each once."""
-    return add_calendar_columns(cleaned(inputs)).select("FL_DATE").distinct()
+def input_dates(inputs: Inputs) -> DataFrame:
+    """FL_DATE of the input's rows as text, each once (a scan of three columns)."""
+    return inputs.flights.select(flight_date().cast("string").alias("FL_DATE")).where("FL_DATE is not null").distinct()
 
 
 def stream_window_gold(inputs: Inputs) -> DataFrame:
@@ -93,14 +94,17 @@ def stream_window_gold(inputs: Inputs) -> DataFrame:
 
 def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str,
               warehouse_path: str | None = None, log_path: str | None = None,
-              audit_path: str | None = None, only_its_dates: bool = False) -> dict | None:
+              audit_path: str | None = None, only_its_dates: bool = False,
+              warehouse_table: str | None = None, warehouse_location: str | None = None) -> dict | None:
     """Whole batch job: silver write, diagnostics, gold from the written silver.
 
     A run replaces silver and the batch part of gold, so nothing of an earlier run
     reaches this run's outputs. With ``only_its_dates`` (a run over some dates) it
-    replaces those dates and reads back those dates only. Diagnostics don't stop the
+    replaces the dates of its input, those that lost all rows included, and reads back those dates only. The
+    diagnostics are counted by the tasks that write silver, so reporting them reads nothing again; only the
+    example codes of the log do. They don't stop the
     job: if they fail, that is recorded and None is returned. With ``audit_path`` each write's outcome is recorded there and failures are
-    raised; the optional warehouse target receives the same gold rows."""
+    raised; the optional warehouse targets (a folder, a table of the session's catalogue) receive the same gold rows."""
 
     def step(name: str, fn) -> None:
         if audit_path:
@@ -109,18 +113,22 @@ def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path:
             fn()
 
     rows = enriched(inputs)
-    step("silver", lambda: sinks.write_silver(rows, silver_path, only_its_dates))
+    seen: dict = {}
+    step("silver", lambda: seen.update(sinks.write_silver(rows, silver_path, only_its_dates)))
     silver = sinks.read_silver(spark, silver_path)
-    if only_its_dates:  # a row per date; prunes partitions
-        dates = [r[0] for r in cleaned_dates(inputs).collect()]
-        silver = silver.where(F.col("FL_DATE").isin(dates))
+    emptied: list[str] = []
+    if only_its_dates:  # a row per date
+        written = [d for d in seen["dates"] if d]
+        emptied = sorted({r[0] for r in input_dates(inputs).collect()} - set(written))
+        sinks.drop_dates(spark, silver_path, emptied)
+        silver = silver.where(F.col("FL_DATE").isin([F.lit(d).cast("date") for d in written]))
     diag: dict | None = None
 
     def report() -> None:
         nonlocal diag
-        diag = enrichment_diagnostics(silver).first().asDict()
+        diag = {c: seen[c] for c in ("total_rows", "origin_missing", "dest_missing")}
         if log_path:
-            write_lines(enrichment_log_lines(silver), log_path)
+            write_lines(enrichment_log_lines(silver, counts=diag), log_path)
 
     try:
         step("diagnostics", report)
@@ -131,13 +139,26 @@ def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path:
     def target(rows: DataFrame, path: str) -> None:
         if only_its_dates:
             sinks.write_gold(rows, path)
+            sinks.drop_dates(spark, f"{path}/aggregation_type={BATCH_LABEL}", emptied)
         else:
             sinks.replace_gold(rows, path, BATCH_LABEL)
 
     step("gold", lambda: target(gold_rows, gold_path))
+    if not (warehouse_path or warehouse_table):
+        return diag
+    written_gold = sinks.read_gold(spark, gold_path).where(F.col("aggregation_type") == BATCH_LABEL).drop("load_id")
+    if only_its_dates:
+        written_gold = written_gold.where(F.col("FL_DATE").isin([F.lit(d).cast("date") for d in written]))
     if warehouse_path:
-        written = sinks.read_gold(spark, gold_path).where(F.col("aggregation_type") == BATCH_LABEL).drop("load_id")
+        step("warehouse", lambda: target(written_gold, warehouse_path))
+
+    def table_target() -> None:
         if only_its_dates:
-            written = written.where(F.col("FL_DATE").isin(dates))
-        step("warehouse", lambda: target(written, warehouse_path))
+            table.insert_gold(written_gold, warehouse_table, location=warehouse_location)
+            table.empty_dates(spark, warehouse_table, BATCH_LABEL, emptied)
+        else:
+            table.replace_gold_rows(written_gold, warehouse_table, BATCH_LABEL, location=warehouse_location)
+
+    if warehouse_table:
+        step("warehouse table", table_target)
     return diag

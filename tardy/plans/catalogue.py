@@ -9,6 +9,7 @@ of what was written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from tardy.functions.clock import add_event_time
 from tardy.functions.codes import airline_dimension, airport_dimension, normalize_flight_codes
 from tardy.functions.metrics import METRIC_GROUPS, PERCENTILE_ACCURACY
-from tardy.operators.chunks import assign_chunks, export_chunks
+from tardy.operators.chunks import export_chunks
 from tardy.operators.clean import apply_quality_filters, rejection_report
 from tardy.operators.enrich import (
     enrichment_diagnostics,
@@ -26,10 +27,10 @@ from tardy.operators.enrich import (
     unmatched_code_examples,
 )
 from tardy.operators.sample import sample_exact_n
-from tardy.plans import batch, streams
+from tardy.plans import analytics, batch, streams
 from tardy.plans import oracle as O
 from tardy.schema import FLIGHT_SCHEMA
-from tardy.session import materialize, scratch_path
+from tardy.session import scratch_path
 from tardy.sinks import parquet as sinks
 from tardy.sinks.audit import enrichment_log_lines, write_lines
 from tardy.sources import testdata
@@ -58,8 +59,12 @@ FEATURE_COLUMNS = ["is_delayed", "is_on_time", "delay_category", "is_weekend", "
                    "time_of_day", "season"]
 
 # The FL_DATE range read by the partition-pruning query.
+# Codes of unmatched_codes_many that no airport has.
+STRANGE_CODE = "concat('Z', cast(SRC_PART % 400 as string))"
 # Last month of the second run of silver_rerun; quantiles of percentile_rank_error.
 RERUN_MONTH = 5
+# Months of the dates that silver_rerun_dates runs again.
+RERUN_DATES = (3, 4)
 RANKS = (0.05, 0.25, 0.5, 0.75, 0.9, 0.95)
 PRUNE_FROM, PRUNE_TO = "2015-04-01", "2015-06-30"
 
@@ -109,6 +114,15 @@ def q_unmatched_codes_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unmatched_code_examples(batch.enriched(batch.testdata_inputs(spark, sf_dir)), 50)
 
 
+def q_unmatched_codes_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with far more unmatched codes on one side than are shown."""
+    rows = batch.enriched(batch.testdata_inputs(spark, sf_dir))
+    strange = F.col("SRC_LINE") > 3
+    return unmatched_code_examples(rows.withColumns({
+        "DESTINATION_AIRPORT": F.when(strange, F.expr(STRANGE_CODE)).otherwise(F.col("DESTINATION_AIRPORT")),
+        "DEST_AIRPORT_NAME": F.when(~strange, F.col("DEST_AIRPORT_NAME"))}), 50)
+
+
 def q_derive_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.features(batch.testdata_inputs(spark, sf_dir))
 
@@ -175,6 +189,42 @@ def q_silver_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(flights, "FL_DATE", "full")
 
 
+def _rerun_part(flights: DataFrame) -> DataFrame:
+    """The rows of two months as a later delivery has them: one month thinned, the other all cancelled."""
+    second = flights.where(F.col("MONTH").isin(*RERUN_DATES) & ((F.col("MONTH") != RERUN_DATES[0]) | (F.col("SRC_LINE") <= 3)))
+    return second.withColumn("CANCELLED", F.when(F.col("MONTH") == RERUN_DATES[1], 1).otherwise(F.col("CANCELLED")))
+
+
+def q_silver_rerun_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job on all rows, then over the dates of two months only: these are replaced, or
+    gone where no row is left, the others stay; in silver, gold and the warehouse table alike."""
+    silver, gold, table = scratch_path(spark, "silver"), scratch_path(spark, "gold"), _fresh_table()
+    inputs = batch.testdata_inputs(spark, sf_dir)
+    targets = {"warehouse_table": table, "warehouse_location": scratch_path(spark, "warehouse")}
+    batch.run_batch(spark, inputs, silver, gold, **targets)
+    part = batch.Inputs(_rerun_part(inputs.flights), inputs.airlines, inputs.airports)
+    batch.run_batch(spark, part, silver, gold, only_its_dates=True, **targets)
+    rows = sinks.read_silver(spark, silver).groupBy("FL_DATE").agg(F.count(F.lit(1)).alias("silver_rows"))
+    flights = sinks.read_gold(spark, gold).groupBy("FL_DATE").agg(F.sum("num_flights").alias("gold_flights"))
+    stored = spark.table(table).groupBy("FL_DATE").agg(F.sum("num_flights").alias("table_flights"))
+    return rows.join(flights, "FL_DATE", "full").join(stored, "FL_DATE", "full")
+
+
+def _fresh_table() -> str:
+    return f"gold_{uuid.uuid4().hex[:12]}"
+
+
+def q_stream_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch and stream gold in one table of the catalogue, the batch job run twice: each
+    row once."""
+    target = {"warehouse_table": _fresh_table(), "warehouse_location": scratch_path(spark, "warehouse")}
+    inputs = batch.testdata_inputs(spark, sf_dir)
+    for _ in range(2):
+        batch.run_batch(spark, inputs, scratch_path(spark, "silver"), scratch_path(spark, "gold"), **target)
+    _run_stream(spark, sf_dir, **target)
+    return spark.table(target["warehouse_table"]).drop("processed_at", "load_id")
+
+
 def q_flights_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per flight date; FL_DATE leaves as a DATE here."""
     return batch.enriched(batch.testdata_inputs(spark, sf_dir)).groupBy("FL_DATE").agg(F.count(F.lit(1)).alias("num_rows"))
@@ -232,20 +282,19 @@ def _run_stream(spark: SparkSession, sf_dir: str, **paths: str) -> StreamJob:
 
 
 def q_gold_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream fixture as files in event order, one per micro-batch, with a restart in
-    the middle; the last file also has the rows of the first again, all too late."""
-    rows = conform(testdata.flights_stream(spark, sf_dir), FLIGHT_SCHEMA)
-    parts = materialize(assign_chunks(rows, max(1, -(-rows.count() // STREAM_FILES)), stream_order()).drop("row_index"), "stream-parts")
+    """The stream fixture as files in event order, a part per micro-batch, with a restart after
+    each; the last part also brings the rows of the first again, all too late."""
+    dealt = testdata.flights_stream_dealt(spark, sf_dir).withColumn("delivered", F.col("part"))
+    parts = streams.parts(conform(dealt, streams.DEALT_SCHEMA))
     inputs = batch.testdata_inputs(spark, sf_dir, stream=True)
     base = scratch_path(spark, "stream-in")
     job = StreamJob(input_dir=f"{base}/*", checkpoint=scratch_path(spark, "stream-ckpt"),
-                    gold_path=scratch_path(spark, "gold"), max_files_per_trigger=1)
-    for i in range(STREAM_FILES):
-        last = i == STREAM_FILES - 1
-        part = parts.where(F.col("chunk_id").isin([i, 0] if last else [i])).drop("chunk_id")
-        write_csv(part.coalesce(1), f"{base}/part_{i}")
-        if last or i == STREAM_FILES // 2 - 1:
-            job.run_available(spark, inputs.airlines, inputs.airports)
+                    gold_path=scratch_path(spark, "gold"), max_files_per_trigger=None)
+    for i, part in enumerate(parts):
+        again = [parts[0]] if i == len(parts) - 1 else []
+        for j, rows in enumerate([part, *again]):
+            write_csv(rows, f"{base}/part_{i}_{j}")
+        job.run_available(spark, inputs.airlines, inputs.airports)
     return sinks.read_gold(spark, job.gold_path).drop("processed_at", "load_id")
 
 
@@ -289,8 +338,6 @@ def q_gold_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sample size (the sampler's default) and seed. Rows per chunk file.
 SAMPLE_N, SAMPLE_SEED = 50_000, 42
 CHUNK_ROWS = 3_000
-# Files that the stream queries replay in event order.
-STREAM_FILES = 4
 
 
 # Columns that many flights share, one of them with nulls, and the rows sampled of them.
@@ -338,11 +385,9 @@ def q_replay_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the stream fixture as chunks, replay them one by one (one chunk
     per micro-batch, in order) into the running stream, read the gold rows."""
     chunks = scratch_path(spark, "chunks")
-    export_chunks(conform(testdata.flights_stream(spark, sf_dir), FLIGHT_SCHEMA), chunks,
-                  CHUNK_ROWS, stream_order())
-    # One number per file to replay.
-    ids = sorted(r[0] for r in spark.read.option("header", True).csv(chunks)
-                 .select("chunk_id").distinct().collect())
+    rows = conform(testdata.flights_stream(spark, sf_dir), FLIGHT_SCHEMA)
+    export_chunks(rows, chunks, CHUNK_ROWS, stream_order())
+    ids = range(-(-rows.count() // CHUNK_ROWS))
     inputs = batch.testdata_inputs(spark, sf_dir, stream=True)
     job = StreamJob(input_dir=scratch_path(spark, "replay-in") + "/*",
                     checkpoint=scratch_path(spark, "replay-ckpt"),
@@ -390,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "enrichment_diagnostics": q_enrichment_diagnostics,
     "enrich_unmatched": q_enrich_unmatched,
     "unmatched_codes_topk": q_unmatched_codes_topk,
+    "unmatched_codes_many": q_unmatched_codes_many,
     "derive_features": q_derive_features,
     "event_time_parse": q_event_time_parse,
     "csv_fact_scan": q_csv_fact_scan,
@@ -400,6 +446,8 @@ QUERIES: dict[str, Query] = {
     "partition_pruned_scan": q_partition_pruned_scan,
     "warehouse_roundtrip": q_warehouse_roundtrip,
     "silver_rerun": q_silver_rerun,
+    "silver_rerun_dates": q_silver_rerun_dates,
+    "stream_warehouse": q_stream_warehouse,
     "flights_per_date": q_flights_per_date,
     "percentile_rank_error": q_percentile_rank_error,
     "gold_window_batch": q_gold_window_batch,
@@ -415,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": q_stream_dedup,
     "enrichment_log": q_enrichment_log,
     **streams.QUERIES,
+    **analytics.QUERIES,
 }
 
 
@@ -474,6 +523,12 @@ select * from (select distinct 'origin' as side, ORIGIN_AIRPORT as code from enr
 union all
 select * from (select distinct 'destination' as side, DESTINATION_AIRPORT as code from enriched
                where DEST_AIRPORT_NAME is null order by code nulls first limit 50)"""),
+    "unmatched_codes_many": O.with_batch(f"""
+select * from (select distinct 'origin' as side, ORIGIN_AIRPORT as code from enriched
+               where ORIGIN_AIRPORT_NAME is null order by code nulls first limit 50)
+union all
+select * from (select distinct 'destination' as side, case when SRC_LINE > 3 then {STRANGE_CODE} else DESTINATION_AIRPORT end as code from enriched
+               where SRC_LINE > 3 or DEST_AIRPORT_NAME is null order by code nulls first limit 50)"""),
     "derive_features": O.with_batch(
         f"select {_FIX}, {', '.join(DIM_COLUMNS)}, FL_DATE, DEP_HOUR, {', '.join(FEATURE_COLUMNS)} from features"),
     "event_time_parse": O.with_batch(f"""
@@ -510,6 +565,14 @@ group by all"""),
     "warehouse_roundtrip": O.daily_gold_sql(METRIC_GROUPS["all"]),
     "silver_rerun": O.with_batch(f"""
 select FL_DATE, count(*) as silver_rows, count(*) as gold_flights from enriched where month(FL_DATE) <= {RERUN_MONTH} group by FL_DATE"""),
+    "silver_rerun_dates": " union all ".join(f"(select * from ({sql}))" for sql in (
+        O.with_batch(f"""
+select FL_DATE, count(*) as silver_rows, count(*) as gold_flights, count(*) as table_flights
+from enriched where month(FL_DATE) not in {RERUN_DATES} group by FL_DATE"""),
+        O.with_batch("""
+select FL_DATE, count(*) as silver_rows, count(*) as gold_flights, count(*) as table_flights from enriched group by FL_DATE""",
+                     source="part", extra=f""",
+part as (select * from flights where MONTH = {RERUN_DATES[0]} and SRC_LINE <= 3)"""))),
     "flights_per_date": O.with_batch("select FL_DATE, count(*) as num_rows from enriched group by FL_DATE"),
     "percentile_rank_error": O.with_batch(f"""
 select SRC_LINE % 2 as half, quantile, count(*) as num_rows, true as within_bound
@@ -546,7 +609,10 @@ union all select coalesce(code, 'None') from (
   select distinct DESTINATION_AIRPORT as code from enriched where DEST_AIRPORT_NAME is null
   order by code nulls first limit 50)"""),
     **streams.ORACLE,
+    **analytics.ORACLE,
 }
+# Both targets of the gold rows hold the same.
+ORACLE["stream_warehouse"] = ORACLE["gold_unified"]
 
 
 # Presentation of the catalogue's results: DATE columns leave as ISO-8601 text
@@ -560,7 +626,7 @@ DATE_OUTPUTS = {  # queries whose result has FL_DATE (checked by tests/test_cata
     "silver_partitioned_roundtrip", "gold_partitioned_roundtrip", "partition_pruned_scan",
     "gold_window_batch", "gold_window_stream", "window_update_mode", "gold_unified",
     "replay_chunks", "stream_dedup", "warehouse_roundtrip", "silver_rerun", "gold_two_streams",
-    "stream_two_views",
+    "stream_two_views", "silver_rerun_dates", "stream_warehouse", *analytics.DATED,
 }
 # FL_DATE stays a DATE here.
 DATE_KEPT = {"flights_per_date"}

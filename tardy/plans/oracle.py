@@ -154,8 +154,8 @@ def metric_list(names: list[str]) -> str:
     return ",\n    ".join(f"{METRIC_SQL[n]} as {n}" for n in names)
 
 
-def with_batch(select: str) -> str:
-    return f"with {FIXTURES}{BATCH_BODY}\n{select}"
+def with_batch(select: str, source: str = "flights", extra: str = "") -> str:
+    return f"with {FIXTURES}{extra}{BATCH_BODY.replace('from flights)', f'from {source})')}\n{select}"
 
 
 def _stream_body(metrics: list[str], source: str) -> str:

@@ -15,20 +15,25 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tardy.functions.clock import add_event_time
-from tardy.functions.codes import normalize_flight_codes
+from tardy.functions.codes import airline_dimension, normalize_flight_codes
 from tardy.functions.metrics import ALL_METRICS
 from tardy.operators.aggregate import SESSION_GAP, WATERMARK_DELAY, session_gold
+from tardy.operators.enrich import guarded_dimension
 from tardy.plans import oracle as O
 from tardy.schema import FLIGHT_SCHEMA
 from tardy.session import materialize, scratch_path
 from tardy.sources import testdata
 from tardy.sources.csv import conform, read_flights_stream, write_csv
+from tardy.streaming.dimension import VersionedDimension, named_batch_writer
 from tardy.streaming.joins import EARLY, LATE, match_departures
 from tardy.streaming.late import LateSplit
 from tardy.streaming.pipeline import stream_rows
 from tardy.streaming.running import EXPIRY_MINUTES, running_delay
 
 
+DEALT_SCHEMA = T.StructType([*FLIGHT_SCHEMA.fields, T.StructField("delivered", T.IntegerType())])
+
+
 def parts(rows: DataFrame) -> list[DataFrame]:
     """The rows of each part, without ``delivered``; the whole is written once."""
     held = materialize(rows, "stream-parts")
@@ -43,8 +48,7 @@ def to_the_end(writer: DataStreamWriter) -> None:
 def arriving_flights(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], DataStreamWriter]) -> None:
     """The dealt stream fixture as CSV files, part by part; ``run`` makes the query over the file stream."""
     base = scratch_path(spark, "stream-in")
-    dealt = T.StructType([*FLIGHT_SCHEMA.fields, T.StructField("delivered", T.IntegerType())])
-    for i, part in enumerate(parts(conform(testdata.flights_stream_dealt(spark, sf_dir), dealt))):
+    for i, part in enumerate(parts(conform(testdata.flights_stream_dealt(spark, sf_dir), DEALT_SCHEMA))):
         write_csv(part, f"{base}/part_{i}")
         to_the_end(run(read_flights_stream(spark, f"{base}/*", max_files_per_trigger=None)))
 
@@ -74,6 +78,32 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.read(spark).select("FLIGHT_NUMBER", "batch_id", "late", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
 
 
+# The airline that the first version lacks, and the part before which the second one is published.
+NEW_AIRLINE, PUBLISHED_BEFORE = "C3", 2
+
+
+def q_stream_dimension_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the airline's name; a missing airline is published in mid-stream and has its name from then on."""
+    airlines = airline_dimension(testdata.airlines_raw(spark, sf_dir))
+    dimension, out = VersionedDimension(scratch_path(spark, "airlines-versions")), scratch_path(spark, "named")
+    checkpoint, started = scratch_path(spark, "named-ckpt"), []
+
+    def attach(rows: DataFrame, names: DataFrame) -> DataFrame:
+        return rows.join(guarded_dimension(names, "AIRLINE_CODE"), F.col("AIRLINE") == F.col("AIRLINE_CODE"), "left").drop("AIRLINE_CODE")
+
+    def run(flights: DataFrame) -> DataStreamWriter:
+        if not started:
+            dimension.publish(airlines.where(F.col("AIRLINE_CODE") != NEW_AIRLINE))
+        if len(started) == PUBLISHED_BEFORE:
+            dimension.publish(airlines)
+        started.append(1)
+        rows = stream_rows(flights).select("FLIGHT_NUMBER", "AIRLINE")
+        return rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(named_batch_writer(dimension, out, attach))
+
+    arriving_flights(spark, sf_dir, run)
+    return spark.read.parquet(out).drop("stream", "batch_id")
+
+
 def q_stream_planned_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Planned departures joined to actual ones, both streams; the last part also brings the first one's files again, too late."""
     out, checkpoint = scratch_path(spark, "departures"), scratch_path(spark, "departures-ckpt")
@@ -93,6 +123,7 @@ QUERIES = {
     "stream_sessions": q_stream_sessions,
     "stream_running_delay": q_stream_running_delay,
     "stream_late_rows": q_stream_late_rows,
+    "stream_dimension_refresh": q_stream_dimension_refresh,
 }
 
 
@@ -120,6 +151,10 @@ with f as (select FLIGHT_NUMBER, delivered, {testdata._EVENT_TS} as event_ts fro
 seen as (select delivered, max(max(event_ts)) over (order by delivered rows between unbounded preceding and 1 preceding) as greatest from f group by delivered)
 select FLIGHT_NUMBER, cast(delivered as bigint) as batch_id, coalesce(event_ts <= greatest - interval {WATERMARK_DELAY}, false) as late, event_ts
 from f join seen using (delivered)""",
+    "stream_dimension_refresh": O.with_stream(f"""
+select FLIGHT_NUMBER, AIRLINE, case when AIRLINE <> '{NEW_AIRLINE}' or delivered >= {PUBLISHED_BEFORE} then AIRLINE_NAME end as AIRLINE_NAME,
+  cast(case when delivered >= {PUBLISHED_BEFORE} then 1 else 0 end as bigint) as dimension_version
+from s_features""", ALL_METRICS, source="dealt", extra=_DEALT),
     "stream_planned_actual": f"""
 with p as ({testdata.duckdb_sql(testdata.PLANNED_SQL)}), a as ({testdata.duckdb_sql(testdata.ACTUAL_SQL)}),
 passed as (select least((select max(planned_ts) from p), (select max(actual_ts) from a)) - interval {WATERMARK_DELAY} as t)

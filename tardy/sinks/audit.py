@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 from tardy.operators.enrich import enrichment_diagnostics, unmatched_code_examples
 
 
-def enrichment_log_lines(enriched: DataFrame, examples: int = 50) -> DataFrame:
+def enrichment_log_lines(enriched: DataFrame, examples: int = 50, counts: dict | None = None) -> DataFrame:
     """(line_no, line): total_rows=…, origin_missing=…, dest_missing=…, then the
-    example codes of each side under a header line."""
+    example codes of each side under a header line. ``counts``: known already, else computed."""
     # The texts of the log's lines.
-    counts = enrichment_diagnostics(enriched)
-    head = counts.select(F.explode(F.array(
-        F.struct(F.lit(0).alias("line_no"), F.concat(F.lit("total_rows="), F.col("total_rows").cast("string")).alias("line")),
-        F.struct(F.lit(1).alias("line_no"), F.concat(F.lit("origin_missing="), F.col("origin_missing").cast("string")).alias("line")),
-        F.struct(F.lit(2).alias("line_no"), F.concat(F.lit("dest_missing="), F.col("dest_missing").cast("string")).alias("line")),
-    )).alias("l")).select("l.*")
+    names = ["total_rows", "origin_missing", "dest_missing"]
+    known = enrichment_diagnostics(enriched) if counts is None else enriched.sparkSession.createDataFrame(
+        [tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    head = known.select(F.explode(F.array(*(
+        F.struct(F.lit(i).alias("line_no"), F.concat(F.lit(f"{n}="), F.col(n).cast("string")).alias("line")) for i, n in enumerate(names)
+    ))).alias("l")).select("l.*")
     spark = enriched.sparkSession
     headers = spark.createDataFrame(
         [(3, "origin_missing_examples:"), (1000 + examples, "dest_missing_examples:")],

@@ -2,7 +2,8 @@
 
 * A batch run replaces its layer: silver as a whole, and the batch part of gold
   (its own ``aggregation_type`` folder). A run that is meant for some dates only
-  says so (``only_its_dates``) and replaces exactly the partitions it produces.
+  says so (``only_its_dates``) and replaces exactly the dates of its input; those
+  of which no row is left are removed.
 * Instead of a fixed ``repartition(4, FL_DATE)`` the rows are clustered by the
   partition columns with a REBALANCE hint: AQE sizes the write tasks, and a
   date holding a large share of the rows is split over several tasks instead of
@@ -16,9 +17,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tardy.operators.enrich import diagnostic_counts
+
 SILVER_PARTITIONS = ["FL_DATE"]
 GOLD_PARTITIONS = ["aggregation_type", "FL_DATE", "load_id"]
 BATCH_LOAD_ID = "batch"
@@ -26,23 +29,36 @@ WINDOW_BOUNDS = ["window_start", "window_end"]
 MAX_RECORDS_PER_FILE = 100_000
 
 
-# Tasks that write one date of a micro-batch.
+# Tasks that write one date of a micro-batch, at least.
 STREAM_WRITERS = 4
 
 
-def _partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str],
-                           max_records_per_file: int = MAX_RECORDS_PER_FILE,
-                           adaptive: bool = True, dynamic: bool = True) -> None:
-    """``adaptive``: REBALANCE hint (AQE sizes tasks and splits hot values).
-    Stateful micro-batches run without AQE, where the hint is ignored; their
-    output is hash-clustered instead, a date over ``STREAM_WRITERS`` tasks.
-    ``dynamic``: replace only the partitions that have rows, else all of ``path``."""
+def clustered(df: DataFrame, partition_cols: list[str], adaptive: bool = True) -> DataFrame:
+    """Rows gathered by partition. ``adaptive``: REBALANCE hint (AQE sizes tasks and splits hot values).
+    Stateful micro-batches run without AQE, where the hint is ignored; their output is hash-clustered
+    instead, a date over as many tasks as the rows of the micro-batch's largest date ask for."""
     cols = [F.col(c) for c in partition_cols]
-    writer = F.pmod(F.xxhash64("AIRLINE", "ORIGIN_AIRPORT"), F.lit(STREAM_WRITERS))
-    clustered = df.hint("rebalance", *cols) if adaptive else df.repartition(*cols, writer)
+    if adaptive:
+        return df.hint("rebalance", *cols)
+    return df.repartition(*cols, F.pmod(F.xxhash64("AIRLINE", "ORIGIN_AIRPORT"), F.lit(stream_writers(df))))
+
+
+def stream_writers(batch: DataFrame, rows_per_task: int = MAX_RECORDS_PER_FILE) -> int:
+    """Tasks that write one date of a (persisted) micro-batch."""
+    most = batch.groupBy("FL_DATE").count().agg(F.max("count")).first()[0] or 0
+    return max(STREAM_WRITERS, -(-most // rows_per_task))
+
+
+def _partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str],
+                           max_records_per_file: int = MAX_RECORDS_PER_FILE, adaptive: bool = True,
+                           dynamic: bool = True, counts: tuple[Observation, list[Column]] | None = None) -> None:
+    """``dynamic``: replace only the partitions that have rows, else all of ``path``.
+    ``counts``: aggregates to observe in the tasks that write."""
+    rows = clustered(df, partition_cols, adaptive)
+    if counts:
+        rows = rows.observe(counts[0], *counts[1])
     (
-        clustered
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_cols)
@@ -50,10 +66,22 @@ def _partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str],
     )
 
 
-def write_silver(enriched: DataFrame, path: str, only_its_dates: bool = False) -> None:
+def write_silver(enriched: DataFrame, path: str, only_its_dates: bool = False) -> dict:
     """Silver: enriched flights, one folder per FL_DATE. Replaces the layer, or with
-    ``only_its_dates`` the dates that the rows have."""
-    _partitioned_overwrite(enriched, path, SILVER_PARTITIONS, dynamic=only_its_dates)
+    ``only_its_dates`` the dates that the rows have. Returns the diagnostics' counts and the
+    dates written (a value per date), both observed by the tasks that write."""
+    seen = Observation()
+    dates = F.collect_set(F.coalesce(F.col("FL_DATE").cast("string"), F.lit(""))).alias("dates")
+    _partitioned_overwrite(enriched, path, SILVER_PARTITIONS, dynamic=only_its_dates, counts=(seen, [*diagnostic_counts(), dates]))
+    return seen.get
+
+
+def drop_dates(spark: SparkSession, path: str, dates: list[str]) -> None:
+    """Removes the FL_DATE folders of some dates (``yyyy-MM-dd``), where they exist."""
+    jvm = spark.sparkContext._jvm
+    for date in dates:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/FL_DATE={date}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

@@ -36,7 +36,7 @@ from (select *, (l_orderkey % 24) * 15 as k, date '2015-01-15' + cast((l_orderke
 AIRLINES_SQL = """
 select concat('C', cast(s_suppkey as string)) as IATA_CODE, s_name as AIRLINE
 from {supplier}
-"""  # facts use C0 to C13; no supplier has key 0, so C0 finds no airline
+"""  # facts use C0 to C13
 
 AIRPORTS_SQL = """
 select concat('N', cast(n_nationkey as string)) as IATA_CODE, n_name as AIRPORT,
@@ -85,6 +85,13 @@ from (select *, {_EVENT_TS} + cast(DEPARTURE_DELAY as int) * interval '1' minute
   from ({FLIGHTS_STREAM_SQL}) f where CANCELLED = 0 and DEPARTURE_DELAY is not null) a
 """
 
+# Names that airlines have for some months each: the first from ever, the last for good; every fifth airline has none in summer.
+VERSIONS_SQL = " union all ".join(f"""
+select concat('C', cast(s_suppkey as string)) as VERSION_CODE, concat(s_name, ' v{v}') as VERSION_NAME,
+  {f"date '2015-01-01' + cast({v} * 90 + s_suppkey % 7 as int)" if v else "cast(null as date)"} as valid_from,
+  {f"date '2015-01-01' + cast({v + 1} * 90 + s_suppkey % 7 as int)" if v < 3 else "cast(null as date)"} as valid_to
+from {{supplier}}{" where s_suppkey % 5 <> 0" if v == 2 else ""}""" for v in range(4))
+
 # Row identity of the flights fixture (unique per lineitem row) and of the stream fixture.
 FLIGHTS_ROW_KEY = ["FLIGHT_NUMBER", "SRC_LINE", "SRC_PART", "SRC_SUPP"]
 STREAM_ROW_KEY = ["FLIGHT_NUMBER"]
@@ -156,6 +163,11 @@ def departures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return _run(spark, sf_dir, PLANNED_SQL, "events"), _run(spark, sf_dir, ACTUAL_SQL, "events")
 
 
+def airline_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VERSION_CODE, VERSION_NAME, valid_from, valid_to (null: open)."""
+    return _run(spark, sf_dir, VERSIONS_SQL, "supplier")
+
+
 def duckdb_sql(sql: str) -> str:
     """The same fixture text for the DuckDB oracle, where tables are plain views."""
     return sql.format(lineitem="lineitem", supplier="supplier", nation="nation",

@@ -13,6 +13,7 @@ its own rows instead of adding them again, and never those of another stream.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from tardy.operators.clean import clean_flights, dedup_first
 from tardy.operators.enrich import attach_names, enrich_flights
 from tardy.schema import DEDUP_KEYS, GOLD_KEYS, STREAM_LABEL
 from tardy.sinks import parquet as sinks
+from tardy.sinks import table
 from tardy.sources.csv import read_flights_stream
 
 WINDOW_KEYS = ["window_start", "window_end", *GOLD_KEYS]
@@ -78,22 +80,22 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def gold_batch_writer(gold_path: str | None, warehouse_path: str | None = None):
+def gold_batch_writer(gold_path: str | None, warehouse_path: str | None = None,
+                      warehouse_table: str | None = None, warehouse_location: str | None = None):
     """foreachBatch body for append mode: each closed window is written once
-    per micro-batch, under load_id = <query id>-<batch id>."""
+    per micro-batch, under load_id = <query id>-<batch id>, to every target."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("processed_at", F.current_timestamp())
-        targets = [p for p in (gold_path, warehouse_path) if p]
-        shared = len(targets) > 1
-        if shared:
-            rows = rows.persist()
+        load_id = f"{query_id(batch)}-{batch_id:012d}"
+        # The targets and the count that sizes the writing tasks read the micro-batch once.
+        rows = batch.withColumn("processed_at", F.current_timestamp()).persist()
         try:
-            for path in targets:
-                sinks.write_gold(rows, path, load_id=f"{query_id(batch)}-{batch_id:012d}", adaptive=False)
+            for path in filter(None, (gold_path, warehouse_path)):
+                sinks.write_gold(rows, path, load_id=load_id, adaptive=False)
+            if warehouse_table:
+                table.insert_gold(rows, warehouse_table, load_id, adaptive=False, location=warehouse_location)
         finally:
-            if shared:
-                rows.unpersist()
+            rows.unpersist()
 
     return write
 
@@ -179,6 +181,8 @@ class StreamJob:
     checkpoint: str
     gold_path: str | None = None
     warehouse_path: str | None = None
+    warehouse_table: str | None = None
+    warehouse_location: str | None = None
     update_log_path: str | None = None
     max_files_per_trigger: int | None = 10
     watermark: str = WATERMARK_DELAY
@@ -209,15 +213,16 @@ class StreamJob:
         rows = stream_rows(source, self.dedup_within, self.watermark)
         gold = windowed_gold_by_code(rows, airlines, airports, watermark=None)
         outputs = []
-        if self.gold_path or self.warehouse_path:
-            outputs.append(("append", self.checkpoint, gold_batch_writer(self.gold_path, self.warehouse_path)))
+        if self.gold_path or self.warehouse_path or self.warehouse_table:
+            outputs.append(("append", self.checkpoint, gold_batch_writer(
+                self.gold_path, self.warehouse_path, self.warehouse_table, self.warehouse_location)))
         if self.update_log_path or self.console_rows > 0:
             if self.dedup_within:
                 raise ValueError("changing windows can't be shown behind a dedup: Spark runs it in append mode only")
             place = f"{self.checkpoint.rstrip('/')}-updates" if outputs else self.checkpoint
             outputs.append(("update", place, update_writer(self.update_log_path, self.console_rows)))
         if not outputs:
-            raise ValueError("the job has no output: set gold_path, warehouse_path, update_log_path or console_rows")
+            raise ValueError("the job has no output: set gold_path, warehouse_path, warehouse_table, update_log_path or console_rows")
         run = StreamRun([], bounded=self.available_now)
         for mode, checkpoint, body in outputs:
             writer = gold.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(body)
@@ -240,7 +245,7 @@ class StreamJob:
             raise RuntimeError(f"stream failed: {q.exception()}")
 
 
-def replay_chunks(spark: SparkSession, chunks_path: str, chunk_ids: list[int], job: StreamJob,
+def replay_chunks(spark: SparkSession, chunks_path: str, chunk_ids: Iterable[int], job: StreamJob,
                   airlines: DataFrame, airports: DataFrame) -> None:
     """Timed replay of exported chunks: copy chunk i into the stream's input
     folder only after chunk i-1 has been processed, like files uploaded one by
