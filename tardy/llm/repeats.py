@@ -6,11 +6,11 @@ radix sort of that depth is done, and groups of one suffix are dropped as soon a
 pass has split them off.
 
 Method
-    1. First pass, as routing: a window's digit is the hash of its least 16-byte gram
+    1. First pass, as routing: a window's digit is the hash of its least 64-byte gram
        (in the order of 40 bits of the hash, the leftmost of equals). It depends on the
        window's bytes only, so equal windows have the same digit and have it at the
        same offset. Windows next to each other mostly share the gram; such a run is a
-       segment: one row of a few numbers for about 90 windows, with a digest of its bytes.
+       segment: one row of a few numbers for about 70 windows, with a digest of its bytes.
     2. Segments with the same gram and the same bytes repeat whole. A task emits each
        different segment once (the others of the task are known to repeat), and these
        rows are shuffled once, by gram. Grams of only one segment are done: nothing else
@@ -44,7 +44,6 @@ from tardy.llm.words import binary_buffers, mix64
 from tardy.session import materialize
 
 WINDOW = 200
-GRAM = 16
 PIECE_BYTES = 2 << 20
 HOT_SEGMENTS = 4096
 #: Distinct segments that are sorted at once, at least, if there are as many.
@@ -54,6 +53,14 @@ BROADCAST_ROWS = 250_000
 _BASE = np.uint64(0xD1342543DE82EF95)
 
 
+def gram_bytes(window: int) -> int:
+    """Bytes of a gram: 64, or less (16 times a power of two) for short windows. The longer, the fewer grams
+    unrelated texts share, and the more segments there are: one to about (window - gram) / 2 windows."""
+    if window < 16:
+        raise ValueError(f"a window of {window} bytes is too short")
+    return 64 if window >= 128 else 32 if window >= 64 else 16
+
+
 def eights(data: np.ndarray) -> np.ndarray:
     """For each byte the number that it and the next seven are (zeros beyond the end)."""
     padded = np.concatenate((data, np.zeros(16, np.uint8)))
@@ -81,15 +88,18 @@ def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[:len(least) - (width - span)], least[width - span:]) if width > span else least
 
 
-def segments_of(data: np.ndarray, ends: np.ndarray, window: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def segments_of(data: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     """(text, first window, windows, offset of the gram in the first window, gram's hash,
     digest of all their bytes) of each segment of the texts data[ends[t]:ends[t + 1]]."""
     none = tuple(np.empty(0, np.int64) for _ in range(4)) + tuple(np.empty(0, np.uint64) for _ in range(2))
     if len(data) < window:
         return none
+    gram = gram_bytes(window)
     eight = eights(data)
     with np.errstate(over="ignore"):
-        h = mix64(eight[:-8] * _BASE + mix64(eight[8:]))[:len(data) - gram + 1]
+        h, span = mix64(eight[:-8] * _BASE + mix64(eight[8:]))[:len(data) - 15], 16
+        while span < gram:
+            h, span = mix64(h[:-span] * _BASE + h[span:]), 2 * span
     place = np.arange(len(h), dtype=np.uint64)
     least = sliding_least((h & ~np.uint64((1 << 24) - 1)) | place, window - gram + 1)[:len(data) - window + 1]
     anchor = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
@@ -146,7 +156,7 @@ PLACE = "place"  # of a segment in its document: first window, windows and offse
 
 def place_bits(window: int) -> int:
     """Bits of the number of windows and of the offset, each at most window - gram + 1."""
-    bits = max(8, (window - GRAM + 1).bit_length())
+    bits = max(8, (window - gram_bytes(window) + 1).bit_length())
     if bits > 16:  # the first window is below 2^31
         raise ValueError(f"a window of {window} bytes is too long")
     return bits
@@ -327,12 +337,16 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, hot_segments: int = H
         shared.where("times > 1 and copies = 1").select("ref", start.alias("start"), stop.alias("stop")))
     wanted = shared.where("kinds > 1 and nth = 1").select("ref", PLACE, "gram", "times", "kinds")
     of = materialize(wanted.select("ref").distinct(), "repeats-wanted")
-    own = picked(texts, of)
-    covers = covers.unionByName(sorted_covers(fetched(own, wanted.where(F.col("kinds") <= hot_segments), window), window))
-    hot = wanted.where(F.col("kinds") > hot_segments)
-    if not hot.isEmpty():
-        covers = covers.unionByName(counted_covers(fetched(own, hot, window), window))
-    return covers
+    contents = fetched(picked(texts, of), wanted, window)
+    hot_grams = wanted.where(F.col("kinds") > hot_segments).select("gram").distinct()
+    number = hot_grams.limit(BROADCAST_ROWS + 1).count()
+    if not number:
+        return covers.unionByName(sorted_covers(contents, window))
+    # Both ways read the same texts: their segments are cut out once.
+    contents = materialize(contents, "repeats-contents")
+    hot_grams = F.broadcast(hot_grams) if number <= BROADCAST_ROWS else hot_grams
+    few, many = (contents.join(hot_grams, "gram", how).select(*contents.columns) for how in ("left_anti", "left_semi"))
+    return covers.unionByName(sorted_covers(few, window)).unionByName(counted_covers(many, window))
 
 
 def without_repeats(texts: DataFrame, **options) -> DataFrame:

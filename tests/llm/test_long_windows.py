@@ -16,6 +16,14 @@ def test_long_windows(spark):
 
 
 def test_bits():
-    assert repeats.place_bits(repeats.WINDOW) == 8 and repeats.place_bits(270) == 8 and repeats.place_bits(271) == 9
+    most = 254 + repeats.gram_bytes(300)  # 255 windows hold one gram
+    assert repeats.place_bits(repeats.WINDOW) == 8 and repeats.place_bits(most) == 8 and repeats.place_bits(most + 1) == 9
     with pytest.raises(ValueError):
         repeats.place_bits(1 << 17)
+
+
+@pytest.mark.parametrize("window", [16, 40, 64, 127, 128])
+def test_short_windows(spark, window):
+    rows = edge.texts()
+    got = edge.collected(repeats.repeats_digest(edge.documents(spark, rows), window=window))
+    assert [tuple(r) for r in got] == edge.by_nulls(brute_repeats(rows, window))
