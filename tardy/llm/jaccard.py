@@ -6,10 +6,14 @@ least ``num / den``; components are what links reach. The join is exact (up to e
 
 Method
     1. A text is a set of shingle hashes; texts with the same word sequence are one
-       set, known by a hash of the sequence.
+       set, known by a hash of the sequence. A set that links shares ``num / den`` of its
+       shingles with another one at least. So shingles are first counted exactly: tasks
+       send sorted blocks of hashes, a few bytes each, range by range, and get back how
+       many of a set's hashes occur elsewhere. Sets with too few of them have no partner
+       and are done.
     2. Any two sets that link share one of their first n - ceil(t n) + 1 shingles in
        any common order. The order is by rarity, from a count sketch of a fixed number
-       of slots over all documents. So sets meet on rare shingles and a passage that
+       of slots over the sets that are left. So sets meet on rare shingles and a passage that
        many documents share makes no candidates. Shingles in one set only meet nobody.
     3. Shingles on which the same sets meet are one group of sets. Each group is first
        verified against the least of it (its hub). That links nearly all copies of a
@@ -42,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +55,13 @@ from tardy.session import materialize
 
 SHINGLE = 5
 NUM, DEN = 75, 100
+#: Hashes are told apart by so many bits when it is counted which of them sets share; a range of them is
+#: one group (of 4 bytes per hash of a chunk and range while it is read).
+RANGE_BITS, REST_BITS = 10, 30
+#: Hashes of a chunk of sets, and bytes of counts that a reducer holds.
+CHUNK_SHINGLES, FLUSH_BYTES = 4_000_000, 64 << 20
+#: Bits of the filter of texts that may have a partner (4 MB).
+FILTER_BITS = 1 << 25
 #: Slots of the count sketch, and how many of them make a row.
 SKETCH_SLOTS, SKETCH_ROW = 1 << 22, 1 << 10
 #: Rarity levels: so many to a doubling of the count.
@@ -85,33 +97,222 @@ def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray,
     return hashes, np.concatenate((of[:len(grams)][whole], short)), sequence
 
 
+def distinct_shingles(hashes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct hashes: (hash, text), in order of text and hash."""
+    order = np.lexsort((hashes, of))
+    hashes, of = hashes[order], of[order]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+    return hashes[fresh], of[fresh]
+
+
 def document_keys(docs: DataFrame, shingle: int) -> DataFrame:
-    """A row per document (doc_id, key: hash of its text, uid: of its words, n: size of
-    its set) and rows of the count sketch (slot, counts) from each task."""
+    """A row per document (doc_id, key: hash of its text, uid: of its words, n: size of its set; chunk and
+    place if it is the first of its set in the chunk; a range below 0) and, for each chunk of sets and range of
+    hashes, a block: the sorted rests of the hashes in the range and the sets (places) that have them."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH_SLOTS, np.int64)
+        task, chunk, seen, held, size, sets = TaskContext.get().partitionId(), 0, set(), [], 0, 0
         for rows in slices(batches, "text"):
             hashes, of, sequence = shingle_sets(rows.column(2), shingle)
-            total += np.bincount((hashes & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64), minlength=SKETCH_SLOTS)
-            order = np.lexsort((hashes, of))
-            hashes, of = hashes[order], of[order]
-            fresh = np.ones(len(hashes), bool)
-            fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-            n = np.bincount(of[fresh], minlength=rows.num_rows)
-            yield pa.record_batch([rows.column(0), rows.column(1), pa.array(sequence.view(np.int64)), pa.array(n, pa.int64()),
-                                   pa.nulls(rows.num_rows, pa.int32()), pa.nulls(rows.num_rows, pa.binary())], names=names)
-        used = np.flatnonzero(total.reshape(-1, SKETCH_ROW).any(axis=1))
-        nothing = [pa.nulls(len(used), t) for t in types]
-        yield pa.record_batch([*nothing, pa.array(used, pa.int32()), pa.array(
-            [np.minimum(total[r * SKETCH_ROW:(r + 1) * SKETCH_ROW], 65_535).astype("<u2").tobytes() for r in used], pa.binary())], names=names)
-
-    names = ["doc_id", "key", "uid", "n", "slot", "counts"]
+            hashes, of = distinct_shingles(hashes, of)
+            uid, n = sequence.view(np.int64), np.bincount(of, minlength=rows.num_rows)
+            new = np.zeros(rows.num_rows, bool)
+            for i, u in enumerate(uid.tolist()):
+                if n[i] and u not in seen:
+                    seen.add(u)
+                    new[i] = True
+            place = sets + np.cumsum(new) - 1
+            keep = new[of]
+            held.append((hashes[keep] >> np.uint64(64 - RANGE_BITS - REST_BITS), place[of[keep]].astype(np.uint32)))
+            size, sets = size + len(held[-1][0]), sets + int(new.sum())
+            own = pa.array(np.full(rows.num_rows, task << 20 | chunk), pa.int64())
+            dealt = pa.array(-1 - np.arange(rows.num_rows) % (1 << RANGE_BITS), pa.int32())
+            yield as_batch([rows.column(0), rows.column(1), pa.array(uid), pa.array(n, pa.int64()), own, pa.array(place, pa.int64(), mask=~new), dealt, None, None])
+            if size >= CHUNK_SHINGLES:
+                yield from blocks(held, task << 20 | chunk)
+                chunk, seen, held, size, sets = chunk + 1, set(), [], 0, 0
+        yield from blocks(held, task << 20 | chunk)
+
+    def blocks(held: list, chunk: int) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        ids, place = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(ids, kind="stable")
+        ids, place = ids[order], place[order]
+        which = (ids >> np.uint64(REST_BITS)).astype(np.int64)
+        rest = (ids & np.uint64((1 << REST_BITS) - 1)).astype("<u4")
+        short = place.astype("<u2") if len(place) and place.max() < 1 << 16 else place.astype("<u4")
+        used, first = np.unique(which, return_index=True)
+        last = np.append(first[1:], len(which))
+        for at in range(0, len(used), 256):
+            part = [(int(used[i]), planes(rest[first[i]:last[i]]), short[first[i]:last[i]].tobytes()) for i in range(at, min(at + 256, len(used)))]
+            columns = [pa.array([p[0] for p in part], pa.int32()), *(pa.array([p[j] for p in part], pa.binary()) for j in (1, 2))]
+            yield as_batch([*[None] * 4, pa.array([chunk] * len(part), pa.int64()), None, *columns])
+
+    def as_batch(columns: list) -> pa.RecordBatch:
+        rows = len(next(c for c in columns if c is not None))
+        return pa.record_batch([pa.nulls(rows, t) if c is None else c for c, t in zip(columns, types)], names=names)
+
+    names = ["doc_id", "key", "uid", "n", "chunk", "place", "range", "rests", "places"]
+    types = [*[pa.int64()] * 6, pa.int32(), pa.binary(), pa.binary()]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    return rows.mapInArrow(scan, "doc_id long, key long, uid long, n long, slot int, counts binary")
+    return rows.mapInArrow(scan, "doc_id long, key long, uid long, n long, chunk long, place long, range int, rests binary, places binary")
+
 
+def planes(sorted_rests: np.ndarray) -> bytes:
+    """Sorted 4-byte numbers as differences, in as many bytes each as the greatest needs (that number first)."""
+    steps = np.diff(sorted_rests, prepend=sorted_rests[:1] * 0)
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + steps.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
 
-def rarity_levels(keys: DataFrame) -> np.ndarray:
+
+def from_planes(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    steps = np.zeros(((len(packed) - 1) // width, 4), np.uint8)
+    steps[:, :width] = np.frombuffer(packed, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(steps.view("<u4").ravel(), dtype=np.uint32)
+
+
+def counted_keys(scanned: DataFrame) -> DataFrame:
+    """The rows of the documents, and partial counts per chunk (counts: of each place how many of the set's
+    hashes occur more than once, or seem to, by ``RANGE_BITS + REST_BITS`` bits). The blocks are
+    shuffled as they are made; reducers read them range by range and add up per chunk what they find."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        now, open_range = None, []
+        for batch in batches:
+            ranges = batch.column(6).to_numpy()
+            documents = batch.filter(pa.array(ranges < 0))
+            if documents.num_rows:
+                yield pa.RecordBatch.from_arrays([*documents.columns[:6], pa.nulls(documents.num_rows, pa.binary())], names=names)
+            for i in np.flatnonzero(ranges >= 0).tolist():
+                if ranges[i] != now:
+                    add(open_range, totals)
+                    now, open_range = ranges[i], []
+                open_range.append((batch.column(4)[i].as_py(), batch.column(7)[i].as_py(), batch.column(8)[i].as_py()))
+            if sum(t.nbytes for t in totals.values()) > FLUSH_BYTES:
+                yield as_batch(totals)
+                totals = {}
+        add(open_range, totals)
+        yield as_batch(totals)
+
+    def add(blocks: list, totals: dict) -> None:
+        if not blocks:
+            return
+        rests = [from_planes(b) for _, b, _ in blocks]
+        every = np.sort(np.concatenate(rests))
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        if not len(twice):
+            return
+        for (chunk, _, places), own in zip(blocks, rests):
+            at = np.searchsorted(twice, own)
+            hit = twice[np.minimum(at, len(twice) - 1)] == own
+            kind = "<u2" if len(places) == 2 * len(own) else "<u4"
+            found = np.bincount(np.frombuffer(places, kind)[hit])
+            old = totals.get(chunk, np.empty(0, np.int64))
+            if len(old) < len(found):
+                old = np.concatenate((old, np.zeros(len(found) - len(old), np.int64)))
+            old[:len(found)] += found
+            totals[chunk] = old
+
+    def as_batch(totals: dict) -> pa.RecordBatch:
+        nothing = [pa.nulls(len(totals), pa.int64())]
+        return pa.record_batch([*nothing * 4, pa.array(list(totals), pa.int64()), *nothing, pa.array([t.astype("<u4").tobytes() for t in totals.values()], pa.binary())], names=names)
+
+    names = ["doc_id", "key", "uid", "n", "chunk", "place", "counts"]
+    dealt = scanned.repartition("range").sortWithinPartitions("range")
+    return dealt.mapInArrow(count, "doc_id long, key long, uid long, n long, chunk long, place long, counts binary")
+
+
+def shared_counts(keys: DataFrame) -> DataFrame:
+    """chunk, place, shared: the counts of all reducers, summed."""
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, np.empty(0, np.int64)
+        for batch in batches:
+            for chunk, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                own = np.frombuffer(counts, "<u4").astype(np.int64)
+                if chunk != now:
+                    yield as_rows(now, sums)
+                    now, sums = chunk, np.empty(0, np.int64)
+                if len(sums) < len(own):
+                    sums = np.concatenate((sums, np.zeros(len(own) - len(sums), np.int64)))
+                sums[:len(own)] += own
+        yield as_rows(now, sums)
+
+    def as_rows(chunk: int | None, sums: np.ndarray) -> pa.RecordBatch:
+        place = np.flatnonzero(sums)
+        return pa.record_batch({"chunk": pa.array(np.full(len(place), chunk or 0), pa.int64()), "place": pa.array(place, pa.int64()), "shared": pa.array(sums[place], pa.int64())})
+
+    partial = keys.where("counts is not null").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk")
+    return partial.mapInArrow(total, "chunk long, place long, shared long")
+
+
+def partnered(keys: DataFrame, num: int, den: int) -> np.ndarray:
+    """A bitmap over hashes of texts: set for one text of each set that may link. A set that links has
+    num / den of its hashes in another one at least, so all others have no partner. The bitmap has a fixed
+    number of bits; where several texts share one, too many pass, never too few."""
+    firsts = keys.where("place is not null").select("chunk", "place", "key", "n")
+    may = firsts.join(shared_counts(keys), ["chunk", "place"]).where(F.col("shared") * den >= F.col("n") * num)
+    bits = may.select(F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))
+    words = bits.groupBy(F.expr("cast(shiftright(bit, 5) as int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("bits"))
+    found = words.groupBy(F.shiftright("word", 10).alias("row")).agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("of"))  # 1,024 words at most
+    bitmap = np.zeros(FILTER_BITS // 32, "<u4")
+    for r in found.select("of.word", "of.bits").toLocalIterator():
+        bitmap[r["word"]] = np.array(r["bits"], np.uint64).astype("<u4")
+    return bitmap
+
+
+def passing(rows: pa.RecordBatch, bitmap: np.ndarray, key: int) -> pa.RecordBatch:
+    """The rows whose key (a column of hashes) the bitmap has."""
+    bit = rows.column(key).to_numpy() & (FILTER_BITS - 1)
+    return rows.filter(pa.array((bitmap[bit >> 5] >> (bit & 31).astype("<u4")) & 1 == 1))
+
+
+def sketch_rows(docs: DataFrame, bitmap: np.ndarray, shingle: int) -> DataFrame:
+    """slot, counts: the count sketch of each task over the texts that pass, rows without a count left out
+    and others as (slot, count) pairs where that is shorter."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots: list[np.ndarray] = []
+        total = None
+        for rows in slices((passing(b, bitmap, 0) for b in batches), "text"):
+            hashes, _, _ = shingle_sets(rows.column(1), shingle)
+            slots.append((hashes & np.uint64(SKETCH_SLOTS - 1)).astype(np.uint32))
+            if sum(map(len, slots)) >= SKETCH_SLOTS:
+                total = (0 if total is None else total) + np.bincount(np.concatenate(slots), minlength=SKETCH_SLOTS)
+                slots = []
+        if total is None:
+            own, n = np.unique(np.concatenate(slots or [np.empty(0, np.uint32)]), return_counts=True)
+        else:
+            total += np.bincount(np.concatenate(slots or [np.empty(0, np.uint32)]), minlength=SKETCH_SLOTS)
+            own, n = np.flatnonzero(total), total[total > 0]
+        own, n = own.astype(np.int64), np.minimum(n, 65_535).astype("<u2")
+        used, first = np.unique(own // SKETCH_ROW, return_index=True)
+        last = np.append(first[1:], len(own))
+        counts = []
+        for a, b in zip(first, last):
+            if 4 * (b - a) < 2 * SKETCH_ROW:
+                counts.append(np.stack(((own[a:b] % SKETCH_ROW).astype("<u2"), n[a:b])).tobytes())
+            else:
+                dense = np.zeros(SKETCH_ROW, "<u2")
+                dense[own[a:b] % SKETCH_ROW] = n[a:b]
+                counts.append(dense.tobytes())
+        yield pa.record_batch({"slot": pa.array(used, pa.int32()), "counts": pa.array(counts, pa.binary())})
+
+    rows = docs.select(F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(scan, "slot int, counts binary")
+
+
+def slot_counts(counts: bytes) -> np.ndarray:
+    """A row of the sketch."""
+    if len(counts) == 2 * SKETCH_ROW:
+        return np.frombuffer(counts, "<u2").astype(np.int64)
+    slot, n = np.frombuffer(counts, "<u2").reshape(2, -1)
+    row = np.zeros(SKETCH_ROW, np.int64)
+    row[slot] = n
+    return row
+
+
+def rarity_levels(sketch: DataFrame) -> np.ndarray:
     """The level of each of the ``SKETCH_SLOTS`` slots, two bytes each; counts are summed up
     in the tasks. Other shingles of a slot add about the same to all; levels are fine enough
     to see what is above that."""
@@ -119,11 +320,11 @@ def rarity_levels(keys: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for slot, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[slot] = sums.get(slot, 0) + np.frombuffer(counts, "<u2").astype(np.int64)
+                sums[slot] = sums.get(slot, 0) + slot_counts(counts)
         levels = [np.minimum(LEVELS * np.log2(c + 1), 4095).astype("<u2").tobytes() for c in sums.values()]
         yield pa.record_batch({"slot": pa.array(list(sums), pa.int32()), "counts": pa.array(levels, pa.binary())})
 
-    rows = keys.where("slot is not null").select("slot", "counts").repartition("slot").mapInArrow(add, "slot int, counts binary")
+    rows = sketch.repartition("slot").mapInArrow(add, "slot int, counts binary")
     level = np.zeros(SKETCH_SLOTS, np.uint16)
     for r in rows.collect():  # SKETCH_SLOTS numbers of two bytes
         level[r["slot"] * SKETCH_ROW:(r["slot"] + 1) * SKETCH_ROW] = np.frombuffer(r["counts"], "<u2")
@@ -134,20 +335,16 @@ def ranked(hashes: np.ndarray, of: np.ndarray, level: np.ndarray) -> tuple[np.nd
     """Each text's distinct shingles in the common order: (number, text). The number is
     the rarity level in the top 12 bits and 51 bits of the hash, so it is the same everywhere."""
     slot = (hashes & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64)
-    number = (level[slot].astype(np.uint64) << np.uint64(51)) | (hashes >> np.uint64(13))
-    order = np.lexsort((number, of))
-    number, of = number[order], of[order]
-    fresh = np.ones(len(number), bool)
-    fresh[1:] = (number[1:] != number[:-1]) | (of[1:] != of[:-1])
-    return number[fresh].view(np.int64), of[fresh]
+    number, of = distinct_shingles((level[slot].astype(np.uint64) << np.uint64(51)) | (hashes >> np.uint64(13)), of)
+    return number.view(np.int64), of
 
 
-def prefixes(docs: DataFrame, level: np.ndarray, shingle: int, num: int, den: int) -> DataFrame:
-    """token, uid, n: the necessary prefix of each set, once per task and set."""
+def prefixes(docs: DataFrame, bitmap: np.ndarray, level: np.ndarray, shingle: int, num: int, den: int) -> DataFrame:
+    """token, uid, n: the necessary prefix of each set that may have a partner, once per task and set."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for rows in slices(batches, "text"):
-            hashes, of, sequence = shingle_sets(rows.column(0), shingle)
+        for rows in slices((passing(b, bitmap, 0) for b in batches), "text"):
+            hashes, of, sequence = shingle_sets(rows.column(1), shingle)
             uid = sequence.view(np.int64)
             new = np.zeros(rows.num_rows, bool)
             for i, u in enumerate(uid.tolist()):
@@ -162,7 +359,7 @@ def prefixes(docs: DataFrame, level: np.ndarray, shingle: int, num: int, den: in
             mine = np.arange(len(of)) - start[of] < length[of]
             yield pa.record_batch({"token": token[mine], "uid": uid[of[mine]], "n": n[of[mine]].astype(np.int32)})
 
-    rows = docs.select(F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(cut, "token long, uid long, n int")
 
 
@@ -222,7 +419,7 @@ def small_side(frame: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
 
 def candidate_texts(docs: DataFrame, uids: DataFrame, keys: DataFrame) -> DataFrame:
     """uid, text (binary) of the wanted sets, each from the document with the least doc_id that has it."""
-    wanted = keys.where("slot is null").join(uids, "uid", "left_semi").groupBy("uid").agg(F.min(F.struct("doc_id", "key")).alias("of"))
+    wanted = keys.where("uid is not null").join(uids, "uid", "left_semi").groupBy("uid").agg(F.min(F.struct("doc_id", "key")).alias("of"))
     wanted = materialize(wanted.select("uid", F.col("of.doc_id").alias("of_id"), F.col("of.key").alias("key")), "jaccard-wanted")
     texts = docs.select(F.xxhash64("text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     found = texts.join(small_side(wanted), (texts.key == wanted.key) & texts.doc_id.eqNullSafe(wanted.of_id))
@@ -232,11 +429,8 @@ def candidate_texts(docs: DataFrame, uids: DataFrame, keys: DataFrame) -> DataFr
 def own_sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
     """The sorted distinct hashes of each text."""
     hashes, of, _ = shingle_sets(column, shingle)
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
-    fresh = np.ones(len(hashes), bool)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-    return np.split(hashes[fresh], np.searchsorted(of[fresh], np.arange(1, len(column))))
+    hashes, of = distinct_shingles(hashes, of)
+    return np.split(hashes, np.searchsorted(of, np.arange(1, len(column))))
 
 
 def signatures(texts: DataFrame, shingle: int) -> DataFrame:
@@ -484,8 +678,9 @@ def tree_candidates(meets: DataFrame, signed: DataFrame, comps: DataFrame, num:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, key (hash of the text), component (null without words), n_shingles,
     component_id; one row per document."""
-    keys = materialize(document_keys(docs, shingle), "jaccard-keys")
-    entries = prefixes(docs, rarity_levels(keys), shingle, num, den)
+    keys = materialize(counted_keys(document_keys(docs, shingle)), "jaccard-keys")
+    bitmap = partnered(keys, num, den)
+    entries = prefixes(docs, bitmap, rarity_levels(sketch_rows(docs, bitmap, shingle)), shingle, num, den)
     meets = materialize(distinct_groups(materialize(meetings(entries), "jaccard-all-meets")), "jaccard-meets")
     texts = materialize(candidate_texts(docs, meets.select("uid").distinct(), keys), "jaccard-texts")
     sizes = (F.col("n") * den >= F.col("hub_n") * num) & (F.col("hub_n") * den >= F.col("n") * num)
@@ -498,7 +693,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den
     more = materialize(verified(pairs, texts, shingle, num, den), "jaccard-links")
     if not more.isEmpty():
         comps = components(links.unionByName(more))
-    rows = keys.where("slot is null").join(comps, "uid", "left").withColumn(
+    rows = keys.where("uid is not null").join(comps, "uid", "left").withColumn(
         "component", F.when(F.col("n") > 0, F.coalesce("comp", "uid")))
     least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     columns = ["doc_id", "key", "component", F.col("n").alias("n_shingles")]
@@ -513,18 +708,25 @@ def components_of(docs: DataFrame, **options) -> DataFrame:
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each component: that with the least doc_id (null last),
-    then the least hash of its text. Documents without words all stay."""
+    then the least hash of its text, then the least of its other columns (maps don't count), however the
+    rows are dealt. Documents without words all stay. ``docs`` may have columns of any names."""
     found = near_duplicates(docs, **options)
     first = found.where("component is not null").groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("kept"))
-    keep = first.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.key").alias("_kept_key")).withColumn("_words", F.lit(True))
+    copies = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    one = first.select("kept.doc_id", "kept.key").join(copies.withColumnRenamed("doc_id", "of_id"), "key").where(F.col("doc_id").eqNullSafe(F.col("of_id")))
+    keep = one.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"), (F.col("copies") > 1).alias("choose"))
     keep = keep.unionByName(found.where("component is null").select(
-        F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key"), F.lit(False).alias("_words")).distinct())
-    rows = docs.withColumn("_own_key", F.xxhash64("text")).withColumn("_own_id", F.col("doc_id").cast("long"))
-    rows = rows.join(keep, (F.col("_own_key") == F.col("_kept_key")) & F.col("_own_id").eqNullSafe(F.col("_kept_id")))
-    same = Window.partitionBy("_own_key", "_own_id").orderBy("_own_key")  # the same row twice, or more
-    rows = rows.withColumn("_nth", F.row_number().over(same)).where("_nth = 1 or not _words")
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+        F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"), F.lit(False).alias("choose")).distinct())
+    keep = materialize(keep, "jaccard-kept")
+    # The rows are one struct column: their own names can't clash with those used here.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(whole, F.xxhash64("text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"))
+    rows = rows.join(small_side(keep), (F.col("key") == F.col("kept_key")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    others = [F.col("row")[c] for c, t in docs.dtypes if c != "text" and "map<" not in t]
+    nth = F.row_number().over(Window.partitionBy("key", "doc_id").orderBy(*others))  # of rows with equal ids and texts only
+    chosen = rows.where("choose").withColumn("nth", nth).where("nth = 1")
+    return rows.where("not choose").select("row.*").unionByName(chosen.select("row.*"))
 
 
 #: DuckDB: all pairs that share a shingle, counted; components by transitive closure.
