@@ -15,7 +15,8 @@ Method
     over the rate of toxic documents among those without hits.
 
 The labelled rows are a sample of at most about ``train_rows`` rows by a hash of
-doc_id; the lexicon has at most ``max_terms`` terms, and so has what the tasks get.
+doc_id. A term is in at least ``LEAST_SHARE`` of the sample's toxic rows, so the lexicon, and with it
+what the tasks get, is bounded by the sample: 1 / ``LEAST_SHARE`` times the words of a toxic row, on average.
 Scores use the whole text and nothing but the text.
 
 Defined cases
@@ -40,7 +41,6 @@ from tardy.llm.words import ALPHANUMERIC, Words, mix64, slices, weights, words_o
 from tardy.session import materialize
 
 TRAIN_ROWS = 20_000
-MAX_TERMS = 20_000
 THRESHOLD = 0.3
 HELD_OUT_FOLD = 2
 STEM_LENGTHS = (4, 5, 6, 7, 8)
@@ -291,13 +291,13 @@ def feature_counts(rows: DataFrame, ids: set[int], stem_lengths: tuple[int, ...]
     return found.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn_terms(counts: DataFrame, least_docs: int, least_precision: float = LEAST_PRECISION, max_terms: int = MAX_TERMS) -> dict[str, float]:
+def learn_terms(counts: DataFrame, least_docs: int, least_precision: float = LEAST_PRECISION) -> dict[str, float]:
     """The terms and their smoothed precisions. A stem gives way to a longer one that
     keeps nine tenths of its toxic rows, or to a word that does; a word or stem that a
     shorter stem covers is left out."""
     precision = (F.col("toxic") + F.lit(0.5)) / (F.col("toxic") + F.col("clean") + F.lit(1.0))
     good = counts.where(F.col("toxic") >= least_docs).withColumn("p", precision).where(F.col("p") >= least_precision)
-    rows = good.orderBy(F.col("toxic").desc(), "feature").limit(max_terms).collect()  # at most max_terms
+    rows = good.orderBy(F.col("toxic").desc(), "feature").collect()  # bounded by the sample of labelled rows
     toxic = {r["feature"]: r["toxic"] for r in rows}
     best: dict[str, int] = {}  # for each prefix, the most rows that a longer stem or a word has
     for term, n in toxic.items():
