@@ -32,10 +32,12 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tardy.llm.words import slices
 from tardy.session import materialize
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -46,6 +48,8 @@ RESERVED = ("### System: ", "### User: ", "### Assistant: ", "### Role: ", " ###
 ROLES = ("system", "user", "assistant")
 OTHER_ROLE, TEXT, END = 3, 4, 5
 LOSS_ROLE = "assistant"
+#: Bytes of text and ids that a task handles at once (or one turn).
+SLICE_TEXT, SLICE_IDS = 1 << 20, 1 << 18
 #: The control strings without the blanks around them.
 CONTROL = r"\\*(?:### (?:System|User|Assistant|Role|Text):|</turn>)"
 ESCAPE, UNESCAPE = re.compile(f"({CONTROL})"), re.compile(rf"\\({CONTROL})")
@@ -105,9 +109,14 @@ def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = Template(ranks)
-        for batch in batches:
-            made = [template.assemble(r, t) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.record_batch([*batch.columns, pa.array([m[0] for m in made], pa.list_(pa.int32())), pa.array([m[1] for m in made], pa.int32())],
+        for batch in slices(batches, "text", SLICE_TEXT):
+            ids, head = [], []
+            for role, text in zip(batch.column(2), batch.column(3)):
+                own, before = template.assemble(role.as_py(), text.as_py())
+                ids.append(np.array(own, np.int32))  # a list of Python numbers for one turn at a time
+                head.append(before)
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            yield pa.record_batch([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))), pa.array(head, pa.int32())],
                                   names=["conv_id", "turn", "role", "text", "ids", "head"])
 
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -133,7 +142,7 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = Template(ranks)
         open_conv = None
-        for batch in batches:
+        for batch in parts(batches):
             done = []
             for conv, ids, first, start, end in zip(*(c.to_pylist() for c in batch.columns)):
                 if open_conv is None or conv != open_conv[0]:
@@ -151,6 +160,16 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             yield as_batch(done)
         yield as_batch([closed(open_conv)] if open_conv else [])
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows in slices of at most ``SLICE_IDS`` ids, or one row."""
+        for batch in batches:
+            ends = np.concatenate(([0], np.cumsum(np.asarray(batch.column(1).value_lengths(), np.int64))))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_IDS, side="right")) - 1)
+                yield batch.slice(at, to - at)
+                at = to
+
     def closed(x: list) -> tuple:
         return x[0], x[1], x[2].hexdigest(), x[3], x[4].hexdigest(), x[5], x[6]
 
