@@ -46,13 +46,14 @@ def words_column(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({WORD})"), F.lit(1))
 
 
-def item_windows(benchmark: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """window_id (0, 1, ... over the distinct windows in order), words, items (sorted ids)."""
+def item_windows(benchmark: DataFrame, window_words: int = WINDOW_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(window_id, words) of the distinct windows, and (window_id, item) of the items that have them."""
     words = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              words_column(F.col("text")).alias("w")).where("size(w) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - window_words + 1, F.lit(1)))
     cut = words.select("item", F.explode(F.transform(starts, lambda s: F.slice("w", s, window_words))).alias("words"))
-    return cut.groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    windows = materialize(cut.select("words").distinct().withColumn("window_id", F.monotonically_increasing_id()), "decontam-windows")
+    return windows, cut.join(windows, "words").select("window_id", "item").distinct()
 
 
 class Windows:
@@ -60,7 +61,7 @@ class Windows:
 
     def __init__(self, rows: list) -> None:
         self.words = [tuple(w.encode() for w in r["words"]) for r in rows]
-        self.items = [list(r["items"]) for r in rows]
+        self.ids = [r["window_id"] for r in rows]
         vocabulary = sorted({w for words in self.words for w in words})
         self.hashes = words_of(pa.array([b" ".join(vocabulary)], pa.binary()), ALPHANUMERIC).hashes()
         order = np.argsort(self.hashes)
@@ -103,18 +104,18 @@ def window_word_counts(docs: DataFrame, windows: Windows) -> np.ndarray:
     return counts
 
 
-FOUND = "n_words long, starts array<int>, lengths array<int>, items array<string>"
+FOUND = "n_words long, starts array<int>, lengths array<int>, windows array<long>"
 
 
 def join_windows(docs: DataFrame, windows: Windows, kept: list[str]) -> DataFrame:
     """The ``kept`` columns, n_words, and the verified occurrences of windows: first
-    words in the document, lengths in words, and the items that the windows come from."""
+    words in the document, lengths in words, and the ids of the windows."""
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, "_words_text"):
             words = words_of(rows.column(0), ALPHANUMERIC)
             number = windows.number(words.hashes())
             found: list[list[tuple[int, int]]] = [[] for _ in range(rows.num_rows)]
-            items: list[set[str]] = [set() for _ in range(rows.num_rows)]
+            ids: list[set[int]] = [set() for _ in range(rows.num_rows)]
             known = np.flatnonzero(number >= 0)
             matches = known[windows.firsts[number[known]]]
             of = np.searchsorted(words.first, matches, side="right") - 1
@@ -126,11 +127,11 @@ def join_windows(docs: DataFrame, windows: Windows, kept: list[str]) -> DataFram
                         continue
                     if all(words.text(start + x) == w for x, w in enumerate(want)):
                         found[doc].append((start - low, len(want)))
-                        items[doc].update(windows.items[k])
-            names = [*kept, "n_words", "starts", "lengths", "items"]
+                        ids[doc].add(windows.ids[k])
+            names = [*kept, "n_words", "starts", "lengths", "windows"]
             yield pa.record_batch([*rows.columns[1:], pa.array(words.counts, pa.int64()),
                                    *(pa.array([[x[c] for x in f] for f in found], pa.list_(pa.int32())) for c in (0, 1)),
-                                   pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=names)
+                                   pa.array([sorted(x) for x in ids], pa.list_(pa.int64()))], names=names)
 
     rows = docs.select(F.col("text").cast("binary").alias("_words_text"), *kept)
     schema = ", ".join(f"`{n}` {kind}" for n, kind in rows.drop("_words_text").dtypes)
@@ -146,17 +147,17 @@ def hit_words(starts: Column, lengths: Column) -> Column:
         (a["hit"] + F.greatest(x["s"] + x["n"] - F.greatest(a["end"], x["s"]), F.lit(0))).alias("hit")))["hit"]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, kept: tuple[str, ...] = ("doc_id",),
-                  window_words: int = WINDOW_WORDS, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, kept: tuple[str, ...] = ("doc_id",), window_words: int = WINDOW_WORDS,
+                  block_windows: int = BLOCK_WINDOWS, with_items: bool = True) -> DataFrame:
     """The ``kept`` columns of the documents with n_words, n_hit (words inside an
-    occurrence of a window) and items (sorted ids, as strings, of the items with
+    occurrence of a window) and, ``with_items``, items (sorted ids, as strings, of the items with
     occurring windows); one row per document."""
-    cut = item_windows(benchmark, window_words)
+    cut, items = item_windows(benchmark, window_words)
     total = cut.count()
     blocks = 1 if total <= block_windows else -(-total // (block_windows // 2))  # hashed: half of the bound on average
     names = list(dict.fromkeys(kept))
     none = {"n_words": F.lit(0).cast("long"), "starts": F.array().cast("array<int>"), "lengths": F.array().cast("array<int>"),
-            "items": F.array().cast("array<string>")}
+            "windows": F.array().cast("array<long>")}
     rows = docs.select(F.col("text").alias("_text"), *(F.col(n).alias(f"k_{n}") for n in names))
     for b in range(blocks):
         part = cut if blocks == 1 else cut.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b)
@@ -173,9 +174,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, kept: tuple[str, ...] =
         rows = rows.drop(*none).withColumnRenamed("text", "_text")
         if text:
             rows = materialize(rows, "decontam-block")
-    return rows.select(*(F.col(f"k_{n}").alias(n) for n in names), F.col("all_n_words").alias("n_words"),
-                       hit_words(F.col("all_starts"), F.col("all_lengths")).alias("n_hit"),
-                       F.array_sort(F.array_distinct("all_items")).alias("items"))
+    found = rows.select(*(f"k_{n}" for n in names), F.col("all_n_words").alias("n_words"),
+                        hit_words(F.col("all_starts"), F.col("all_lengths")).alias("n_hit"), F.col("all_windows").alias("windows"))
+    own = [F.col(f"k_{n}").alias(n) for n in names]
+    if not with_items:
+        return found.select(*own, "n_words", "n_hit")
+    found = materialize(found.withColumn("number", F.monotonically_increasing_id()), "decontam-found")
+    hits = found.select("number", F.explode("windows").alias("window_id")).join(items, "window_id")
+    per = hits.groupBy("number").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return found.join(per, "number", "left").select(*own, "n_words", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
