@@ -11,7 +11,10 @@ next one's documents, so a lost executor repeats one stage's tasks at most.
 4. secrets: secrets in a text are replaced by a mark (n_chars follows the text).
 5. mixing: what the mix takes of each document that is left.
 
-Null texts pass stages 1 to 4 unchanged and are taken 0 times.
+Null texts pass stages 1 to 4 unchanged and are taken 0 times; empty and very long texts are
+like any others. Rows that are equal in doc_id and text are one document to stage 2: the first in
+order of the other columns stays, however the rows are dealt. Rows without words all stay. Columns of any other
+names pass through. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -43,7 +46,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.contamination(prefixed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), kept=tuple(f"d_{c}" for c in docs.columns))
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontam.contamination(prefixed(docs), benchmark, kept=tuple(f"d_{c}" for c in docs.columns), with_items=False)
     return restored(found.where("n_hit = 0"), docs)
 
 
