@@ -118,7 +118,7 @@ def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path:
     silver = sinks.read_silver(spark, silver_path)
     emptied: list[str] = []
     if only_its_dates:  # a row per date
-        written = [d for d in seen["dates"] if d]
+        written = seen["dates"]
         emptied = sorted({r[0] for r in input_dates(inputs).collect()} - set(written))
         sinks.drop_dates(spark, silver_path, emptied)
         silver = silver.where(F.col("FL_DATE").isin([F.lit(d).cast("date") for d in written]))

@@ -49,39 +49,75 @@ def stream_writers(batch: DataFrame, rows_per_task: int = MAX_RECORDS_PER_FILE)
     return max(STREAM_WRITERS, -(-most // rows_per_task))
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder(partition_cols: list[str]) -> Column:
+    """The folder of a row's partition, relative to the table's."""
+    return F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION))) for c in partition_cols))
+
+
 def _partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str],
                            max_records_per_file: int = MAX_RECORDS_PER_FILE, adaptive: bool = True,
-                           dynamic: bool = True, counts: tuple[Observation, list[Column]] | None = None) -> None:
-    """``dynamic``: replace only the partitions that have rows, else all of ``path``.
-    ``counts``: aggregates to observe in the tasks that write."""
-    rows = clustered(df, partition_cols, adaptive)
-    if counts:
-        rows = rows.observe(counts[0], *counts[1])
+                           replace_all: bool = False, counts: list[Column] = ()) -> dict:
+    """Replaces the partitions that the rows have; ``replace_all``: then removes all others of ``path``.
+
+    The rows are written beside the old ones and take their place when the write is complete (Spark's
+    dynamic overwrite), so a write that fails loses nothing; a full overwrite would delete first.
+    Returns ``counts`` (aggregates) and ``folders`` (a value per partition) as observed by the tasks that write."""
+    seen = Observation()
+    rows = clustered(df, partition_cols, adaptive).observe(seen, *counts, F.collect_set(_folder(partition_cols)).alias("folders"))
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_cols)
         .parquet(path)
     )
+    found = seen.get
+    if replace_all:
+        written = set(found["folders"])
+        delete_folders(df.sparkSession, path, [f for f in _folders(df.sparkSession, path, len(partition_cols)) if f not in written])
+    return found
+
+
+def _files(spark: SparkSession, place: str) -> tuple:
+    """(file system, path) as the cluster's storage sees them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Relative names of the partition folders, ``depth`` levels down."""
+    names = [""]
+    for _ in range(depth):
+        found = []
+        for name in names:
+            fs, place = _files(spark, f"{path}/{name}" if name else path)
+            found += [f"{name}/{f.getPath().getName()}".lstrip("/") for f in fs.listStatus(place)
+                      if f.isDirectory() and "=" in f.getPath().getName()]
+        names = found
+    return names
+
+
+def delete_folders(spark: SparkSession, path: str, names: list[str]) -> None:
+    for name in names:
+        fs, place = _files(spark, f"{path}/{name}")
+        fs.delete(place, True)
 
 
 def write_silver(enriched: DataFrame, path: str, only_its_dates: bool = False) -> dict:
     """Silver: enriched flights, one folder per FL_DATE. Replaces the layer, or with
     ``only_its_dates`` the dates that the rows have. Returns the diagnostics' counts and the
-    dates written (a value per date), both observed by the tasks that write."""
-    seen = Observation()
-    dates = F.collect_set(F.coalesce(F.col("FL_DATE").cast("string"), F.lit(""))).alias("dates")
-    _partitioned_overwrite(enriched, path, SILVER_PARTITIONS, dynamic=only_its_dates, counts=(seen, [*diagnostic_counts(), dates]))
-    return seen.get
+    dates written (``yyyy-MM-dd``, a value per date)."""
+    found = _partitioned_overwrite(enriched, path, SILVER_PARTITIONS, replace_all=not only_its_dates, counts=diagnostic_counts())
+    dates = [f.removeprefix("FL_DATE=") for f in found.pop("folders")]
+    return found | {"dates": [d for d in dates if d != NULL_PARTITION]}
 
 
 def drop_dates(spark: SparkSession, path: str, dates: list[str]) -> None:
     """Removes the FL_DATE folders of some dates (``yyyy-MM-dd``), where they exist."""
-    jvm = spark.sparkContext._jvm
-    for date in dates:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/FL_DATE={date}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_folders(spark, path, [f"FL_DATE={d}" for d in dates])
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
@@ -108,7 +144,7 @@ def write_gold(gold: DataFrame, path: str, load_id: str = BATCH_LOAD_ID,
 def replace_gold(gold: DataFrame, path: str, label: str, load_id: str = BATCH_LOAD_ID) -> None:
     """Replaces all gold rows of one ``aggregation_type``; those of others stay."""
     rows = gold_layout(gold.drop("aggregation_type")).withColumn("load_id", F.lit(load_id))
-    _partitioned_overwrite(rows, f"{path}/aggregation_type={label}", GOLD_PARTITIONS[1:], dynamic=False)
+    _partitioned_overwrite(rows, f"{path}/aggregation_type={label}", GOLD_PARTITIONS[1:], replace_all=True)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

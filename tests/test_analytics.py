@@ -154,6 +154,25 @@ def test_silver_counts_are_taken_while_it_is_written(spark, monkeypatch):
     assert spark.read.text(log).first()[0] == f"total_rows={want['total_rows']}"
 
 
+def test_a_write_that_fails_loses_nothing(spark):
+    """Rows of the run before stay until the new ones are complete; then nothing of the old is left."""
+    row = "date '2015-01-01' + cast(id % {n} as int) as FL_DATE, 'A' as AIRLINE, 'N' as ORIGIN_AIRPORT, cast({m} as long) as num_flights"
+    broken = F.expr("case when num_flights = 2 and day(FL_DATE) = 2 then raise_error('broken row') else num_flights end").cast("long")
+    old, new = (spark.range(0, 60, 1, 4).selectExpr(*row.format(n=n, m=m).split(", ")) for n, m in ((5, 1), (3, 2)))
+    names = [c.alias(n) for c, n in ((F.lit("x"), "ORIGIN_AIRPORT_NAME"), (F.lit("y"), "DEST_AIRPORT_NAME"))]
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    writes = {silver: lambda rows: sinks.write_silver(rows.select("*", *names), silver),
+              f"{gold}/aggregation_type=daily_batch": lambda rows: sinks.replace_gold(rows, gold, "daily_batch")}
+    for path, write in writes.items():
+        write(old)
+        with pytest.raises(Exception, match="broken row"):
+            write(new.withColumn("num_flights", broken))
+        assert spark.read.parquet(path).groupBy("num_flights").count().collect() == [(1, 60)]
+        write(new)
+        got = spark.read.parquet(path)
+        assert got.select("FL_DATE").distinct().count() == 3 and got.groupBy("num_flights").count().collect() == [(2, 60)]
+
+
 def test_writers_of_a_date_follow_its_rows(spark):
     rows = spark.range(1000).selectExpr("case when id < 900 then date '2015-01-01' else date '2015-01-02' end as FL_DATE")
     assert sinks.stream_writers(rows, rows_per_task=100) == 9
