@@ -195,7 +195,10 @@ ALL_RULES = (*((a, b, "".join(map(identifier, run))) for a, b, run in TEXT_RULES
              *((a, b, "".join(map(identifier, run))) for a, b, run in TEXT_REFERENCES))
 #: A list number or letter before a sentence.
 LABEL = r"(?:(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})[ \n])?"
-WORDS = {"*": r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,11}?", "**": r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,39}?"}
+#: An open place in a sentence takes up to 400 words, far more than any holder's name or notice; one before
+#: the first fixed word, which is tried at every piece, up to 32.
+WORDS = {"*": r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,399}?", "**": r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,399}?"}
+OPENING = r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,31}?"
 
 
 def pattern(sentence: str) -> str:
@@ -208,7 +211,7 @@ def alternatives(known: dict[str, str]) -> str:
     ordered = sorted(known, key=lambda s: -len(s.split()))
     fixed = [pattern(s) for s in ordered if not s.startswith("* ")]
     opened = [pattern(s[2:]) for s in ordered if s.startswith("* ")]
-    return "|".join(fixed + ([rf"{WORDS['*']}[ \n](?:{'|'.join(opened)})"] if opened else []))
+    return "|".join(fixed + ([rf"{OPENING}[ \n](?:{'|'.join(opened)})"] if opened else []))
 
 
 def sentences(text: Column) -> Column:

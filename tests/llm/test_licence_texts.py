@@ -134,3 +134,14 @@ def test_sql_and_result_agree_on_pieces(spark):
     text = "\n".join(s + "." for s in licenses.SENTENCES)
     old = licenses.scan_licenses(edge.documents(spark, [(1, text, "s")]), licenses.SENTENCES, licenses.RULES).collect()
     assert [(r["n_sentences"], r["n_known"]) for r in old] == [(24, 24)]
+
+
+@pytest.mark.parametrize("words", [15, 350])
+def test_long_names_of_holders(spark, words):
+    """Open places take names far longer than any; the opened sentences a program's name of 30 words."""
+    name = " ".join(f"holder{i}" for i in range(words))
+    bsd = BSD3.replace("the copyright holder nor", f"{name} nor").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", name).replace("THE COPYRIGHT HOLDER OR", f"{name} OR")
+    assert bsd.count(name) >= 2
+    gnu = GPL3.replace("This program", "Our " + " ".join(f"tool{i}" for i in range(28)) + " program")
+    got = licenses.license_digest(edge.documents(spark, [(0, bsd, "s"), (1, gnu, "s")])).select("doc_id", "licenses").collect()
+    assert sorted(tuple(r) for r in got) == [(0, "BSD-3-Clause/text:1"), (1, "GPL-3.0-or-later/notice:1")]
