@@ -170,9 +170,9 @@ class StreamRun:
         return [p for q in self.queries for p in q.recentProgress]
 
     @property
-    def lastProgress(self) -> list:
-        """The last progress of each query."""
-        return [q.lastProgress for q in self.queries]
+    def lastProgress(self):
+        """Of the first query; ``recentProgress`` has that of all."""
+        return self.queries[0].lastProgress
 
 
 @dataclass
