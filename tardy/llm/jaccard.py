@@ -59,7 +59,7 @@ NUM, DEN = 75, 100
 #: one group (of 4 bytes per hash of a chunk and range while it is read).
 RANGE_BITS, REST_BITS = 10, 30
 #: Hashes of a chunk of sets, and bytes of counts that a reducer holds.
-CHUNK_SHINGLES, FLUSH_BYTES = 4_000_000, 64 << 20
+CHUNK_SHINGLES, FLUSH_BYTES = 1_000_000, 32 << 20
 #: Bits of the filter of texts that may have a partner (4 MB).
 FILTER_BITS = 1 << 25
 #: Slots of the count sketch, and how many of them make a row.

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Bytes of words: anything but space and \x09-\x0D (any byte of a non-ASCII letter counts).
 NOT_BLANK = np.ones(256, dtype=bool)

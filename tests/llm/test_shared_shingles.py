@@ -20,7 +20,7 @@ def test_differences_in_few_bytes(top):
     assert (jaccard.from_planes(packed) == rests).all() and len(packed) <= 1 + 500 * ((top.bit_length() + 7) // 8)
 
 
-@pytest.mark.parametrize("chunk", [200, 4_000_000])
+@pytest.mark.parametrize("chunk", [200, 1_000_000])
 def test_shared_counts_are_exact(spark, monkeypatch, chunk):
     """Against a count over all sets; with chunks so small that copies lie in several."""
     monkeypatch.setattr(jaccard, "CHUNK_SHINGLES", chunk)
