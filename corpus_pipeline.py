@@ -35,23 +35,36 @@ def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*(F.col(f"`d_{c}`").alias(c) for c in docs.columns))
 
 
+#: Bytes of an Arrow batch of texts; a task holds a few of them, in the JVM and in Python.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound of Arrow batches (64 MB by default, or 10,000 rows) for the stages' texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.score_documents(prefixed(docs), model, kept=tuple(f"d_{c}" for c in docs.columns))
     return restored(scored.where(F.col("score") < toxicity.THRESHOLD), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontam.contamination(prefixed(docs), benchmark, kept=tuple(f"d_{c}" for c in docs.columns), with_items=False)
     return restored(found.where("n_hit = 0"), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     text = secrets.redact(F.col("text"), secrets.secret_spans(F.col("text")))
     clean = docs.withColumn("text", text)
     if "n_chars" in docs.columns:
