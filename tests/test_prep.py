@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tardy.operators.chunks import assign_chunks, export_chunks
-from tardy.operators.sample import below, sample_exact_n
+from tardy.operators.sample import COPY, below, numbered_copies, sample_exact_n
+from tardy.plans import catalogue
 from tardy.session import scratch_path
 from tardy.sources import testdata
 from tardy.sources.csv import read_flights_csv
@@ -147,3 +148,28 @@ def test_sample_is_roughly_uniform(spark):
     s = sample_exact_n(flights, 2000, testdata.FLIGHTS_ROW_KEY, seed=11)
     got = s.filter(F.col("SRC_LINE") <= 2).count() / 2000
     assert abs(got - share) < 0.05
+
+
+def test_copies_of_equal_rows_are_numbered(spark):
+    """Every row has a number of its own among its equals, in blocks that end anywhere; nulls are equals."""
+    df = spark.range(1000).selectExpr("case when id < 700 then 'x' when id < 995 then null else 'y' end as a")
+    got = {}
+    for r in numbered_copies(df, block=64).collect():
+        got.setdefault(r["a"], []).append(r[COPY])
+    assert {k: sorted(v) for k, v in got.items()} == {"x": list(range(700)), None: list(range(295)), "y": list(range(5))}
+
+
+def test_sample_of_equal_rows_by_copies(spark):
+    """Rows that repeat in all columns: exactly n, near each value's share, the same for any layout."""
+    df = spark.range(1000).selectExpr("case when id % 3 = 0 then 'x' when id % 3 = 1 then null else 'y' end as a")
+    count = lambda rows: {r["a"]: r["n"] for r in rows.groupBy("a").agg(F.count("*").alias("n")).collect()}
+    got = count(sample_exact_n(df, 300, ["a"], seed=5, copies=True))
+    assert sum(got.values()) == 300 and all(70 <= n <= 130 for n in got.values()) and len(got) == 3
+    assert got == count(sample_exact_n(df.repartition(7), 300, ["a"], seed=5, copies=True))
+    assert sample_exact_n(df, 2000, ["a"], seed=5, copies=True).count() == 1000
+
+
+def test_sample_repeated_rows_draws_among_copies():
+    """The query's SQL numbers the copies of each value over all rows before it draws."""
+    sql = catalogue.oracle_sql()["sample_repeated_rows"]
+    assert "row_number() over (partition by MONTH, AIRLINE, DAY_OF_WEEK) - 1 as nth from flights" in sql
