@@ -44,6 +44,8 @@ from tardy.session import materialize, scratch_path
 
 #: Fixed value: the digits of base 32 (RFC 4648).
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: Fixed value: the digits that ``conv`` writes in radix 32.
+RADIX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 LEAST_BYTES = 0
 FILE_RECORDS = 5_000
 RANGE_ROWS = 100_000
@@ -56,11 +58,9 @@ COMPRESSION = "gzip"
 def sha1_base32(payload: Column) -> Column:
     """Upper-case base 32 of the SHA-1, from its hex form in groups of 40 bits."""
     hexed = F.sha1(payload)
-    digits = []
-    for group in range(4):
-        number = F.conv(F.substring(hexed, 10 * group + 1, 10), 16, 10).cast("long")
-        digits += [F.substr(F.lit(BASE32), (F.shiftright(number, 35 - 5 * i).bitwiseAND(F.lit(31)) + 1).cast("int"), F.lit(1)) for i in range(8)]
-    return F.concat(*digits)
+    # 40 bits are 8 digits of radix 32 (0-9, A-V), one expression a group: the payload is hashed for few of them.
+    digits = [F.lpad(F.conv(F.substring(hexed, 10 * group + 1, 10), 16, 32), 8, "0") for group in range(4)]
+    return F.translate(F.concat(*digits), RADIX32, BASE32)
 
 
 def capture_rows(pages: DataFrame) -> DataFrame:

@@ -162,3 +162,17 @@ def test_url_keys():
     assert warc.url_key("http://www.B.example.com:80/x/?b=2&a=1#f") == warc.url_key("https://b.example.com/x?a=1&b=2") == "com,example,b)/x?a=1&b=2"
     assert warc.url_key("http://a.org") == warc.url_key("http://a.org/") == "org,a)/"
     assert warc.url_key(None) == warc.url_key("") == "" and warc.url_key("http://u@h.com:8080/A") == "com,h:8080)/a"
+
+
+def test_payload_digest_hashes_a_payload_few_times(spark):
+    """Base 32 of the SHA-1 as Python has it, empty payloads and leading zeros included, from an expression that names the hash once a group."""
+    import hashlib
+    from base64 import b32encode
+
+    from pyspark.sql import functions as F
+    from tardy.llm.warc import sha1_base32
+
+    texts = ["", "a", "\u00e4\u4e2d"] + [f"page {i}" for i in range(2000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", sha1_base32(F.col("t").cast("binary")).alias("d"))
+    assert {r["t"]: r["d"] for r in rows.collect()} == {t: b32encode(hashlib.sha1(t.encode()).digest()).decode() for t in texts}
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("sha1(") <= 4
