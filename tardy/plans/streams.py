@@ -35,8 +35,8 @@ DEALT_SCHEMA = T.StructType([*FLIGHT_SCHEMA.fields, T.StructField("delivered", T
 
 
 def parts(rows: DataFrame) -> list[DataFrame]:
-    """The rows of each part, without ``delivered``; the whole is written once."""
-    held = materialize(rows, "stream-parts")
+    """The rows of each part, without ``delivered``; the whole is written once, by part, so that each part reads its own rows."""
+    held = materialize(rows, "stream-parts", partition_by=["delivered"])
     return [held.where(F.col("delivered") == i).drop("delivered") for i in range(testdata.STREAM_PARTS)]
 
 

@@ -223,3 +223,14 @@ def test_an_unbounded_run_ends_with_its_first_query(spark):
     queries[1].stop()
     StreamRun(queries, bounded=False).awaitTermination()
     assert not any(q.isActive for q in queries)
+
+
+def test_a_part_reads_its_own_rows(spark):
+    """Parts are folders: the scan of one reads no file of another, and rows without a part are in none."""
+    from tardy.plans.streams import parts
+
+    rows = spark.range(400).selectExpr("id", "cast(case when id % 5 < 4 then id % 5 end as int) as delivered")
+    for i, part in enumerate(parts(rows)):
+        assert part.columns == ["id"] and sorted(r["id"] for r in part.collect()) == [n for n in range(400) if n % 5 == i]
+        assert all(f"/delivered={i}/" in f for f in part.select("_metadata.file_path").distinct().toPandas()["file_path"])
+        assert "PartitionFilters: [isnotnull(delivered" in part._jdf.queryExecution().executedPlan().toString()
