@@ -20,6 +20,7 @@ from tardy.operators.aggregate import CODE_KEYS, daily_gold, window_gold
 from tardy.operators.clean import clean_flights
 from tardy.operators.enrich import attach_names, enrich_flights
 from tardy.schema import BATCH_LABEL, GOLD_KEYS, STREAM_LABEL
+from tardy.session import with_plan_settings
 from tardy.sinks import parquet as sinks
 from tardy.sinks import table
 from tardy.sinks.audit import enrichment_log_lines, guarded_write, write_lines
@@ -92,6 +93,7 @@ def stream_window_gold(inputs: Inputs) -> DataFrame:
         "aggregation_type", F.lit(STREAM_LABEL))
 
 
+@with_plan_settings
 def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str,
               warehouse_path: str | None = None, log_path: str | None = None,
               audit_path: str | None = None, only_its_dates: bool = False,

@@ -53,3 +53,34 @@ def test_stream_job_cli(spark):
     jobs.main(["stream", "--input", src, "--airlines", p["airlines"], "--airports", p["airports"],
                "--gold", gold, "--checkpoint", scratch_path(spark, "ckpt"), "--available-now"], spark)
     assert sinks.read_gold(spark, gold).filter("aggregation_type = 'streaming_15min'").count() > 0
+
+
+def test_batch_and_stream_jobs_run_under_their_plan_settings(spark, flights_df, tmp_path, monkeypatch):
+    """A session that sets none of them has them while the jobs run, and none afterwards; what it sets itself stays."""
+    from tardy.functions.codes import airline_dimension, airport_dimension
+    from tardy.plans import batch
+    from tardy.sinks import parquet as sinks
+    from tardy.sources.csv import read_flights_csv, write_csv
+    from tardy.streaming import pipeline
+
+    limit, fallback = "spark.sql.codegen.hugeMethodLimit", "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    session = spark.newSession()
+    session.conf.unset(limit)
+    session.conf.set(fallback, "77")
+    plain, seen = session.conf.get(limit), []
+    write_silver = sinks.write_silver
+    monkeypatch.setattr(sinks, "write_silver", lambda rows, *a: seen.append((session.conf.get(limit), session.conf.get(fallback))) or write_silver(rows, *a))
+    flights = str(tmp_path / "flights")
+    write_csv(flights_df([{"DAY": 5}, {"DAY": 6}]), flights)
+    airlines = airline_dimension(session.createDataFrame([("AA", "A")], "IATA_CODE string, AIRLINE string"))
+    airports = airport_dimension(session.createDataFrame([("N1", "N", "C", "S")], "IATA_CODE string, AIRPORT string, CITY string, STATE string"))
+    batch.run_batch(session, batch.Inputs(read_flights_csv(session, flights), airlines, airports), str(tmp_path / "silver"), str(tmp_path / "gold"))
+    assert seen == [("8000", "77")]
+    assert (session.conf.get(limit), session.conf.get(fallback)) == (plain, "77")
+
+    in_stream = []
+    writer = pipeline.gold_batch_writer
+    monkeypatch.setattr(pipeline, "gold_batch_writer", lambda *a: lambda rows, i: in_stream.append(rows.sparkSession.conf.get(limit)) or writer(*a)(rows, i))
+    pipeline.StreamJob(input_dir=flights, checkpoint=str(tmp_path / "ckpt"), gold_path=str(tmp_path / "stream")).run_available(session, airlines, airports)
+    assert set(in_stream) == {"8000"}
+    assert session.conf.get(limit) == plain
