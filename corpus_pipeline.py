@@ -65,8 +65,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    text = secrets.redact(F.col("text"), secrets.secret_spans(F.col("text")))
-    clean = docs.withColumn("text", text)
+    clean = docs.withColumn("text", secrets.redact(F.col("text")))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return clean

@@ -177,8 +177,23 @@ def secret_spans(text: Column, vocabulary: str = VOCABULARY, max_chars_per_token
     return find(text)
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with its spans (of ``secret_spans``) replaced; a null text stays null."""
+def redact(text: Column, spans: Column | None = None, mark: str = "[SECRET]", vocabulary: str = VOCABULARY,
+           max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> Column:
+    """The text with its spans (of ``secret_spans``) replaced; a null text stays null. Without ``spans`` they are found
+    in the same pass over the text: Spark gives each of two functions in a row a Python worker of its own in every
+    task and keeps all of them for later stages."""
+    if spans is None:
+        with open(vocabulary, "rb") as f:
+            ranks = f.read()
+
+        @F.pandas_udf(T.StringType())
+        def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            tokens = tokens_counter(ranks)
+            for batch in texts:
+                yield pd.Series([redacted(t, spans_of(t, tokens, max_chars_per_token), mark) if t else t for t in batch], dtype=object)
+
+        return clean(text)
+
     @F.pandas_udf(T.StringType())
     def replace(batch: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or not len(x) else redacted(t, [(s["kind"], s["start"], s["end"]) for s in x], mark)
