@@ -231,3 +231,53 @@ def test_replay_runs_a_micro_batch_per_chunk(spark):
     whole = catalogue._run_stream(spark, SF_SMALL, gold_path=scratch_path(spark, "gold"))
     got, want = (sinks.read_gold(spark, p).drop("processed_at", "load_id") for p in (job.gold_path, whole.gold_path))
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def _chunk_job(spark, rows, size):
+    from tardy.operators.chunks import export_chunks
+    from tardy.plans import catalogue
+
+    chunks = scratch_path(spark, "chunks")
+    export_chunks(rows, chunks, size, catalogue.stream_order())
+    return chunks, StreamJob(input_dir=scratch_path(spark, "replay-in"), checkpoint=scratch_path(spark, "replay-ckpt"), gold_path=scratch_path(spark, "gold"),
+                             max_files_per_trigger=1, state_partitions=2, archive_dir=scratch_path(spark, "replay-done"))
+
+
+def test_replay_micro_batches_do_no_needless_work(spark, flights_df, monkeypatch):
+    """A micro-batch in few tasks is neither kept, counted nor shuffled again; files that have been read leave the
+    listed folder; the checkpoint on local files is written by renames."""
+    from tardy.session import CHECKPOINT_WRITER, LOCAL_CHECKPOINT_WRITER
+    from tardy.streaming import pipeline
+
+    rows = flights_df([{"DAY": d, "SCHEDULED_DEPARTURE": h * 100, "FLIGHT_NUMBER": str(h), "AIRLINE": a}
+                       for d in (5, 6) for h in (7, 9, 11) for a in ("AA", "ZZ")])
+    chunks, job = _chunk_job(spark, rows, 3)
+    airlines, airports = _dims(spark)
+    monkeypatch.setattr(sinks, "stream_writers", lambda *a: pytest.fail("counted"))
+    writers, body = [], pipeline.sinks.write_gold
+
+    def seen(batch, *a, **k):
+        writers.append(batch.sparkSession.conf.get(CHECKPOINT_WRITER, None))
+        assert not batch.is_cached
+        return body(batch, *a, **k)
+
+    monkeypatch.setattr(pipeline.sinks, "write_gold", seen)
+    pipeline.replay_chunks(spark, chunks, range(4), job, airlines, airports)
+    monkeypatch.undo()
+    assert writers == [LOCAL_CHECKPOINT_WRITER] * 5 and CHECKPOINT_WRITER not in spark.conf.getAll
+    place = job.input_dir.removeprefix("file:")
+    assert len([f for f in os.listdir(place) if f.endswith(".csv")]) <= 2  # the last ones
+    got = sinks.read_gold(spark, job.gold_path)
+    assert got.agg({"num_flights": "sum"}).first()[0] == 3 * 10  # the last two flights' windows are still open
+
+
+def test_replay_checks_the_whole_dimension(spark, flights_df):
+    """A code that comes twice in a dimension is an error, even if no chunk has it."""
+    from tardy.operators.enrich import DuplicateDimensionKey
+    from tardy.streaming.pipeline import replay_chunks
+
+    chunks, job = _chunk_job(spark, flights_df([{"FLIGHT_NUMBER": str(i)} for i in range(4)]), 2)
+    _, airports = _dims(spark)
+    airlines = spark.createDataFrame([("AA", "a"), ("QQ", "q"), ("QQ", "r")], "AIRLINE_CODE string, AIRLINE_NAME string")
+    with pytest.raises(DuplicateDimensionKey):
+        replay_chunks(spark, chunks, range(2), job, airlines, airports)
