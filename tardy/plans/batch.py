@@ -18,9 +18,9 @@ from tardy.functions.flags import add_flags
 from tardy.functions.metrics import ALL_METRICS
 from tardy.operators.aggregate import CODE_KEYS, daily_gold, window_gold
 from tardy.operators.clean import clean_flights
-from tardy.operators.enrich import attach_names, enrich_flights
+from tardy.operators.enrich import attach_names, enrich_flights, guarded_dimension
 from tardy.schema import BATCH_LABEL, GOLD_KEYS, STREAM_LABEL
-from tardy.session import with_plan_settings
+from tardy.session import shuffles_removed, stored, with_plan_settings
 from tardy.sinks import parquet as sinks
 from tardy.sinks import table
 from tardy.sinks.audit import enrichment_log_lines, guarded_write, write_lines
@@ -93,6 +93,20 @@ def stream_window_gold(inputs: Inputs) -> DataFrame:
         "aggregation_type", F.lit(STREAM_LABEL))
 
 
+def _store_silver(inputs: Inputs, silver_path: str, only_its_dates: bool) -> dict:
+    """Writes silver in two statements: the rows that the dedup keeps, then the same by date, with names. Each
+    shuffles all rows, and the disk holds one of the two shuffles at a time (the stored rows are far smaller). Names
+    that are broadcast are joined behind the second shuffle, which then doesn't carry them."""
+    airlines = guarded_dimension(inputs.airlines, "AIRLINE_CODE")
+    airports = guarded_dimension(inputs.airports, "AIRPORT_CODE")
+    broadcast = airlines is not inputs.airlines and airports is not inputs.airports
+    with shuffles_removed(inputs.flights.sparkSession), stored(cleaned(inputs), "clean") as clean:
+        if broadcast:
+            clean = sinks.clustered(clean.withColumn("FL_DATE", flight_date()), sinks.SILVER_PARTITIONS).drop("FL_DATE")
+        rows = add_calendar_columns(enrich_flights(clean, airlines, airports, guard=False))
+        return sinks.write_silver(rows, silver_path, only_its_dates, broadcast)
+
+
 @with_plan_settings
 def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path: str,
               warehouse_path: str | None = None, log_path: str | None = None,
@@ -114,9 +128,8 @@ def run_batch(spark: SparkSession, inputs: Inputs, silver_path: str, gold_path:
         else:
             fn()
 
-    rows = enriched(inputs)
     seen: dict = {}
-    step("silver", lambda: seen.update(sinks.write_silver(rows, silver_path, only_its_dates)))
+    step("silver", lambda: seen.update(_store_silver(inputs, silver_path, only_its_dates)))
     silver = sinks.read_silver(spark, silver_path)
     emptied: list[str] = []
     if only_its_dates:  # a row per date

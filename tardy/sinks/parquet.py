@@ -33,12 +33,12 @@ MAX_RECORDS_PER_FILE = 100_000
 STREAM_WRITERS = 4
 
 
-def clustered(df: DataFrame, partition_cols: list[str], adaptive: bool = True, few_tasks: bool = False) -> DataFrame:
+def clustered(df: DataFrame, partition_cols: list[str], adaptive: bool = True, as_they_lie: bool = False) -> DataFrame:
     """Rows gathered by partition. ``adaptive``: REBALANCE hint (AQE sizes tasks and splits hot values).
     Stateful micro-batches run without AQE, where the hint is ignored; their output is hash-clustered
-    instead, a date over as many tasks as the rows of the micro-batch's largest date ask for. One that lies
-    in few tasks (``in_few_tasks``) is written as it lies."""
-    if few_tasks:
+    instead, a date over as many tasks as the rows of the micro-batch's largest date ask for.
+    ``as_they_lie``: not at all, for rows in few tasks (``in_few_tasks``) or gathered before."""
+    if as_they_lie:
         return df
     cols = [F.col(c) for c in partition_cols]
     if adaptive:
@@ -71,14 +71,14 @@ def _folder(partition_cols: list[str]) -> Column:
 
 def _partitioned_overwrite(df: DataFrame, path: str, partition_cols: list[str],
                            max_records_per_file: int = MAX_RECORDS_PER_FILE, adaptive: bool = True,
-                           replace_all: bool = False, counts: list[Column] = (), few_tasks: bool = False) -> dict:
+                           replace_all: bool = False, counts: list[Column] = (), as_they_lie: bool = False) -> dict:
     """Replaces the partitions that the rows have; ``replace_all``: then removes all others of ``path``.
 
     The rows are written beside the old ones and take their place when the write is complete (Spark's
     dynamic overwrite), so a write that fails loses nothing; a full overwrite would delete first.
     Returns ``counts`` (aggregates) and ``folders`` (a value per partition) as observed by the tasks that write;
     nothing is observed where neither is asked for."""
-    rows = clustered(df, partition_cols, adaptive, few_tasks)
+    rows = clustered(df, partition_cols, adaptive, as_they_lie)
     observed = Observation() if replace_all or counts else None
     if observed:
         rows = rows.observe(observed, *counts, F.collect_set(_folder(partition_cols)).alias("folders"))
@@ -121,11 +121,11 @@ def delete_folders(spark: SparkSession, path: str, names: list[str]) -> None:
         fs.delete(place, True)
 
 
-def write_silver(enriched: DataFrame, path: str, only_its_dates: bool = False) -> dict:
+def write_silver(enriched: DataFrame, path: str, only_its_dates: bool = False, as_they_lie: bool = False) -> dict:
     """Silver: enriched flights, one folder per FL_DATE. Replaces the layer, or with
-    ``only_its_dates`` the dates that the rows have. Returns the diagnostics' counts and the
+    ``only_its_dates`` the dates that the rows have. ``as_they_lie``: the rows are gathered by date already. Returns the diagnostics' counts and the
     dates written (``yyyy-MM-dd``, a value per date)."""
-    found = _partitioned_overwrite(enriched, path, SILVER_PARTITIONS, replace_all=not only_its_dates, counts=diagnostic_counts())
+    found = _partitioned_overwrite(enriched, path, SILVER_PARTITIONS, replace_all=not only_its_dates, counts=diagnostic_counts(), as_they_lie=as_they_lie)
     dates = [f.removeprefix("FL_DATE=") for f in found.pop("folders")]
     return found | {"dates": [d for d in dates if d != NULL_PARTITION]}
 
@@ -152,11 +152,11 @@ def gold_layout(gold: DataFrame) -> DataFrame:
 
 
 def write_gold(gold: DataFrame, path: str, load_id: str = BATCH_LOAD_ID,
-               adaptive: bool = True, few_tasks: bool = False) -> None:
+               adaptive: bool = True, as_they_lie: bool = False) -> None:
     """Gold rows (batch or one stream micro-batch) under (aggregation_type, FL_DATE, load_id);
     replaces the partitions that the rows have."""
     _partitioned_overwrite(gold_layout(gold).withColumn("load_id", F.lit(load_id)), path, GOLD_PARTITIONS,
-                           adaptive=adaptive, few_tasks=few_tasks)
+                           adaptive=adaptive, as_they_lie=as_they_lie)
 
 
 def replace_gold(gold: DataFrame, path: str, label: str, load_id: str = BATCH_LOAD_ID) -> None:

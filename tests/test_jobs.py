@@ -84,3 +84,31 @@ def test_batch_and_stream_jobs_run_under_their_plan_settings(spark, flights_df,
     pipeline.StreamJob(input_dir=flights, checkpoint=str(tmp_path / "ckpt"), gold_path=str(tmp_path / "stream")).run_available(session, airlines, airports)
     assert set(in_stream) == {"8000"}
     assert session.conf.get(limit) == plain
+
+
+def test_batch_run_holds_one_shuffle_of_the_rows_at_a_time(spark, tmp_path, monkeypatch):
+    """No shuffle of the rows carries names, none is held when the statement has ended, and the stored rows are gone at the end;
+    silver has one file a date at this size and the rows of the plain query."""
+    import glob
+
+    from tardy.plans import batch
+    from tardy.session import SHUFFLE_CLEANUP, scratch_root
+
+    inputs = batch.testdata_inputs(spark, SF_SMALL)
+    want = batch.enriched(inputs)
+    seen, write_silver = [], sinks.write_silver
+
+    def noted(rows, *a, **k):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        seen.append((spark.conf.get(SHUFFLE_CLEANUP), -1 < plan.find("Join") < plan.find("RebalancePartitions"), "Window" in plan))
+        return write_silver(rows, *a, **k)
+
+    monkeypatch.setattr(sinks, "write_silver", noted)
+    silver = str(tmp_path / "silver")
+    for _ in range(2):
+        batch.run_batch(spark, inputs, silver, str(tmp_path / "gold"))
+    assert seen == [("true", True, False)] * 2 and SHUFFLE_CLEANUP not in spark.conf.getAll
+    assert not glob.glob(f"{scratch_root(spark).removeprefix('file:')}/clean-*")
+    got = sinks.read_silver(spark, silver).select(*want.columns)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    assert all(len(glob.glob(f"{d}/*.parquet")) == 1 for d in glob.glob(f"{silver}/FL_DATE=*"))
